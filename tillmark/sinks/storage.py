@@ -1,0 +1,56 @@
+"""Small questions to the file system behind a path, asked through Spark's own client."""
+
+from __future__ import annotations
+
+import atexit
+import os
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; empty when it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
+
+    Only where none is set (a session of a test) one is made on this machine, removed at exit.
+    """
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if configured:
+        return configured
+    made = tempfile.mkdtemp(prefix="tillmark-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    sc.setCheckpointDir(made)
+    return made
+
+
+def fresh_folder(spark: SparkSession, purpose: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Sees to it that ``checkpoint()`` has a folder to write to."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
