@@ -16,8 +16,25 @@ from tillmark.operators.sizing import small_tables
 from tillmark.schema import MONEY
 
 
+# Stated, so that opening a table needs no job to look at its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 @dataclass(frozen=True)
@@ -79,8 +96,11 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf_dir: str, small: frozenset[str] = frozenset(),
-          products: bool = False) -> DataFrame:
-    """The sales relation; product name and price only if asked for (they cost a join)."""
+          products: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The sales relation and any supplied columns to keep.
+
+    Product name and price are filled only if asked for (they cost a join).
+    """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -104,6 +124,7 @@ def sales(spark: SparkSession, sf_dir: str, small: frozenset[str] = frozenset(),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("total_cost"),
         F.lit(None).cast("string").alias("additional_column"),
+        *keep,
     )
 
 

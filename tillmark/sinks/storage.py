@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
 import tempfile
 import uuid
 
@@ -33,14 +31,16 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Only where none is set (a session of a test) one is made on this machine, removed at exit.
+    Where none is set, a session on a single machine (a test) gets a temporary one; on a cluster
+    that is an error, as its executors would not see such a folder.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if configured:
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="tillmark-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
     sc.setCheckpointDir(made)
     return made
 

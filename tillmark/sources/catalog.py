@@ -108,7 +108,7 @@ def _peek_headers(files: DataFrame) -> DataFrame:
     return files.mapInPandas(_peek, schema)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(_NAMES)
 def _parse_headers(lines: pd.Series) -> pd.Series:
     return lines.map(parse_header)
 
@@ -122,10 +122,10 @@ def _scan_headers(files: DataFrame, landing: str) -> DataFrame:
         .select("value", F.col("_metadata.file_path").alias("encoded"),
                 F.col("_metadata.file_block_start").alias("block"))
         .filter((F.col("block") == 0) & (F.trim("value") != ""))
+        # A file's first block is read by one task, in order.
+        .withColumn("position", F.monotonically_increasing_id())
     )
-    first = lines.groupBy("encoded").agg(
-        F.min_by("value", F.monotonically_increasing_id()).alias("line")
-    )
+    first = lines.groupBy("encoded").agg(F.min_by("value", "position").alias("line"))
     named = first.select(
         plain_path("encoded").alias("path"), _parse_headers("line").alias("header")
     )

@@ -70,6 +70,8 @@ def read_layout(spark: SparkSession, header: Sequence[str], paths: Sequence[str]
 def read_sales_csv(spark: SparkSession, accepted: DataFrame, pack=pack_extras) -> DataFrame:
     """Every row of every accepted file: the sales columns, ``source_file``, ``malformed_line``.
 
+    Use ``stage_sales`` to tell good rows from bad.
+
     A CSV scan matches columns by position, so files are read together only when their headers
     are equal: the plan has one scan per distinct header, however many files there are. What comes
     to the driver is file names (which Spark's own file index holds there as well), never rows.
@@ -82,6 +84,18 @@ def read_sales_csv(spark: SparkSession, accepted: DataFrame, pack=pack_extras) -
     return union_files(read_layout(spark, h, files[h], pack) for h in sorted(files))
 
 
+def stage_sales(spark: SparkSession, accepted: DataFrame, path: str, pack=pack_extras
+                ) -> DataFrame:
+    """``read_sales_csv`` written to Parquet at ``path`` and read back.
+
+    The files are parsed once, whole. Splitting well-formed from malformed rows must start from
+    here: on the raw files a query that needs few columns would have Spark parse only those, and
+    a fault in another column would go unseen.
+    """
+    read_sales_csv(spark, accepted, pack).write.mode("overwrite").parquet(path)
+    return spark.read.schema(STAGED_SCHEMA).parquet(path)
+
+
 def well_formed(staged: DataFrame) -> DataFrame:
     """The sales columns of rows that were read without fault."""
     return staged.filter(F.col(RAW_LINE).isNull()).select(*SALES_SCHEMA.names)
