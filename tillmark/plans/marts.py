@@ -32,8 +32,9 @@ from tillmark.operators.monthly import (
     ALL_KEYS,
     CUSTOMER_MONTH,
     SELLER_MONTH,
+    month_as_text,
     monthly_totals,
-    with_month,
+    with_month_start,
 )
 from tillmark.operators.ranking import pay_best_seller
 from tillmark.schema import MONEY
@@ -83,7 +84,7 @@ def _monthly_base(sales: DataFrame, checks: Collection[str], small: Collection[s
     what is shuffled to the check is one row per customer, store, seller and month, and no key is
     hot any more.
     """
-    dated = with_month(sales).select(*ALL_KEYS, "total_cost")
+    dated = with_month_start(sales).select(*ALL_KEYS, "total_cost")
     return dated if set(checks) <= set(small) else monthly_totals(dated, ALL_KEYS)
 
 
@@ -95,7 +96,7 @@ def customer_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFra
     """
     base = _monthly_base(sales, (STORE, SALES_TEAM), small)
     kept = known_seller(known_store(base, store, small), sales_team, small)
-    totals = monthly_totals(kept, CUSTOMER_MONTH)
+    totals = month_as_text(monthly_totals(kept, CUSTOMER_MONTH))
     who = customer_columns(customer)
     if CUSTOMER in small:
         who = F.broadcast(who)
@@ -114,7 +115,7 @@ def seller_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFrame
     """What each seller sold in each month and store."""
     base = _monthly_base(sales, (CUSTOMER, STORE), small)
     kept = known_store(known_customer(base, customer, small), store, small)
-    totals = monthly_totals(kept, SELLER_MONTH)
+    totals = month_as_text(monthly_totals(kept, SELLER_MONTH))
     who = seller_columns(sales_team)
     if SALES_TEAM in small:
         who = F.broadcast(who)

@@ -218,8 +218,8 @@ def incentive_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def distinct_customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly.with_month(supplied.sales(spark, sf_dir)).select(
-        "customer_id", "sales_month").distinct()
+    dated = monthly.with_month_start(supplied.sales(spark, sf_dir))
+    return monthly.month_as_text(dated.select(*monthly.CUSTOMER_MONTH).distinct())
 
 
 @query
