@@ -1,0 +1,176 @@
+"""Marts on disk, snapshots, appended tables, database options."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import DataFrameReader, DataFrameWriter
+
+from tillmark.operators.sizing import small_tables
+from tillmark.plans import marts
+from tillmark.sinks.parquet import (
+    NoSnapshot,
+    latest_epoch,
+    latest_snapshot,
+    publish_snapshot,
+    read_partitioned_mart,
+    snapshot_path,
+    write_mart,
+    write_partitioned_mart,
+)
+from tillmark.sinks.tables import AppendMismatch, append_run, append_table
+from tillmark.sources.dimensions import (
+    DuplicateKey,
+    FileTable,
+    JdbcTable,
+    assert_unique_key,
+    read_dimension,
+)
+
+
+@pytest.fixture
+def mart(world, ALL_SMALL):
+    sales = world.sales((1, 10, 100, "2024-01-05", "1"), (1, 10, 100, "2024-02-05", "2"),
+                        (2, 20, 101, "2024-02-06", "4"), (2, 20, 101, None, "8"))
+    return marts.sales_team_mart(sales, *world.dims, ALL_SMALL)
+
+
+def test_partitioned_mart_reads_back_and_prunes(spark, mart, tmp_path, rows_of):
+    path = str(tmp_path / "m")
+    write_partitioned_mart(mart, path)
+    back = read_partitioned_mart(spark, path)
+    assert rows_of(back.select(*mart.columns)) == rows_of(mart)
+    assert dict(back.dtypes)["sales_month"] == "string"
+    one = back.filter("sales_month = '2024-02' and store_id = 20")
+    assert rows_of(one, "total_cost") == [(D("4.00"),)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-02" in plan.split("PartitionFilters")[1][:120]
+
+
+@pytest.mark.parametrize("replace, months", [("all", ["2024-03"]),
+                                             ("touched", [None, "2024-01", "2024-02", "2024-03"])])
+def test_replacing_all_or_touched_partitions(spark, world, ALL_SMALL, mart, tmp_path, replace, months):
+    path = str(tmp_path / "m")
+    write_partitioned_mart(mart, path)
+    march = world.sales((1, 10, 100, "2024-03-01", "16"))
+    write_partitioned_mart(marts.sales_team_mart(march, *world.dims, ALL_SMALL), path, replace)
+    found = read_partitioned_mart(spark, path).select("sales_month").distinct().collect()
+    assert sorted((r[0] for r in found), key=lambda m: m or "") == months
+
+
+def test_a_hot_partition_is_split_over_tasks(spark, tmp_path):
+    """With all rows in one month and store, several tasks write."""
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "'2024-01' sales_month", "cast(10 as bigint) store_id", "sha2(string(id), 512) filler")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1MB"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        write_partitioned_mart(rows, str(tmp_path / "m"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "m").rglob("*.parquet"))) > 3
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 200_000
+
+
+def test_latest_snapshot_is_the_newest_complete_one(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(NoSnapshot):
+        latest_epoch(spark, root, "m")
+    for epoch in (1000, 2000, 10000):
+        publish_snapshot(spark.range(epoch // 1000), root, "m", epoch)
+    assert latest_snapshot(spark, root, "m").count() == 10
+    (tmp_path / "m" / "20000").mkdir()  # still being written: no marker yet
+    (tmp_path / "m" / "readme").mkdir()
+    assert latest_epoch(spark, root, "m") == 10000
+    publish_snapshot(spark.range(3), root, "m", 10000)  # the run is repeated
+    assert latest_snapshot(spark, root, "m").count() == 3
+    assert spark.read.parquet(snapshot_path(root, "m", 2000)).count() == 2
+
+
+def test_append_run_is_idempotent_and_completes_half_an_append(spark, tmp_path, rows_of):
+    table = FileTable(str(tmp_path / "t"))
+    result = spark.createDataFrame([(1, "2024-01", 5), (2, None, 6)], "id int, month string, v int")
+    half = result.filter("id = 2").selectExpr("*", "'r1' run_id")
+    append_table(half, table)
+    for run in ("r1", "r1", "r2"):
+        append_run(result, table, run, ("id", "month"))
+    assert rows_of(read_dimension(spark, table), "id", "run_id") == [
+        (1, "r1"), (1, "r2"), (2, "r1"), (2, "r2")]
+
+
+def test_append_run_reports_doubled_rows(spark, tmp_path):
+    table = FileTable(str(tmp_path / "t"))
+    result = spark.createDataFrame([(1, 5)], "id int, v int")
+    doubled = result.selectExpr("*", "'r1' run_id")
+    append_table(doubled.unionAll(doubled), table)
+    with pytest.raises(AppendMismatch):
+        append_run(result, table, "r1", ("id",))
+
+
+def test_append_errors_are_raised(spark, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("not a folder")
+    with pytest.raises(Exception, match="(?i)file|path"):
+        append_table(spark.range(1), FileTable(str(blocked / "t")))
+
+
+def test_database_scan_is_split_by_key_range(spark, monkeypatch):
+    """No database is started: what Spark's reader is asked for is recorded."""
+    asked = []
+
+    def jdbc(self, url, table, **kw):
+        asked.append((url, table, kw))
+        return spark.createDataFrame([(5, 104)], "lo bigint, hi bigint")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    source = JdbcTable("jdbc:x", "customer", {"user": "u"}, "customer_id", 8)
+    read_dimension(spark, source)
+    assert asked[0][1] == (
+        "(SELECT MIN(customer_id) AS lo, MAX(customer_id) AS hi FROM customer) key_range")
+    assert asked[1][1] == "customer"
+    assert asked[1][2] == {"column": "customer_id", "lowerBound": 5, "upperBound": 105,
+                           "numPartitions": 8, "properties": {"user": "u"}}
+    asked.clear()
+    read_dimension(spark, JdbcTable("jdbc:x", "store"))
+    assert asked == [("jdbc:x", "store", {"properties": {}})]
+
+
+def test_database_append_raises_what_the_writer_raises(spark, monkeypatch):
+    asked = []
+
+    def jdbc(self, url, table, mode=None, properties=None):
+        asked.append((url, table, mode, properties))
+        raise OSError("refused")
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    with pytest.raises(OSError, match="refused"):
+        append_table(spark.range(1), JdbcTable("jdbc:x", "t", {"user": "u"}))
+    assert asked == [("jdbc:x", "t", "append", {"user": "u"})]
+
+
+def test_unique_keys(spark, world):
+    assert_unique_key(world.customer, ["customer_id"])
+    nulls = spark.createDataFrame([(None,), (None,), (1,)], "id int")
+    assert_unique_key(nulls, ["id"])
+    with pytest.raises(DuplicateKey, match="store: 2 rows for id=10"):
+        assert_unique_key(world.store.unionAll(world.store.filter("id = 10")), ["id"], "store")
+
+
+def test_only_measured_small_tables_are_broadcast(spark, tmp_path):
+    write_mart(spark.range(1000).selectExpr("id", "repeat('x', 1000) text"), str(tmp_path / "wide"))
+    write_mart(spark.range(1000), str(tmp_path / "slim"))
+    write_mart(spark.range(0), str(tmp_path / "none"))
+    tables = {n: spark.read.parquet(str(tmp_path / n)) for n in ("wide", "slim", "none")}
+    assert small_tables(tables) == {"wide", "slim", "none"}
+    # On disk the repeated text takes a few kilobytes; what counts is what it takes in memory.
+    assert small_tables(tables, max_bytes=500_000) == {"slim", "none"}
+    assert small_tables(tables, max_rows=999) == {"none"}
+    assert small_tables(tables, max_bytes=10) == frozenset()
+
+
+def test_run_time_is_part_of_no_result(mart):
+    assert dt.datetime not in {type(v) for v in mart.first()}

@@ -34,7 +34,7 @@ def quarantine_files(rejected: DataFrame, root: str, run_id: str) -> None:
     """
     spark = rejected.sparkSession
     # File names only; the reader needs them to plan its scan.
-    paths = [r["path"] for r in rejected.select("path").toLocalIterator()]
+    paths = [r["path"] for r in rejected.select("path").collect()]
     if not paths:
         return
     (

@@ -47,10 +47,25 @@ def file_catalog(spark: SparkSession, landing: str) -> DataFrame:
         if err.getCondition() == "PATH_NOT_FOUND":
             raise NoInputFiles(f"no such landing folder: {landing}") from err
         raise
-    if listing.isEmpty():
+    listing = listing.select("path", "modificationTime", "length")
+    names = listing._jdf.inputFiles()
+    if not len(names):
         raise NoInputFiles(f"no files below {landing}")
-    return listing.select(
-        "path", base_name("path").alias("file_name"), "modificationTime", "length"
+    if len(names) > listing.count():
+        listing = listing.unionByName(_empty_files(listing, names))
+    return listing.withColumn("file_name", base_name("path"))
+
+
+def _empty_files(listing: DataFrame, names) -> DataFrame:
+    """Files of length 0, which a scan leaves out, from the names in Spark's file index."""
+    spark = listing.sparkSession
+    # One call for all names; they are percent-encoded and hold no line break.
+    text = spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join("\n", names)
+    encoded = spark.createDataFrame([(n,) for n in text.split("\n")], "value string")
+    path = F.regexp_replace(plain_path("value"), "^file:/+", "file:/")
+    return encoded.select(path.alias("path")).join(listing, "path", "left_anti").select(
+        "path", F.timestamp_seconds(F.lit(0)).alias("modificationTime"),
+        F.lit(0).cast("bigint").alias("length"),
     )
 
 
@@ -138,8 +153,8 @@ def discover_headers(files: DataFrame, landing: str, method: str = "auto") -> Da
     """Adds ``header``: the column names in the first line of each file; empty for an empty file.
 
     ``peek`` lets each task open its files and read only as far as the first line. ``scan`` is for
-    stores a Python task cannot open: one Spark job over the text, which reads the first block of
-    every file. ``auto`` takes ``peek`` where the store allows it.
+    stores a Python task cannot open: one Spark job over the text of all files, as a scan cannot
+    stop after the first line. ``auto`` takes ``peek`` where the store allows it.
     """
     if method == "auto":
         scheme = landing.partition(":")[0] if ":" in landing else "file"

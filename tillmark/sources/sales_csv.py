@@ -77,7 +77,7 @@ def read_sales_csv(spark: SparkSession, accepted: DataFrame, pack=pack_extras) -
     to the driver is file names (which Spark's own file index holds there as well), never rows.
     """
     files: dict[tuple[str, ...], list[str]] = {}
-    for row in accepted.select("header", "path").toLocalIterator():
+    for row in accepted.select("header", "path").collect():
         files.setdefault(tuple(row["header"]), []).append(row["path"])
     if not files:
         return empty_sales(spark, STAGED_SCHEMA)
