@@ -22,6 +22,7 @@ from tillmark.sinks.parquet import latest_snapshot
 from tillmark.sinks.quarantine import quarantined_files, quarantined_rows
 from tillmark.sources.catalog import NoInputFiles
 from tillmark.sources.dimensions import DuplicateKey, FileTable
+from tillmark.storage import fresh_folder, path_exists
 
 HEADER = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
 T1 = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)
@@ -137,6 +138,29 @@ def test_a_failed_run_stays_open_and_can_be_resumed(spark, shop, rows_of, monkey
     assert set(statuses(spark, conf).values()) == {"I"}
 
 
+def test_tables_without_a_run_column(spark, shop):
+    run_batch(spark, shop(run_column=False), T1)
+    assert shop.table(SELLER_MONTHLY).columns == [
+        "store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "incentive"]
+    assert shop.table(CUSTOMER_MONTHLY).count() == 3
+
+
+def test_staging_is_removed_after_success_only(spark, shop, monkeypatch):
+    made = []
+
+    def fresh(s, purpose):
+        made.append(fresh_folder(s, purpose))
+        return made[-1]
+
+    monkeypatch.setattr(batch, "fresh_folder", fresh)
+    with monkeypatch.context() as m:
+        m.setattr(batch, "ledger_close", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_batch(spark, shop(), T1)
+    run_batch(spark, shop(on_unfinished="resume"), T2)
+    assert [path_exists(spark, p) for p in made] == [True, False]
+
+
 def test_nothing_usable(spark, shop, tmp_path):
     only_bad = tmp_path / "only_bad"
     only_bad.mkdir()

@@ -29,8 +29,8 @@ from tillmark.plans.ledger import (
 from tillmark.schema import INACTIVE
 from tillmark.sinks.parquet import publish_snapshot, write_mart
 from tillmark.sinks.quarantine import quarantine_files, quarantine_rows, quarantined_files
-from tillmark.sinks.storage import fresh_folder
-from tillmark.sinks.tables import append_run
+from tillmark.storage import fresh_folder, remove_folder
+from tillmark.sinks.tables import append_run, append_table
 from tillmark.sources.catalog import build_manifest, file_catalog, split_manifest
 from tillmark.sources.dimensions import (
     FileTable,
@@ -67,15 +67,17 @@ class BatchConfig:
     """Where a run reads and writes. Nothing is fixed in the code.
 
     ``dimensions`` names a source for customer, store and sales_team. ``monthly_tables`` may name
-    tables that the two monthly results are appended to. ``on_unfinished`` is what to do about
-    files an earlier run left unfinished: ``"fail"``, or ``"resume"`` that run first under its own
-    id.
+    tables that the two monthly results are appended to; with ``run_column`` (the default) these
+    have a ``run_id`` column, by which a repeated run adds nothing twice. ``on_unfinished`` is what
+    to do about files an earlier run left unfinished: ``"fail"``, or ``"resume"`` that run first
+    under its own id. What is staged in the shared folder is removed after a run has succeeded.
     """
 
     landing: str
     root: str
     dimensions: Mapping[str, JdbcTable | FileTable]
     monthly_tables: Mapping[str, JdbcTable | FileTable] = field(default_factory=dict)
+    run_column: bool = True
     on_unfinished: str = "fail"
     header_method: str = "auto"
     audit_unmatched: bool = False
@@ -105,8 +107,13 @@ def run_batch(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime) -> Ba
     rejected, ``UnfinishedRun`` as configured. Any failure of a later stage is raised too and
     leaves the run open in the ledger.
     """
-    run_ts = run_ts.astimezone(dt.timezone.utc)
     work = fresh_folder(spark, "run")
+    report = _run(spark, conf, run_ts.astimezone(dt.timezone.utc), work)
+    remove_folder(spark, work)
+    return report
+
+
+def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str) -> BatchReport:
     run_id = str(int(run_ts.timestamp()) * 1000)
 
     catalog = file_catalog(spark, conf.landing)
@@ -195,8 +202,11 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
     ):
         published = publish_snapshot(result, conf.root, name, epoch)
         if name in conf.monthly_tables:
-            append_run(spark.read.parquet(published), conf.monthly_tables[name], run_id,
-                       MONTHLY_KEYS[name])
+            rows, target = spark.read.parquet(published), conf.monthly_tables[name]
+            if conf.run_column:
+                append_run(rows, target, run_id, MONTHLY_KEYS[name])
+            else:
+                append_table(rows, target)
     if conf.audit_unmatched:
         write_mart(unmatched_sales(*star), f"{conf.root}/unmatched_sales/{epoch}")
     ledger_close(files, conf.ledger, run_id, max(run_ts, dt.datetime.now(dt.timezone.utc)))

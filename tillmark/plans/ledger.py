@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.schema import ACTIVE, INACTIVE
-from tillmark.sinks.storage import path_exists
+from tillmark.storage import path_exists
 
 EVENT_SCHEMA = (
     "run_id string, file_name string, file_location string, status string, "

@@ -9,7 +9,7 @@ from tillmark.operators.enrich import SALES_TEAM
 from tillmark.operators.sizing import small_tables
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
-from tillmark.sinks.storage import fresh_folder
+from tillmark.storage import fresh_folder
 
 # The shapes files come in. The three good ones hold the line items by return flag.
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"

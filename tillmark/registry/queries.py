@@ -28,7 +28,7 @@ from tillmark.registry.landing import land
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
 from tillmark.sinks import parquet, quarantine, tables
-from tillmark.sinks.storage import ensure_checkpoints, fresh_folder
+from tillmark.storage import ensure_checkpoints, fresh_folder
 from tillmark.sources import sales_csv, synth
 from tillmark.sources.catalog import (
     build_manifest,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.sinks.storage import child_folders, path_exists
+from tillmark.storage import child_folders, path_exists
 
 PARTITION_COLUMNS = ("sales_month", "store_id")
 

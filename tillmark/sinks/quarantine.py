@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.columns import base_name, plain_path
-from tillmark.sinks.storage import path_exists
+from tillmark.storage import path_exists
 from tillmark.sources.sales_csv import RAW_LINE, SOURCE_FILE
 
 MANIFEST_SCHEMA = (

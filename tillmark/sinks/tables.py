@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.sinks.storage import path_exists
+from tillmark.storage import path_exists
 from tillmark.sources.dimensions import FileTable, JdbcTable
 
 RUN_ID = "run_id"

@@ -22,6 +22,7 @@ from tillmark.functions.columns import (
     missing_columns,
     plain_path,
 )
+from tillmark.storage import scheme_of
 
 _NAMES = T.ArrayType(T.StringType())
 
@@ -157,8 +158,7 @@ def discover_headers(files: DataFrame, landing: str, method: str = "auto") -> Da
     stop after the first line. ``auto`` takes ``peek`` where the store allows it.
     """
     if method == "auto":
-        scheme = landing.partition(":")[0] if ":" in landing else "file"
-        method = "peek" if scheme in _PEEK_SCHEMES else "scan"
+        method = "peek" if scheme_of(files.sparkSession, landing) in _PEEK_SCHEMES else "scan"
     if method == "peek":
         return _peek_headers(files)
     if method == "scan":

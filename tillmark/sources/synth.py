@@ -29,9 +29,13 @@ LAST_DAY = dt.date(2023, 8, 20)
 
 VARIANTS = ("dated", "daily", "extra_column", "missing_column")
 
+CUSTOMER_ADDRESS = "Delhi"
+CUSTOMER_PINCODE = "122009"
+PHONE_PREFIX = "91"
+FIRST_JOINING_DAY = dt.date(2020, 1, 1)
+
 GIVEN_NAMES = ("Asha", "Bela", "Chand", "Dev", "Esha", "Farid", "Gita", "Hari")
 FAMILY_NAMES = ("Anand", "Bose", "Chopra", "Das", "Gill", "Iyer", "Khan", "Rao")
-FIRST_JOINING_DAY = dt.date(2020, 1, 1)
 
 
 def draw(id_: Column, what: str, n: int, seed: int = 0) -> Column:
@@ -95,9 +99,9 @@ def synth_customers(ids: DataFrame, id_col: str = "id", seed: int = 0) -> DataFr
         i.cast("bigint").alias("customer_id"),
         _pick(GIVEN_NAMES, draw(i, "given", len(GIVEN_NAMES), seed)).alias("first_name"),
         _pick(FAMILY_NAMES, draw(i, "family", len(FAMILY_NAMES), seed)).alias("last_name"),
-        F.lit("Delhi").alias("address"),
-        F.lit("122009").alias("pincode"),
-        F.concat(F.lit("91"), F.lpad(draw(i, "phone", 10**8, seed).cast("string"), 8, "0"))
+        F.lit(CUSTOMER_ADDRESS).alias("address"),
+        F.lit(CUSTOMER_PINCODE).alias("pincode"),
+        F.concat(F.lit(PHONE_PREFIX), F.lpad(draw(i, "phone", 10**8, seed).cast("string"), 8, "0"))
         .alias("phone_number"),
         F.date_add(F.lit(FIRST_JOINING_DAY), draw(i, "joined", span, seed).cast("int"))
         .alias("customer_joining_date"),

@@ -20,6 +20,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def scheme_of(spark: SparkSession, path: str) -> str:
+    """``file``, ``hdfs``, ``s3a`` ...; also for a path that leaves it to the cluster's default."""
+    return _fs(spark, path)[0].getUri().getScheme()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; empty when it does not exist."""
     fs, p = _fs(spark, path)
@@ -35,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     that is an error, as its executors would not see such a folder.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
     if not sc.master.startswith("local"):
