@@ -184,6 +184,24 @@ def test_quarantine_keeps_files_apart(spark, land, tmp_path, rows_of):
                               ("y", "3"), ("y", "wrong")]
 
 
+def test_names_with_pattern_characters(spark, land, tmp_path, rows_of):
+    landing = land(**{"a[1]": f"{HEADER}\n{LINE}\n", "a1": f"{HEADER}\n{LINE}\n",
+                      "b{x,y}*?": f"{HEADER},promo\n{LINE},p\n", "q[2]": "wrong\n"})
+    accepted, rejected = split_manifest(manifest_of(spark, landing))
+    assert rows_of(read_sales_csv(spark, accepted), "additional_column") == [("p",), (None,), (None,)]
+    quarantine_files(rejected, str(tmp_path / "q"), "7")
+    assert rows_of(quarantined_lines(spark, str(tmp_path / "q")), "value") == [("wrong",)]
+
+
+def test_many_headers_are_staged_in_several_jobs(spark, land, tmp_path, rows_of):
+    landing = land(**{f"f{i}": f"{HEADER},x{i}\n{LINE},v{i}\n" for i in range(7)})
+    accepted, _ = split_manifest(manifest_of(spark, landing))
+    path = str(tmp_path / "staged")
+    for _ in range(2):  # a repeated run replaces what it wrote
+        got = stage_sales(spark, accepted, path, headers_per_job=3)
+    assert rows_of(got, "additional_column") == [(f"v{i}",) for i in range(7)]
+
+
 def test_one_scan_per_header(spark, land):
     files = {f"f{i}": f"{HEADER}\n{LINE}\n" for i in range(12)}
     files |= {f"g{i}": f"{HEADER},promo\n{LINE},p\n" for i in range(12)}

@@ -33,8 +33,9 @@ def rank_many_sellers(totals: DataFrame, total: str = "total_sales", slices: int
     is its rank within the slice plus the number of sellers in the slices above. The cuts only
     decide how evenly the work is spread; any cuts give the same ranks. They are approximate
     percentiles, which a repeated task may compute differently, so they are checkpointed: all
-    uses must see the same ones.
+    uses must see the same ones. So are the totals, which are used three times.
     """
+    totals = totals.checkpoint()
     shares = [i / slices for i in range(1, slices)]
     cuts = (
         totals.groupBy(*STORE_MONTH)

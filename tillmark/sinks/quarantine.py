@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.columns import base_name, plain_path
-from tillmark.storage import path_exists
+from tillmark.storage import literal_path, path_exists
 from tillmark.sources.sales_csv import RAW_LINE, SOURCE_FILE
 
 MANIFEST_SCHEMA = (
@@ -26,7 +26,7 @@ def _file_id(path: Column) -> Column:
 
 
 def quarantine_files(rejected: DataFrame, root: str, run_id: str) -> None:
-    """Writes the manifest of rejected files and copies their lines, byte for byte, as text.
+    """Writes the manifest of rejected files and copies their lines, whatever bytes they hold.
 
     Lines go to ``lines/run_id=<run>/file_id=<id>/``. Each task writes the part of a file it reads,
     so nothing is shuffled and a file of any size is copied by many tasks. The lines come first:
@@ -34,7 +34,7 @@ def quarantine_files(rejected: DataFrame, root: str, run_id: str) -> None:
     """
     spark = rejected.sparkSession
     # File names only; the reader needs them to plan its scan.
-    paths = [r["path"] for r in rejected.select("path").collect()]
+    paths = [literal_path(r["path"]) for r in rejected.select("path").collect()]
     if not paths:
         return
     (

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tillmark.functions.columns import pack_extras
 from tillmark.schema import ADDITIONAL, MANDATORY, MANDATORY_TYPES, SALES_SCHEMA
+from tillmark.storage import literal_path
 
 SOURCE_FILE = "source_file"
 RAW_LINE = "malformed_line"
@@ -58,7 +59,7 @@ def read_layout(spark: SparkSession, header: Sequence[str], paths: Sequence[str]
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", raw)
         .option("dateFormat", "yyyy-MM-dd")
-        .csv(list(paths))
+        .csv([literal_path(p) for p in paths])
     )
     extras = [n for n in header if n not in MANDATORY_TYPES]
     return conform(
@@ -67,32 +68,42 @@ def read_layout(spark: SparkSession, header: Sequence[str], paths: Sequence[str]
     )
 
 
+def _files_by_header(accepted: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """File names, which Spark's own file index holds on the driver as well; never rows."""
+    files: dict[tuple[str, ...], list[str]] = {}
+    for row in accepted.select("header", "path").collect():
+        files.setdefault(tuple(row["header"]), []).append(row["path"])
+    return dict(sorted(files.items()))
+
+
 def read_sales_csv(spark: SparkSession, accepted: DataFrame, pack=pack_extras) -> DataFrame:
     """Every row of every accepted file: the sales columns, ``source_file``, ``malformed_line``.
 
-    Use ``stage_sales`` to tell good rows from bad.
-
     A CSV scan matches columns by position, so files are read together only when their headers
-    are equal: the plan has one scan per distinct header, however many files there are. What comes
-    to the driver is file names (which Spark's own file index holds there as well), never rows.
+    are equal: the plan has one scan per distinct header, however many files there are. Use
+    ``stage_sales`` to tell good rows from bad, and for more headers than a plan should hold.
     """
-    files: dict[tuple[str, ...], list[str]] = {}
-    for row in accepted.select("header", "path").collect():
-        files.setdefault(tuple(row["header"]), []).append(row["path"])
+    files = _files_by_header(accepted)
     if not files:
         return empty_sales(spark, STAGED_SCHEMA)
-    return union_files(read_layout(spark, h, files[h], pack) for h in sorted(files))
+    return union_files(read_layout(spark, h, paths, pack) for h, paths in files.items())
 
 
-def stage_sales(spark: SparkSession, accepted: DataFrame, path: str, pack=pack_extras
-                ) -> DataFrame:
-    """``read_sales_csv`` written to Parquet at ``path`` and read back.
+def stage_sales(spark: SparkSession, accepted: DataFrame, path: str, pack=pack_extras,
+                headers_per_job: int = 64) -> DataFrame:
+    """The rows of ``read_sales_csv`` written to Parquet at ``path`` and read back.
 
     The files are parsed once, whole. Splitting well-formed from malformed rows must start from
     here: on the raw files a query that needs few columns would have Spark parse only those, and
-    a fault in another column would go unseen.
+    a fault in another column would go unseen. Any number of distinct headers is dealt with by
+    writing in several jobs.
     """
-    read_sales_csv(spark, accepted, pack).write.mode("overwrite").parquet(path)
+    files = list(_files_by_header(accepted).items())
+    empty_sales(spark, STAGED_SCHEMA).write.mode("overwrite").parquet(path)
+    for start in range(0, len(files), headers_per_job):
+        layouts = files[start:start + headers_per_job]
+        union_files(read_layout(spark, h, paths, pack) for h, paths in layouts).write.mode(
+            "append").parquet(path)
     return spark.read.schema(STAGED_SCHEMA).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def literal_path(path: str) -> str:
+    """A path Spark's readers take as it is, even with characters that would form a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def scheme_of(spark: SparkSession, path: str) -> str:
     """``file``, ``hdfs``, ``s3a`` ...; also for a path that leaves it to the cluster's default."""
     return _fs(spark, path)[0].getUri().getScheme()
