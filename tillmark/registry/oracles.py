@@ -275,10 +275,14 @@ SELECT {_CANONICAL}, CAST(NULL AS VARCHAR) AS additional_column FROM sales""",
     "extension_triage": _LANDED.replace(" AS shape", " AS shape, TRUE AS is_csv").replace(
         "'no_store'", "'no_store', TRUE") + "\n  UNION SELECT 'notes', FALSE FROM region",
     "file_headers": f"""
-WITH landed AS ({_LANDED})
-SELECT method, shape, CASE shape
-  {" ".join(f"WHEN '{s}' THEN '{h}'" for s, h in _HEADERS.items())} END AS header
-FROM landed JOIN (VALUES ('peek'), ('scan')) AS m(method) ON TRUE""",
+WITH landed AS ({_LANDED}),
+headers AS (
+  SELECT shape, CASE shape
+    {" ".join(f"WHEN '{s}' THEN '{h}'" for s, h in _HEADERS.items())} END AS header
+  FROM landed)
+SELECT 'peek' AS method, shape, header FROM headers
+UNION ALL
+SELECT 'scan', shape, header FROM headers""",
     "manifest": f"""
 WITH landed AS ({_LANDED} UNION SELECT 'notes' FROM region)
 SELECT shape, shape NOT IN ('no_store', 'notes') AS accepted,
@@ -308,7 +312,9 @@ SELECT 'notes', r_name, 'not a .csv file' FROM region""",
     "run_whole_batch": _WHOLE + "," + _INCENTIVE,
     "read_dimension_table": "SELECT * FROM customer",
     "append_table": _WHOLE + ", result AS (" + _CUSTOMER_MONTHLY + """)
-SELECT result.*, run_id FROM result JOIN (VALUES ('1'), ('2')) AS r(run_id) ON TRUE""",
+SELECT result.*, '1' AS run_id FROM result
+UNION ALL
+SELECT result.*, '2' FROM result""",
     "ledger_state": f"""
 SELECT {_ORDER_FILES} AS file_name, 'in/' || {_ORDER_FILES} AS file_location,
        CASE WHEN o_orderstatus = 'F' THEN 'I' ELSE 'A' END AS status, '1' AS run_id,

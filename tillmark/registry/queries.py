@@ -366,7 +366,7 @@ def _order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as if all orders had been taken up, and those of status F finished a day later."""
     files = _order_files(spark, sf_dir)
-    day = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    day = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
     opened = ledger.make_events(files, "1", ACTIVE, day)
     closed = ledger.make_events(files.filter("o_orderstatus = 'F'"), "1", INACTIVE,
                                 day + dt.timedelta(days=1))

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,9 @@ from tillmark.functions.columns import (
 )
 from tillmark.storage import scheme_of
 
+# Tasks get this module's functions with their code, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _NAMES = T.ArrayType(T.StringType())
 
 # Stores that a Python task can open without Hadoop's client libraries.
