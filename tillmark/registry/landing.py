@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.operators.enrich import SALES_TEAM
-from tillmark.operators.sizing import small_tables
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
 from tillmark.storage import fresh_folder
@@ -24,7 +22,7 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
     CSV. ``bad_cells`` writes ``n/a`` for the quantity of sales of more than 45 pieces.
     """
     landing, base = fresh_folder(spark, "landing"), fresh_folder(spark, "sales")
-    small = small_tables({SALES_TEAM: supplied.sellers(spark, sf_dir)})
+    small = supplied.small_dimensions(spark, sf_dir)
     derived = supplied.sales(spark, sf_dir, small, products=True,
                              keep=("l_returnflag", "l_linestatus"))
     if bad_cells:

@@ -128,6 +128,25 @@ def sales(spark: SparkSession, sf_dir: str, small: frozenset[str] = frozenset(),
     )
 
 
+def small_dimensions(spark: SparkSession, sf_dir: str) -> frozenset[str]:
+    """Which dimensions may be broadcast.
+
+    A row of a dimension is a row of its table and at most two short names from ``nation`` and
+    ``region``, whose few rows are measured along with it; so the tables are measured, without the
+    joins that add the names.
+    """
+    names = {n: table(spark, sf_dir, n) for n in ("nation", "region")}
+    tables = {
+        CUSTOMER: table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"),
+        SALES_TEAM: table(spark, sf_dir, "supplier").select(
+            "s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+    }
+    small = small_tables({**names, **tables})
+    if not names.keys() <= small:
+        return frozenset()
+    return frozenset({STORE, *(small & tables.keys())})
+
+
 def star(spark: SparkSession, sf_dir: str, narrowed: bool = False, products: bool = False) -> Star:
     """Everything at once.
 
@@ -140,5 +159,5 @@ def star(spark: SparkSession, sf_dir: str, narrowed: bool = False, products: boo
         c = c.join(debtors, c.customer_id == debtors.c_custkey, "left_anti")
         st = st.filter("store_manager_name <> 'ASIA'")
         se = se.filter("is_manager = 'N'")
-    small = small_tables({CUSTOMER: c, STORE: st, SALES_TEAM: se})
+    small = small_dimensions(spark, sf_dir)
     return Star(sales(spark, sf_dir, small, products), c, st, se, small)
