@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions.columns import incentive
+from tillmark.storage import fresh_folder, stored
 
 STORE_MONTH = ("store_id", "sales_month")
 
@@ -32,17 +33,18 @@ def rank_many_sellers(totals: DataFrame, total: str = "total_sales", slices: int
     Totals of each store and month are cut into slices of about equal size. The rank of a seller
     is its rank within the slice plus the number of sellers in the slices above. The cuts only
     decide how evenly the work is spread; any cuts give the same ranks. They are approximate
-    percentiles, which a repeated task may compute differently, so they are checkpointed: all
-    uses must see the same ones. So are the totals, which are used three times.
+    percentiles, which a repeated task may compute differently, so they are written to the shared
+    folder: all uses must see the same ones. So are the totals, which are used three times.
     """
-    totals = totals.checkpoint()
+    folder = fresh_folder(totals.sparkSession, "ranks")
+    totals = stored(totals, f"{folder}/totals")
     shares = [i / slices for i in range(1, slices)]
-    cuts = (
+    cuts = stored(
         totals.groupBy(*STORE_MONTH)
         .agg(F.percentile_approx(total, shares, 1000).alias("cuts"))
         .select(F.col("store_id").alias("cut_store"), F.col("sales_month").alias("cut_month"),
-                "cuts")
-        .checkpoint()
+                "cuts"),
+        f"{folder}/cuts",
     )
     same_group = F.col("store_id").eqNullSafe(F.col("cut_store")) & F.col(
         "sales_month").eqNullSafe(F.col("cut_month"))

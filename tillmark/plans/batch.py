@@ -29,7 +29,7 @@ from tillmark.plans.ledger import (
 from tillmark.schema import INACTIVE
 from tillmark.sinks.parquet import publish_snapshot, write_mart
 from tillmark.sinks.quarantine import quarantine_files, quarantine_rows, quarantined_files
-from tillmark.storage import fresh_folder, remove_folder
+from tillmark.storage import fresh_folder, remove_folder, stored
 from tillmark.sinks.tables import append_run, append_table
 from tillmark.sources.catalog import build_manifest, file_catalog, split_manifest
 from tillmark.sources.dimensions import (
@@ -120,8 +120,8 @@ def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str)
     state = ledger_state(ledger_events(spark, conf.ledger))
     if not state.filter((F.col("run_id") == run_id) & (F.col("status") == INACTIVE)).isEmpty():
         raise ValueError(f"run {run_id} is finished already")
-    waiting = _stored(_not_rejected(without_finished(catalog, state), spark, conf),
-                      f"{work}/waiting")
+    waiting = stored(_not_rejected(without_finished(catalog, state), spark, conf),
+                     f"{work}/waiting")
     left_over = unfinished_files(waiting, state).select("path")
     earlier = [] if left_over.isEmpty() else _open_runs(left_over, state)
     if earlier and conf.on_unfinished != "resume":
@@ -129,8 +129,8 @@ def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str)
 
     if waiting.isEmpty():
         return BatchReport((), 0, 0)
-    manifest = _stored(build_manifest(waiting, conf.landing, conf.header_method),
-                       f"{work}/manifest")
+    manifest = stored(build_manifest(waiting, conf.landing, conf.header_method),
+                      f"{work}/manifest")
     accepted, rejected = split_manifest(manifest)
     n_accepted, n_rejected = _counts(manifest)
     if n_rejected:
@@ -152,12 +152,6 @@ def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str)
     return BatchReport(tuple(runs), n_accepted, n_rejected)
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    """The frame as written to and read back from Parquet."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _not_rejected(catalog: DataFrame, spark: SparkSession, conf: BatchConfig) -> DataFrame:
     """Without files that were rejected before and have not changed since."""
     known = quarantined_files(spark, conf.quarantine)
@@ -187,7 +181,7 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
     dims = {}
     for name in DIMENSIONS:
         # Read once per run: all results see the same rows, and a database is asked only once.
-        dims[name] = _stored(read_dimension(spark, conf.dimensions[name]), f"{work}/{name}")
+        dims[name] = stored(read_dimension(spark, conf.dimensions[name]), f"{work}/{name}")
         assert_unique_key(dims[name], [DIMENSION_KEYS[name]], name)
     small = small_tables(dims)
     star = (sales, dims[CUSTOMER], dims[STORE], dims[SALES_TEAM], small)

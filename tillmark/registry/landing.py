@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
-from tillmark.storage import fresh_folder
+from tillmark.storage import fresh_folder, stored
 
 # The shapes files come in. The three good ones hold the line items by return flag.
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"
@@ -29,8 +29,7 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
         text = F.when(F.col("quantity") > 45, F.lit("n/a")).otherwise(
             F.col("quantity").cast("string"))
         derived = derived.withColumn("quantity", text)
-    derived.write.parquet(base)
-    rows = spark.read.schema(derived.schema).parquet(base)
+    rows = stored(derived, base)
 
     def write(df: DataFrame, shape: str) -> None:
         df.write.option("header", True).csv(f"{landing}/{shape}")

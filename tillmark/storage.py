@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -66,7 +66,7 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Sees to it that ``checkpoint()`` has a folder to write to."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The frame as written to and read back from Parquet: computed once, and cut from its past."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
