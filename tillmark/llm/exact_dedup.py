@@ -21,8 +21,13 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.common import fresh_folder, literal_path, lower_ascii, sha256_hex
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore."
+_STATE_SETTINGS = {
+    _STATE + "providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Else every state store, one a partition, takes megabytes of disk before it holds anything.
+    _STATE + "rocksdb.allowFAllocate": "false",
+}
 
 Digest = Callable[[Column], Column]
 
@@ -39,15 +44,17 @@ def _as_pattern(path: str) -> str:
 
 @contextmanager
 def _disk_backed_state(spark: SparkSession):
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE_SETTINGS}
+    for k, v in _STATE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _rows(table: DataFrame, digest: Digest) -> DataFrame:
