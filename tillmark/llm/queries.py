@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import exact_dedup, line_dedup
+from tillmark.llm import bpe, exact_dedup, line_dedup, packing
 from tillmark.llm.common import documents, sha256_hex, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +33,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_line_dedup"] = r"""
 WITH all_lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line_no
   FROM documents
 ), worded AS (
-  SELECT doc_id, at, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
-         row_number() OVER (PARTITION BY doc_id ORDER BY at) AS pos
+  SELECT doc_id, line_no, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
   FROM all_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), summed AS (
   SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM worded
@@ -64,8 +65,8 @@ WITH all_lines AS (
     SELECT * FROM doubled WHERE len(run) = m
     QUALIFY (doc_id, pos) <> min((doc_id, pos)) OVER (PARTITION BY m, run)) GROUP BY doc_id
 ), kept AS (
-  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS kept
-  FROM all_lines l LEFT JOIN worded w ON w.doc_id = l.doc_id AND w.at = l.at
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.line_no) AS kept
+  FROM all_lines l LEFT JOIN worded w ON w.doc_id = l.doc_id AND w.line_no = l.line_no
   LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.pos = w.pos
   WHERE g.doc_id IS NULL GROUP BY l.doc_id
 )
@@ -92,3 +93,20 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)
 """
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the bytes they decode to, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 4096 tokens."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(documents(spark, sf_dir), tokenizer).drop("ids")
