@@ -101,7 +101,8 @@ def suffix_names(docs: DataFrame, min_words: int = MIN_WORDS) -> list[DataFrame]
 
     Round 0 also has ``ahead`` and ``back``. The last round is the last with any row.
     """
-    levels = [_named(_lines(docs, min_words), ["id"], ["ahead", "back"], 0)]
+    lines = kept_table(_lines(docs, min_words), "lines")
+    levels = [_named(lines, ["id"], ["ahead", "back"], 0)]
     while not levels[-1].isEmpty():
         length = 2 ** (len(levels) - 1)
         here = levels[-1].select("place", F.col("name").alias("head"))
