@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, exact_dedup, line_dedup, packing
+from tillmark.llm import (
+    bpe,
+    exact_dedup,
+    langid,
+    line_dedup,
+    packing,
+    quality,
+    secret_scan,
+)
 from tillmark.llm.common import documents, sha256_hex, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +118,27 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 4096 tokens."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(documents(spark, sf_dir), tokenizer).drop("ids")
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a network trained on those that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.identify(docs, model).select(
+        "row.doc_id", langid.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: by fixed patterns, and those a network adds."""
+    docs = documents(spark, sf_dir)
+    return secret_scan.counts(secret_scan.scan(docs, secret_scan.train(docs)))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rule and the verdict of weighed votes for every document."""
+    return quality.judged(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior")
