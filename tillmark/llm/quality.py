@@ -144,8 +144,8 @@ def rules() -> Mapping[str, Column]:
         "lines_do_not_end": (ended < 0.1) & (n >= 20),
     }
     merits = {
-        "plain": (symbols < 0.02) & (upper < 0.1) & (letters >= 0.9),
-        "varied": (repeats < 0.1) & (dups < 0.1) & (n >= 50),
+        "plain": (symbols < 0.05) & (upper < 0.2) & (letters >= 0.8),
+        "varied": (repeats <= 0.3) & (dups <= 0.3) & (n >= 50),
     }
     return (
         {k: F.when(f, BAD).otherwise(ABSTAIN) for k, f in faults.items()}
