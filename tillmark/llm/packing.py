@@ -55,7 +55,7 @@ class WordTokenizer:
         import numpy as np
 
         words = text.replace("\n", " ").split(" ")
-        new = list(set(words) - self.known.keys())
+        new = [w for w in set(words) if w not in self.known]
         if new:
             if len(self.known) + len(new) > REMEMBERED_WORDS:
                 self.known.clear()
