@@ -135,7 +135,7 @@ def rules() -> Mapping[str, Column]:
     faults = {
         "too_short": n < 50,
         "symbols": symbols > 0.1,
-        "repeated_lines": dups > 0.3,
+        "repeated_lines": (dups > 0.3) & (F.col("n_lines") >= 6),
         "repeated_words": repeats > 0.3,
         "odd_word_length": ~length.between(3, 10),
         "shouted": upper > 0.3,
