@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import digest16, kept_table, ship_by_value, worker_cache
+from tillmark.llm.common import digest16, kept_table, ship_by_value, sliced, worker_cache
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
@@ -79,7 +79,7 @@ def _one(column: str, values: list, kind: pa.DataType, batch: pa.RecordBatch) ->
 def _encoded(texts: DataFrame, rank_file, pattern: str) -> DataFrame:
     """``text`` replaced by ``ids``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = encode_texts(batch.column("text").to_pylist(), rank_file.value, pattern)
             yield _one("ids", ids, pa.binary(), batch)
 
@@ -97,7 +97,7 @@ def _chunks(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
 def _cuts(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFrame:
     """Where in chunk ``n`` its piece begins and ends; null where neighbours are not in step."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             head, tail = [], []
             for t in texts:
@@ -158,7 +158,7 @@ def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
         ranks = _vocabulary(rank_file.value)
         by_id = worker_cache(("bpe-bytes", hash(rank_file.value)),
                              lambda: {i: b for b, i in ranks.items()})
-        for batch in batches:
+        for batch in sliced(batches):
             out = [None if x is None else b"".join(map(by_id.__getitem__, np.frombuffer(x, "<u4").tolist()))
                    for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,13 +52,30 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small parts, so that a task holds the results of a few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def text_apart(docs: DataFrame) -> DataFrame:
+    """``text``, and all other columns as ``row``, whatever their names."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("row"), "text")
+
+
+def row_type(apart: DataFrame) -> str:
+    return f"row {apart.schema['row'].dataType.simpleString()}"
+
+
 def kept_table(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, readable after any executor is lost."""
     return stored(df, fresh_folder(df.sparkSession, f"llm-{purpose}"))
 
 
 __all__ = [
-    "digest16", "documents", "fresh_folder", "kept_table", "literal_path", "lower_ascii",
-    "sha256_hex", "ship_by_value", "table_path", "worker_cache",
+    "digest16", "documents", "fresh_folder", "kept_table", "literal_path", "lower_ascii", "row_type",
+    "sha256_hex", "ship_by_value", "sliced", "table_path", "text_apart", "worker_cache",
 ]
 ship_by_value(__name__)
