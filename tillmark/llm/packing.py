@@ -16,6 +16,8 @@ fewer pieces than a bin takes, for each class.
 from __future__ import annotations
 
 import os
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import ship_by_value, worker_cache
+from tillmark.llm.common import ship_by_value, sliced, worker_cache
 
 CAPACITY = 4096
 END_TOKEN = 2
@@ -38,31 +40,67 @@ _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
            "sequence_id long, `offset` long, padded_to long, ids binary")
 
 
+class Remembered:
+    """What was made for a key, for the keys of late: two generations, the older one dropped when
+    the younger is full, so that frequent keys stay and memory is bounded."""
+
+    def __init__(self, limit: int):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.limit = limit
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Those that have to be made; the others are in ``young`` afterwards."""
+        if len(self.young) + len(keys) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old, lacking = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                got = old.get(k)
+                if got is None:
+                    lacking.append(k)
+                else:
+                    young[k] = got
+        return lacking
+
+
 class WordTokenizer:
-    """Ids of texts for a tokenizer that never joins across a space or a line break.
+    """Ids of texts for a tokenizer that folds case and never joins across a space or line break.
 
-    Most words come again and again: their ids are remembered, up to ``REMEMBERED_WORDS`` words.
+    Most words come again and again: their ids are remembered, as they stand in the text and as
+    bare words in lower case, without the stops that follow them.
     """
 
+    _STOPS = ".,;:!?"
+
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
+        self.words, self.bare = Remembered(REMEMBERED_WORDS), Remembered(REMEMBERED_WORDS)
 
-    def encode(self, text: str) -> bytes:
-        import numpy as np
+    def _parts(self, word: str) -> tuple[str, str]:
+        """The bare word and its stops, where these are separate tokens; else the word as it is."""
+        low = word.lower()
+        core = low.rstrip(self._STOPS)
+        if len(low) == len(word) and core.isalpha() and (
+                word.isascii() or ("\u03a3" not in word and unicodedata.is_normalized("NFC", word))):
+            return core, low[len(core):]
+        return word, ""
 
+    def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED_WORDS:
-                self.known.clear()
-                new = list(set(words))
-            for word, x in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(x.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        lacking = self.words.missing(set(words))
+        if lacking:
+            parts = [self._parts(w) for w in lacking]
+            new = self.bare.missing({x for p in parts for x in p})
+            for x, ids in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self.bare.young[x] = struct.pack(f"<{len(ids)}I", *ids.ids)
+            bare = self.bare.young
+            self.words.young.update(
+                (w, bare[core] + bare[stops]) for w, (core, stops) in zip(lacking, parts, strict=True))
+        return b"".join(map(self.words.young.__getitem__, words))
 
 
 def cut_lengths(n: int, capacity: int, smallest: int = 1) -> list[int]:
@@ -136,7 +174,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_tok
         tokenizer = worker_cache(("word-tokenizer", hash(text)), lambda: WordTokenizer(text))
         end = end_token.to_bytes(4, "little")
         bins = Bins(TaskContext.get().partitionId(), capacity, smallest)
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = tokenizer.encode(value.as_py() or "") + end
                 start, tokens = 0, len(ids) // 4
