@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.cnn import ByteNetwork
-from tillmark.llm.common import ship_by_value
+from tillmark.llm.common import row_type, ship_by_value, sliced, text_apart
 from tillmark.llm.kernel import Texts, small_batches
 
 WINDOW_BYTES = 256
@@ -110,14 +110,14 @@ def _has_letter(text: str | None) -> bool:
     return bool(text) and (bool(_LATIN.search(text)) or any(c.isalpha() for c in text))
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``row`` (all columns of ``docs``), ``lang_pred`` and ``score`` for each row."""
+def identify(docs: DataFrame, model: LanguageModel, with_text: bool = False) -> DataFrame:
+    """``row`` (the columns of ``docs`` but ``text``), ``lang_pred`` and ``score``; ``text`` if asked."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # the network: under 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = sent.value
-        for batch in batches:
-            text = batch.column("row").field("text") if "row" in batch.schema.names else None
+        for batch in sliced(batches):
+            text = batch.column("text")
             lang, score = [], []
             for at, part in small_batches(text):
                 found, value = (judge(part, net) if net.network is not None
@@ -126,12 +126,13 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     known = found[i] >= 0 and _has_letter(text[at + i].as_py())
                     lang.append(net.languages[found[i]] if known else UNDETERMINED)
                     score.append(float(value[i]) if known else 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"])
+            back = {"row": batch.column("row")} | ({"text": text} if with_text else {})
+            yield pa.RecordBatch.from_pydict(
+                back | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
 
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    apart = text_apart(docs)
+    kept = row_type(apart) + (", text string" if with_text else "")
+    return apart.mapInArrow(run, f"{kept}, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 5, fold: int = 0):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import kept_table, ship_by_value
+from tillmark.llm.common import kept_table, row_type, ship_by_value, text_apart
 from tillmark.llm.kernel import Texts, mix, rows_of, same_row, small_batches, window_hashes
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
@@ -104,7 +104,7 @@ def facts(texts: Texts) -> dict[str, np.ndarray]:
 
 
 def with_facts(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns of ``docs``) and the facts of its text."""
+    """``row`` (the columns of ``docs`` but ``text``) and the facts of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [facts(t) for _, t in small_batches(batch.column("text"))]
@@ -112,10 +112,8 @@ def with_facts(docs: DataFrame) -> DataFrame:
                      for f in FACTS]
             yield pa.RecordBatch.from_arrays([batch.column("row"), *found], names=["row", *FACTS])
 
-    rest = [c for c in docs.columns if c != "text"]  # the text itself does not come back
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), "text")
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, " + ", ".join(f"{f} long" for f in FACTS))
+    apart = text_apart(docs)
+    return apart.mapInArrow(run, f"{row_type(apart)}, " + ", ".join(f"{f} long" for f in FACTS))
 
 
 def _share(part: str, whole: str) -> Column:
