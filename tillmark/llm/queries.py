@@ -16,6 +16,7 @@ from tillmark.llm import (
     packing,
     quality,
     secret_scan,
+    toxicity,
 )
 from tillmark.llm.common import documents, sha256_hex, table_path
 
@@ -142,3 +143,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir).select("doc_id", "text")).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "posterior")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a lexicon learned from labels that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = langid.held_out(folds=3, fold=1)
+    labels = spark.read.parquet(table_path(sf_dir, "labels")).where(~held_out)
+    model = toxicity.train(docs, labels)
+    return toxicity.score(docs, model).select(
+        "row.doc_id", langid.held_out("row.doc_id", 3, 1).alias("held_out"), "score", "predicted", "hits")
