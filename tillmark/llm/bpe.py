@@ -51,6 +51,15 @@ def encode_texts(texts: list[str | None], rank_file: bytes, pattern: str) -> lis
     return [np.array(encode(t), "<u4").tobytes() if t else b"" for t in texts]
 
 
+def decode_ids(ids: list[bytes | None], rank_file: bytes) -> list[bytes | None]:
+    import numpy as np
+
+    by_id = worker_cache(("bpe-bytes", hash(rank_file)),
+                         lambda: {i: b for b, i in _vocabulary(rank_file).items()})
+    return [None if x is None else b"".join(map(by_id.__getitem__, np.frombuffer(x, "<u4").tolist()))
+            for x in ids]
+
+
 def boundaries(text: str, first: int, last: int, pattern: str) -> list[int]:
     """Ends of pre-tokens of ``text`` in [first, last) at which it may be cut.
 
@@ -69,22 +78,18 @@ def boundaries(text: str, first: int, last: int, pattern: str) -> list[int]:
     return found
 
 
-def _one(column: str, values: list, kind: pa.DataType, batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The batch without ``text``, with one column more."""
-    names = [n for n in batch.schema.names if n != "text"]
-    return pa.RecordBatch.from_arrays(
-        [batch.column(n) for n in names] + [pa.array(values, kind)], names=[*names, column])
-
-
-def _encoded(texts: DataFrame, rank_file, pattern: str) -> DataFrame:
-    """``text`` replaced by ``ids``."""
+def _encoded(texts: DataFrame, rank_file, pattern: str, decoded: bool) -> DataFrame:
+    """``text`` replaced by ``ids`` and ``decoded``, what they decode to, null unless asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             ids = encode_texts(batch.column("text").to_pylist(), rank_file.value, pattern)
-            yield _one("ids", ids, pa.binary(), batch)
+            back = decode_ids(ids, rank_file.value) if decoded else [None] * len(ids)
+            rest = {n: batch.column(n) for n in batch.schema.names if n != "text"}
+            yield pa.RecordBatch.from_pydict(
+                rest | {"ids": pa.array(ids, pa.binary()), "decoded": pa.array(back, pa.binary())})
 
     rest = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name != "text")
-    return texts.mapInArrow(run, f"{rest}, ids binary")
+    return texts.mapInArrow(run, f"{rest}, ids binary, decoded binary")
 
 
 def _chunks(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
@@ -121,8 +126,9 @@ def _cuts(chunks: DataFrame, pattern: str, chunk: int, overlap: int) -> DataFram
 
 
 def encode(docs: DataFrame, rank_path: str, pattern: str, chunk: int = CHUNK_CHARS,
-           overlap: int = OVERLAP_CHARS) -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of every row of ``docs``.
+           overlap: int = OVERLAP_CHARS, decoded: bool = False) -> DataFrame:
+    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of every row of ``docs``, and if asked
+    ``decoded``, the bytes that they decode to.
 
     ``rank_path`` is a file of ranks on the driver, which all executors get (about 1 MB).
     """
@@ -130,7 +136,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, chunk: int = CHUNK_CHA
         rank_file = docs.sparkSession.sparkContext.broadcast(f.read())
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     is_long = F.char_length("text") > chunk
-    short = _encoded(texts.where(~is_long), rank_file, pattern)
+    short = _encoded(texts.where(~is_long), rank_file, pattern, decoded)
     long = texts.where(is_long).select("doc_id", "text", digest16(F.col("text")).alias("key"))
     chunks = _chunks(long, chunk, overlap)
     cuts = kept_table(_cuts(chunks, pattern, chunk, overlap), "bpe-cuts")
@@ -138,29 +144,26 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, chunk: int = CHUNK_CHA
         "key", "n",
         F.when(F.col("last"), F.col("text").substr(F.col("begin") + 1, F.lit(chunk + overlap)))
         .otherwise(F.col("text").substr(F.col("begin") + 1, F.col("end") - F.col("begin"))).alias("text"))
-    joined = _encoded(pieces, rank_file, pattern).groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("n", "ids"))).alias("parts")).select(
-        "key", F.aggregate("parts.ids", F.lit(b""), lambda a, x: F.concat(a, x)).alias("ids"))
+    joined = _encoded(pieces, rank_file, pattern, decoded).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("n", "ids", "decoded"))).alias("parts")).select(
+        "key", *[F.aggregate(f"parts.{c}", F.lit(b""), lambda a, x: F.concat(a, x)).alias(c)
+                 for c in ("ids", "decoded")])
     unmet = cuts.where("unmet and last").select("key")
-    whole = _encoded(long.join(unmet, "key", "left_semi").select("doc_id", "text"), rank_file, pattern)
-    in_parts = long.select("doc_id", "key").join(joined, "key").select("doc_id", "ids")
-    return short.unionByName(in_parts).unionByName(whole)
+    whole = _encoded(long.join(unmet, "key", "left_semi").select("doc_id", "text"), rank_file,
+                     pattern, decoded)
+    in_parts = long.select("doc_id", "key").join(joined, "key").select("doc_id", "ids", "decoded")
+    out = short.unionByName(in_parts).unionByName(whole)
+    return out if decoded else out.drop("decoded")
 
 
 def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
     """``decoded`` (bytes) beside the columns of ``encoded``; null ids give null."""
-    import numpy as np
-
     with open(rank_path, "rb") as f:
         rank_file = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _vocabulary(rank_file.value)
-        by_id = worker_cache(("bpe-bytes", hash(rank_file.value)),
-                             lambda: {i: b for b, i in ranks.items()})
         for batch in sliced(batches):
-            out = [None if x is None else b"".join(map(by_id.__getitem__, np.frombuffer(x, "<u4").tolist()))
-                   for x in batch.column("ids").to_pylist()]
+            out = decode_ids(batch.column("ids").to_pylist(), rank_file.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 

@@ -108,8 +108,8 @@ FROM t WINDOW w AS (PARTITION BY norm)
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the bytes they decode to, as digests."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
