@@ -13,6 +13,7 @@ from tillmark.llm import (
     exact_dedup,
     langid,
     line_dedup,
+    near_dedup,
     packing,
     quality,
     secret_scan,
@@ -154,3 +155,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels)
     return toxicity.score(docs, model).select(
         "row.doc_id", langid.held_out("row.doc_id", 3, 1).alias("held_out"), "score", "predicted", "hits")
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document, and whether it is the one that stays."""
+    return near_dedup.near_duplicates(documents(spark, sf_dir)).drop("txt")
