@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.common import digest16, fresh_folder, kept_table, ship_by_value, sliced, stored, worker_cache
@@ -363,6 +363,10 @@ def components(links: DataFrame) -> DataFrame:
         edges = new
 
 
+def text_digest(text: str) -> Column:
+    return digest16(F.coalesce(F.col(text), F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id``, ``txt`` (digest of the text), ``class_id`` (the least ``doc_id`` of the class) and
     ``kept`` (whether the row is the one that stays) for every row of ``docs``.
@@ -371,7 +375,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"),
-        digest16(F.coalesce(F.col("text"), F.lit(""))).alias("txt"), "text")
+        text_digest("text").alias("txt"), "text")
     weights = feature_weights(keyed)
     signed = kept_table(_signed(keyed, weights), "near-signed")
     texts = signed.where("bands IS NOT NULL").groupBy("txt").agg(

@@ -17,6 +17,7 @@ from tillmark.llm import (
     packing,
     quality,
     secret_scan,
+    substring_dedup,
     toxicity,
 )
 from tillmark.llm.common import documents, sha256_hex, table_path
@@ -161,3 +162,36 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document, and whether it is the one that stays."""
     return near_dedup.near_duplicates(documents(spark, sf_dir)).drop("txt")
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words kept and removed, with the digest of what stays, for every document."""
+    return substring_dedup.dedup_substrings(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
+ORACLES["op2_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS a FROM d WHERE len(words) >= 20
+), windows AS (
+  SELECT doc_id, a, hash(array_to_string(words[a : a + 19], ' ')) AS h1,
+         md5(array_to_string(words[a : a + 19], ' ')) AS h2
+  FROM starts JOIN d USING (doc_id)
+), firsts AS (
+  SELECT h2, min((doc_id, a)) AS place, count(*) AS n FROM windows GROUP BY h2 HAVING count(*) > 1
+), later AS (
+  SELECT doc_id, a FROM windows JOIN firsts USING (h2) WHERE (doc_id, a) <> place
+), gone AS (
+  SELECT doc_id, list(DISTINCT pos) AS gone
+  FROM (SELECT doc_id, unnest(range(a, a + 20)) AS pos FROM later) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+         list_filter(words, lambda w, i: gone IS NULL OR NOT list_contains(gone, i)) AS kept
+  FROM d LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
+FROM kept
+"""
