@@ -41,11 +41,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: the one with the least id."""
-    stay = near_dedup.near_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("txt").alias("_txt")).distinct()
-    keyed = docs.select("*", near_dedup.text_digest("text").alias("_own"))
-    kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_txt")), "left_semi")
-    return kept.drop("_own")
+    stay = near_dedup.near_duplicates(docs).where("kept").select("key", "txt").distinct()
+    keyed = docs.select(F.struct("*").alias("row"), *near_dedup.text_key("doc_id", "text"))
+    # Rows that repeat a document are one document: its key tells no more of them than one.
+    one = keyed.join(stay, ["key", "txt"], "left_semi").dropDuplicates(["key", "txt"])
+    return one.select("row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -363,19 +363,19 @@ def components(links: DataFrame) -> DataFrame:
         edges = new
 
 
-def text_digest(text: str) -> Column:
-    return digest16(F.coalesce(F.col(text), F.lit("")))
+def text_key(doc_id: str, text: str) -> list[Column]:
+    """What tells a document: ``key`` (its id, never null) and ``txt`` (digest of its text)."""
+    return [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NO_ID)).alias("key"),
+            digest16(F.coalesce(F.col(text), F.lit(""))).alias("txt")]
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id``, ``txt`` (digest of the text), ``class_id`` (the least ``doc_id`` of the class) and
-    ``kept`` (whether the row is the one that stays) for every row of ``docs``.
+    """``doc_id``, ``key`` and ``txt`` (as ``text_key``), ``class_id`` (the least ``doc_id`` of the
+    class) and ``kept`` (whether the row is the one that stays) for every row of ``docs``.
 
     Of rows with the same ``doc_id`` and text none is told from the others: all have ``kept``.
     """
-    keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"),
-        text_digest("text").alias("txt"), "text")
+    keyed = docs.select(*text_key("doc_id", "text"), "text").withColumnRenamed("key", "doc")
     weights = feature_weights(keyed)
     signed = kept_table(_signed(keyed, weights), "near-signed")
     texts = signed.where("bands IS NOT NULL").groupBy("txt").agg(
@@ -389,7 +389,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     out = signed.select("doc", "txt").join(placed, "txt", "left").withColumn(
         "root", F.coalesce("root", F.struct("doc", "txt")))
     real = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
-    return out.select(real("doc").alias("doc_id"), "txt", real("root.doc").alias("class_id"),
+    return out.select(real("doc").alias("doc_id"), F.col("doc").alias("key"), "txt", real("root.doc").alias("class_id"),
                       (F.struct("doc", "txt") == F.col("root")).alias("kept"))
 
 

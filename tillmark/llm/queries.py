@@ -161,7 +161,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document, and whether it is the one that stays."""
-    return near_dedup.near_duplicates(documents(spark, sf_dir)).drop("txt")
+    return near_dedup.near_duplicates(documents(spark, sf_dir)).drop("key", "txt")
 
 
 @query
