@@ -42,6 +42,7 @@ IDF_SHARE = 0.25
 MEET_AT_ONCE = 512
 LIKELIEST = 3
 HUBS = 8
+HUBS_A_STAR = 3
 # Of 30 samples; at similarity 0.8 fewer than 15 agree once in 25,000 times.
 LEAST_AGREEING = SAMPLES // 2
 SURELY_NEAR = SAMPLES * 7 // 10
@@ -97,10 +98,10 @@ def feature_weights(docs: DataFrame) -> np.ndarray:
 # ---- samples ---------------------------------------------------------------------------------
 
 
-def _uniform(sample: int, stream: int) -> np.ndarray:
-    """A number in (0, 1) for each class of shingles, fixed by sample and stream."""
-    ids = np.arange(1 << FEATURE_BITS, dtype=np.uint64)
-    h = mix(mix(ids + np.uint64(1)) + np.uint64((sample * 8 + stream + 1) * 0x9E3779B97F4A7C15 & (2 ** 64 - 1)))
+def _uniform(ids: np.ndarray, sample: int, stream: int) -> np.ndarray:
+    """A number in (0, 1) for each class of shingles, fixed by class, sample and stream."""
+    salt = np.uint64((sample * 8 + stream + 1) * 0x9E3779B97F4A7C15 & (2 ** 64 - 1))
+    h = mix(mix(ids.astype(np.uint64) + np.uint64(1)) + salt)
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2 ** 53
 
 
@@ -114,12 +115,12 @@ class Sampler:
 
     def __init__(self, weights: np.ndarray):
         self.log_weights = np.log(weights.astype(np.float64))
-        self.once = np.stack([self._value(k, self.log_weights, slice(None)) for k in range(SAMPLES)])
+        every = np.arange(1 << FEATURE_BITS)
+        self.once = np.stack([self._value(k, self.log_weights, every) for k in range(SAMPLES)])
 
     @staticmethod
-    def _value(k: int, log_weight: np.ndarray, at) -> np.ndarray:
-        u = [worker_cache(("sampler", k, s), lambda s=s: _uniform(k, s))[at] if isinstance(at, np.ndarray)
-             else _uniform(k, s) for s in range(5)]
+    def _value(k: int, log_weight: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        u = [_uniform(ids, k, s) for s in range(5)]
         r, log_c = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3]))
         t = np.floor(log_weight / r + u[4])
         return (log_c - r * (t - u[4]) - r).astype(np.float32)
@@ -189,17 +190,19 @@ def likely_pairs(samples: np.ndarray, hubs_wanted: int = 0) -> tuple[np.ndarray,
     for i in range(n):
         pairs.update((min(i, int(j)), max(i, int(j))) for j in best[i] if agree[i, j] >= LEAST_AGREEING)
     near = agree >= SURELY_NEAR
-    hubs = [int(x) for x in np.argsort(-near.sum(1), kind="stable")[:hubs_wanted]]
+    # How much a text agrees with all that are near it: what single estimates blur, their sum shows.
+    hubs = [int(x) for x in np.argsort(-(agree * near).sum(1), kind="stable")[:hubs_wanted]]
     left = np.ones(n, bool)
     while True:
-        degree = (near & left[None, :]).sum(1)
-        hub = int(degree.argmax())
-        if degree[hub] == 0:
+        central = (agree * (near & left[None, :])).sum(1)
+        top = np.argsort(-central, kind="stable")[:HUBS_A_STAR].tolist()
+        if central[top[0]] == 0:
             break
-        pairs.update((min(hub, int(j)), max(hub, int(j)))
-                     for j in np.flatnonzero((agree[hub] >= LEAST_AGREEING) & left))
-        left[near[hub]] = False
-        left[hub] = False
+        for hub in top:
+            pairs.update((min(hub, int(j)), max(hub, int(j)))
+                         for j in np.flatnonzero((agree[hub] >= LEAST_AGREEING) & left) if j != hub)
+        left[near[top[0]]] = False
+        left[top[0]] = False
     return np.array(sorted(pairs), np.int64).reshape(-1, 2), hubs
 
 
