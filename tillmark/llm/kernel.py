@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from tillmark.llm.common import ship_by_value, worker_cache
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -39,7 +39,7 @@ def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
             tables.append(np.multiply.accumulate(t))
         return tables[0], tables[1]
 
-    if size > 8 * BATCH_BYTES:  # one huge text: not worth keeping
+    if size > 4 * BATCH_BYTES:  # one huge text: not worth keeping
         return make()
     return worker_cache(("powers", size, which), make)
 

@@ -205,7 +205,7 @@ def _factored(docs: DataFrame) -> DataFrame:
     the word, ``w`` whether a window alone, ``ref`` and ``at`` the earlier place)."""
     keyed = _keyed(docs)
     repeated = kept_table(_repeated_anchors(keyed), "sub-anchors")
-    blocks = kept_table(_anchors(keyed).join(repeated, "anchor").drop("anchor").distinct(), "sub-blocks")
+    blocks = kept_table(_anchors(keyed).join(repeated, "anchor").drop("anchor"), "sub-blocks")
     first = _first_places(blocks, "sub-block-places")
     known = blocks.join(first, ["c1", "c2"], "left").select(
         "doc", "txt", "pos", F.when(F.struct("doc", "txt", "pos") != F.col("first"), F.col("first")).alias("ref"))
@@ -214,7 +214,7 @@ def _factored(docs: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("ref").isNotNull(), F.col("pos"))).alias("whole"),
         F.collect_list(F.when(F.col("ref").isNull(), F.col("pos"))).alias("open"),
     ).where(F.size("open") > 0)
-    windows = kept_table(_boundary_windows(_packed(keyed), asked).distinct(), "sub-windows")
+    windows = kept_table(_boundary_windows(_packed(keyed), asked), "sub-windows")
     window_first = _first_places(windows, "sub-window-places")
     later = windows.join(window_first, ["c1", "c2"]).select(
         "doc", "txt", "pos", F.lit(True).alias("w"), F.col("first").alias("ref")
