@@ -8,8 +8,9 @@ clearly more than the shorter. Words near a term that keep it from being meant,
 make exception phrases, within which the term does not count. A text's hits and its hits by length
 go through a logistic curve, fitted to the labels, which gives a probability.
 
-Counting is done by Spark over all labelled texts. What goes to the driver is bounded: ``MAX_TERMS``
-terms, ``MAX_PHRASES`` phrases and the two numbers of at most ``FIT_ROWS`` texts chosen by a hash.
+The labelled texts learned from are a bounded sample, about ``TRAIN_ROWS`` chosen by a hash of their
+id; Spark counts over them. What goes to the driver is bounded too: ``MAX_TERMS`` terms,
+``MAX_PHRASES`` phrases and two numbers of each text of the sample.
 
 Defined results: null counts as empty; an empty text has the score of no hits. Without labels of both
 kinds every score is 0. Rows that repeat are scored each; of several labels of an id the largest
@@ -28,11 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import row_type, ship_by_value, sliced, text_apart, worker_cache
+from tillmark.llm.common import (
+    kept_table,
+    row_type,
+    ship_by_value,
+    sliced,
+    text_apart,
+    worker_cache,
+)
 
 MAX_TERMS = 2_000
 MAX_PHRASES = 500
-FIT_ROWS = 20_000
+TRAIN_ROWS = 30_000
 SHORTEST, LONGEST = 3, 12
 LEAST_TEXTS = 5
 THRESHOLD = 0.7
@@ -114,7 +122,7 @@ class ToxicityModel:
                 spared.append((start, end))
             elif weight > best.get(start, 0.0):
                 best[start] = weight
-        return sum(w for at, w in best.items() if not any(a <= at <= b for a, b in spared))
+        return sum(w for at, w in best.items() if not any(a <= at < b for a, b in spared))
 
     def score(self, hits: float | np.ndarray, words: float | np.ndarray) -> np.ndarray:
         if self.curve is None:
@@ -224,22 +232,22 @@ def _curve(hits: np.ndarray, words: np.ndarray, y: np.ndarray) -> tuple[float, f
     return tuple(map(float, w))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> ToxicityModel:
     """Learns from ``text`` and the labels ``toxic`` (0 or 1) by ``doc_id``."""
     known = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = docs.select("doc_id", "text").join(known, "doc_id")
+    share = train_rows / max(1, known.count())
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 24)) / (1 << 24)
+    sample = known.where(chance < share).limit(train_rows + train_rows // 4)
+    # At most 1.25 times train_rows ids and labels.
+    labelled = kept_table(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "toxic-sample")
     count = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}  # two rows
     if len(count) < 2:
         return ToxicityModel()
     model = ToxicityModel(_terms(labelled, count[1], count[0]))
     model.exceptions = _phrases(labelled, model, count[1], count[0])
-    share = FIT_ROWS / (count[0] + count[1])
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 24)) / (1 << 24)
-    sample = _measured(labelled.where(chance < share), model).select("row.toxic", "hits", "words")
-    rows = sample.limit(FIT_ROWS + FIT_ROWS // 4).collect()
+    rows = _measured(labelled, model).select("row.toxic", "hits", "words").collect()  # the sample
     y = np.array([r["toxic"] for r in rows], float)
-    if 0 < y.sum() < len(y):
-        model.curve = _curve(np.array([r["hits"] for r in rows]), np.array([r["words"] for r in rows]), y)
+    model.curve = _curve(np.array([r["hits"] for r in rows]), np.array([r["words"] for r in rows]), y)
     return model
 
 
