@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import langid, line_dedup, near_dedup, packing, secret_scan
-from tillmark.llm.common import documents, kept_table
+from tillmark.llm.common import documents, for_texts, kept_table
 
 #: A text whose likeliest language is less likely than this is not taken for any.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -26,6 +26,7 @@ def _with_text(df: DataFrame, text: str, columns: list[str]) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language: those without a letter, or unlike any language learned, go."""
+    for_texts(spark)
     model = langid.train(docs)
     judged = langid.identify(docs, model, with_text=True)
     sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
@@ -41,6 +42,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays: the one with the least id."""
+    for_texts(spark)
     stay = near_dedup.near_duplicates(docs).where("kept").select("key", "txt").distinct()
     keyed = docs.select(F.struct("*").alias("row"), *near_dedup.text_key("doc_id", "text"))
     # Rows that repeat a document are one document: its key tells no more of them than one.
@@ -50,12 +52,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces found secrets in the texts; every document stays."""
+    for_texts(spark)
     scanned = secret_scan.scan(docs, secret_scan.train(docs), redact=True)
     return _with_text(scanned, "text", docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents into sequences for training: a row per piece, with its ids."""
+    for_texts(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 

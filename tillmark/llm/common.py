@@ -33,6 +33,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+#: Rows that Spark hands to Python at a time. Its own default, 10,000, is made for short rows; of
+#: texts that would be hundreds of MB in the executor and again in its Python.
+TEXTS_A_BATCH = 512
+
+
+def for_texts(spark: SparkSession) -> SparkSession:
+    """The session, set to hand texts to Python in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_A_BATCH))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, "documents"))
 
@@ -75,7 +86,7 @@ def kept_table(df: DataFrame, purpose: str) -> DataFrame:
 
 
 __all__ = [
-    "digest16", "documents", "fresh_folder", "kept_table", "literal_path", "lower_ascii", "row_type",
+    "digest16", "documents", "for_texts", "fresh_folder", "kept_table", "literal_path", "lower_ascii", "row_type",
     "sha256_hex", "ship_by_value", "sliced", "table_path", "text_apart", "worker_cache",
 ]
 ship_by_value(__name__)

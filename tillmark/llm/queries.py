@@ -20,7 +20,7 @@ from tillmark.llm import (
     substring_dedup,
     toxicity,
 )
-from tillmark.llm.common import documents, sha256_hex, table_path
+from tillmark.llm.common import documents, for_texts, sha256_hex, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +28,7 @@ ORACLES: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(for_texts(spark), sf_dir)
     return fn
 
 
