@@ -326,8 +326,9 @@ def _links(pairs: DataFrame, docs: DataFrame, weights: np.ndarray, similarity: f
 
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().select(
         F.col("node.txt").alias("txt")).distinct()
-    sets = kept_table(_shingle_sets(docs).join(asked, "txt").groupBy("txt").agg(F.first("set").alias("set")),
-                      "near-sets")
+    # Copies of a text are one before they are shuffled. One plan for any size: merged, not broadcast.
+    one_each = _shingle_sets(docs).groupBy("txt").agg(F.first("set").alias("set"))
+    sets = kept_table(one_each.join(asked.hint("merge"), "txt", "left_semi"), "near-sets")
     ready = (
         pairs.join(sets.select(F.col("txt").alias("ta"), F.col("set").alias("x")), F.col("a.txt") == F.col("ta"))
         .join(sets.select(F.col("txt").alias("tb"), F.col("set").alias("y")), F.col("b.txt") == F.col("tb"))
