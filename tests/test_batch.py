@@ -116,7 +116,7 @@ def test_a_second_run_adds_only_what_is_new(spark, shop, rows_of):
 def test_a_failed_run_stays_open_and_can_be_resumed(spark, shop, rows_of, monkeypatch):
     conf = shop()
     with monkeypatch.context() as m:
-        m.setattr(marts, "seller_monthly_incentive", lambda *a: 1 / 0)
+        m.setattr(marts, "seller_monthly_of_mart", lambda *a: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             run_batch(spark, conf, T1)
     assert statuses(spark, conf) == {"a.csv": "A", "b.csv": "A"}

@@ -1,14 +1,18 @@
 """Landing files: catalogue, headers, verdicts, reading, quarantine."""
 
+import gzip
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillmark.functions.columns import pack_extras_json
 from tillmark.schema import CANONICAL, SALES_SCHEMA
+from tillmark.sinks import quarantine
 from tillmark.sinks.quarantine import (
     quarantine_files,
     quarantine_rows,
+    quarantined_contents,
     quarantined_files,
     quarantined_lines,
     quarantined_rows,
@@ -215,3 +219,76 @@ def test_no_accepted_file_gives_an_empty_relation(spark, land):
     df = read(spark, land(a="wrong\n1\n"))
     assert df.schema == STAGED_SCHEMA and df.isEmpty()
     assert empty_sales(spark).schema == SALES_SCHEMA
+
+
+# ---- odd files ---------------------------------------------------------------------------------
+
+
+def odd_landing(tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "good.csv").write_text(f"{HEADER}\n{LINE}\n")
+    (folder / "_ok.csv").write_text(f"{HEADER}\n{LINE}\n")
+    (folder / ".dot.csv").write_text(f"{HEADER}\n{LINE}\n")
+    (folder / "_below").mkdir()
+    (folder / "_below" / "deep.csv").write_text(f"{HEADER}\n{LINE}\n")
+    (folder / "_SUCCESS").write_text("")
+    (folder / ".good.csv.crc").write_text("crc")
+    (folder / "tab.csv").write_text(f"\t\n{HEADER}\n{LINE}\n")
+    (folder / "packed.csv.gz").write_bytes(gzip.compress(f"{HEADER}\n{LINE}\n".encode()))
+    (folder / "damaged.gz").write_bytes(b"\x1f\x8bnot gzip at all\n\xff\x00")
+    return str(folder)
+
+
+@pytest.mark.parametrize("method", ["peek", "scan"])
+def test_every_file_is_accounted_for(spark, tmp_path, method):
+    manifest = manifest_of(spark, odd_landing(tmp_path), method).collect()
+    hidden, extension = "name begins with _ or .", "not a .csv file"
+    assert {r["file_name"]: r["reason"] for r in manifest} == {
+        "good.csv": None, "tab.csv": None, "_ok.csv": hidden, ".dot.csv": hidden, "deep.csv": hidden,
+        "packed.csv.gz": extension, "damaged.gz": extension}
+
+
+def test_only_hidden_files_is_not_an_empty_landing(spark, tmp_path):
+    (tmp_path / "_only.csv").write_text(HEADER)
+    assert [r["file_name"] for r in file_catalog(spark, str(tmp_path)).collect()] == ["_only.csv"]
+
+
+def test_unreadable_file_is_rejected_not_raised(spark, land):
+    landing = land(a=f"{HEADER}\n{LINE}\n", b=f"{HEADER}\n{LINE}\n")
+    files = file_catalog(spark, landing).withColumn(
+        "path", F.expr("if(file_name = 'b.csv', concat(path, '.gone'), path)")).withColumn(
+        "path", F.expr("if(file_name = 'b.csv', concat(path, '.csv'), path)"))
+    got = {r["file_name"]: r["reason"] for r in build_manifest(files, landing, "peek").collect()}
+    assert got == {"a.csv": None, "b.csv": "cannot be read: FileNotFoundError"}
+
+
+def test_quarantine_keeps_bytes_as_they_are(spark, tmp_path):
+    landing = odd_landing(tmp_path)
+    _, rejected = split_manifest(manifest_of(spark, landing))
+    root = str(tmp_path / "q")
+    quarantine_files(rejected, root, "7")
+    names = {r["file_id"]: r["path"].removeprefix("file:") for r in quarantined_files(spark, root).collect()}
+    pieces = {}
+    for r in quarantined_contents(spark, root).orderBy("piece").collect():
+        assert r["error"] is None
+        pieces[r["file_id"]] = pieces.get(r["file_id"], b"") + bytes(r["content"])
+    assert len(pieces) == len(names) == 5
+    for file_id, path in names.items():
+        with open(path, "rb") as f:
+            assert f.read() == pieces[file_id]
+
+
+def test_copy_pieces_end_with_lines(tmp_path, monkeypatch):
+    monkeypatch.setattr(quarantine, "PIECE_BYTES", 10)
+    path = tmp_path / "f"
+    content = b"".join(b"x" * n + b"\n" for n in (3, 9, 40, 0, 2)) + b"end"
+    path.write_bytes(content)
+    pieces = [p for _, p, _ in quarantine._pieces(str(path))]
+    assert b"".join(pieces) == content and len(pieces) > 3
+    assert list(quarantine._pieces(str(tmp_path / "none")))[0][2].startswith("FileNotFoundError")
+
+
+def test_headers_of_many_files_are_found_by_many_tasks(spark):
+    files = spark.range(2000).selectExpr("concat('file:/none/', id, '.csv') path")
+    assert discover_headers(files, "file:/none", "peek").rdd.getNumPartitions() >= 16

@@ -25,6 +25,7 @@ from tillmark.sources.dimensions import (
     JdbcTable,
     assert_unique_key,
     read_dimension,
+    scan_bounds,
 )
 
 
@@ -174,3 +175,18 @@ def test_only_measured_small_tables_are_broadcast(spark, tmp_path):
 
 def test_run_time_is_part_of_no_result(mart):
     assert dt.datetime not in {type(v) for v in mart.first()}
+
+
+@pytest.mark.parametrize("lo, hi, bounds", [
+    (3, 9, (3, 10)), (D("1.5"), D("7.2"), (1, 8)), (-2.5, 4.0, (-3, 5)),
+    (dt.date(2024, 1, 1), dt.date(2024, 3, 31), ("2024-01-01", "2024-04-01")),
+    (dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 3, 31, 23, 59, 59, 5),
+     ("2024-01-01 05:00:00", "2024-04-01 00:00:00.000005")),
+])
+def test_bounds_of_a_partitioned_scan(lo, hi, bounds):
+    assert scan_bounds(lo, hi) == bounds
+
+
+def test_a_text_column_cannot_be_cut():
+    with pytest.raises(TypeError, match="number, a date or a timestamp"):
+        scan_bounds("a", "z")

@@ -6,6 +6,7 @@ import pytest
 
 from tillmark.schema import MANDATORY
 from tillmark.sources.catalog import build_manifest, file_catalog
+from tillmark.sources import synth
 from tillmark.sources.synth import PRODUCTS, VARIANTS, synth_customers, synth_sales, trial_ids
 
 
@@ -18,9 +19,11 @@ def test_domains(spark):
         "max(quantity) q1", "min(sales_date) d0", "max(sales_date) d1",
         "count(distinct product_name) products", "count(distinct store_id, sales_person_id) pairs",
         "count_if(total_cost <> price * quantity) wrong").first()
-    assert (r.c0, r.c1, r.s0, r.s1, r.p0, r.p1, r.q0, r.q1) == (1, 20, 121, 123, 1, 9, 1, 10)
-    assert (r.d0, r.d1) == (dt.date(2023, 3, 3), dt.date(2023, 8, 20))
-    assert (r.products, r.pairs, r.wrong) == (len(PRODUCTS), 9, 0)
+    sellers, last_store = synth.STORES * synth.SELLERS_PER_STORE, synth.FIRST_STORE + synth.STORES - 1
+    assert (r.c0, r.c1, r.s0, r.s1) == (1, synth.CUSTOMERS, synth.FIRST_STORE, last_store)
+    assert (r.p0, r.p1, r.q0, r.q1) == (1, sellers, 1, 10)
+    assert (r.d0, r.d1) == (synth.FIRST_DAY, synth.LAST_DAY)
+    assert (r.products, r.pairs, r.wrong) == (len(PRODUCTS), sellers, 0)
 
 
 def test_same_ids_same_rows_on_any_partitioning(spark, rows_of):
@@ -56,4 +59,4 @@ def test_customers(spark):
         "min(customer_joining_date) d0", "max(customer_joining_date) d1",
         "count(distinct address, pincode) places").first()
     assert (r.n, r.wrong, r.places) == (500, 0, 1)
-    assert dt.date(2020, 1, 1) <= r.d0 <= r.d1 <= dt.date(2023, 8, 20)
+    assert synth.FIRST_JOINING_DAY <= r.d0 <= r.d1 <= synth.LAST_DAY

@@ -16,10 +16,15 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.schema import CANONICAL
+
 CUSTOMER, STORE, SALES_TEAM = "customer", "store", "sales_team"
 DIMENSIONS = (CUSTOMER, STORE, SALES_TEAM)
+# In place of names of small dimensions: join all by shuffling, whatever Spark takes their size for.
+ALL_LARGE = frozenset({"all by shuffling"})
 
-_NOT_NEEDED = ("product_name", "price", "quantity", "additional_column")
+# Fixed value: the columns of a sale that go on when its customer is joined.
+KEPT_COLUMNS = ("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
 
 
 def customer_columns(customer: DataFrame) -> DataFrame:
@@ -53,26 +58,30 @@ def seller_columns(sales_team: DataFrame) -> DataFrame:
     )
 
 
-def _sized(dim: DataFrame, name: str, small: Collection[str]) -> DataFrame:
+def sized(dim: DataFrame, name: str, small: Collection[str]) -> DataFrame:
+    """The dimension with a hint for how to join it."""
+    if small == ALL_LARGE:
+        return dim.hint("merge")
     return F.broadcast(dim) if name in small else dim
 
 
 def enrich_customer(sales: DataFrame, customer: DataFrame, small: Collection[str] = ()
                     ) -> DataFrame:
-    """Sales with the customer's columns; product, price, quantity and packed extras dropped."""
-    slim = sales.drop(*_NOT_NEEDED)
-    return slim.join(_sized(customer_columns(customer), CUSTOMER, small), "customer_id")
+    """Sales with the customer's columns; of their own, ``KEPT_COLUMNS`` and any that are not a
+    sale's."""
+    slim = sales.select(*[c for c in sales.columns if c in KEPT_COLUMNS or c not in CANONICAL])
+    return slim.join(sized(customer_columns(customer), CUSTOMER, small), "customer_id")
 
 
 def enrich_store(sales: DataFrame, store: DataFrame, small: Collection[str] = ()) -> DataFrame:
     """Sales with the store's address and manager."""
-    return sales.join(_sized(store_columns(store), STORE, small), "store_id")
+    return sales.join(sized(store_columns(store), STORE, small), "store_id")
 
 
 def enrich_seller(sales: DataFrame, sales_team: DataFrame, small: Collection[str] = ()
                   ) -> DataFrame:
     """Sales with the seller's columns."""
-    return sales.join(_sized(seller_columns(sales_team), SALES_TEAM, small), "sales_person_id")
+    return sales.join(sized(seller_columns(sales_team), SALES_TEAM, small), "sales_person_id")
 
 
 def enrich_sales(sales: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
@@ -91,12 +100,12 @@ def known_customer(sales: DataFrame, customer: DataFrame, small: Collection[str]
                    ) -> DataFrame:
     """Sales of known customers; for results that need none of the customer's columns."""
     keys = _keys(customer, "customer_id", "customer_id")
-    return sales.join(_sized(keys, CUSTOMER, small), "customer_id", "left_semi")
+    return sales.join(sized(keys, CUSTOMER, small), "customer_id", "left_semi")
 
 
 def known_store(sales: DataFrame, store: DataFrame, small: Collection[str] = ()) -> DataFrame:
     """Sales in known stores."""
-    return sales.join(_sized(_keys(store, "id", "store_id"), STORE, small), "store_id",
+    return sales.join(sized(_keys(store, "id", "store_id"), STORE, small), "store_id",
                       "left_semi")
 
 
@@ -104,7 +113,7 @@ def known_seller(sales: DataFrame, sales_team: DataFrame, small: Collection[str]
                  ) -> DataFrame:
     """Sales by known sellers."""
     keys = _keys(sales_team, "id", "sales_person_id")
-    return sales.join(_sized(keys, SALES_TEAM, small), "sales_person_id", "left_semi")
+    return sales.join(sized(keys, SALES_TEAM, small), "sales_person_id", "left_semi")
 
 
 def unmatched_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
@@ -121,7 +130,7 @@ def unmatched_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
         (SALES_TEAM, sales_team, "id", "sales_person_id"),
     ):
         keys = _keys(dim, column, key).withColumn(f"found_{name}", F.lit(True))
-        marked = marked.join(_sized(keys, name, small), key, "left")
+        marked = marked.join(sized(keys, name, small), key, "left")
     misses = F.concat_ws(
         ",", *[F.when(F.col(f"found_{n}").isNull(), F.lit(n)) for n in DIMENSIONS]
     )

@@ -5,6 +5,7 @@ Ties share a rank, and null totals come last, as in SQL's ``rank() over (... des
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -30,65 +31,58 @@ def rank_many_sellers(totals: DataFrame, total: str = "total_sales", slices: int
                       ) -> DataFrame:
     """Same result as ``rank_sellers`` without bringing a store's sellers into one task.
 
-    Totals of each store and month are cut into slices of about equal size. The rank of a seller
-    is its rank within the slice plus the number of sellers in the slices above. The cuts only
-    decide how evenly the work is spread; any cuts give the same ranks. They are approximate
-    percentiles, which a repeated task may compute differently, so they are written to the shared
-    folder: all uses must see the same ones. So are the totals, which are used three times.
+    Sellers with equal totals have equal ranks, so it is the distinct totals of each store and
+    month that are ranked, with the number of sellers that have them: ties, however many, are
+    counted before they are shuffled. The distinct totals are cut into slices of about equal size;
+    a total's rank is one more than the sellers above it, in its slice and in the slices above. The
+    cuts only decide how evenly the work is spread. They are approximate percentiles, which a
+    repeated task may compute differently, so they are written to the shared folder, as are the
+    distinct totals.
     """
     folder = fresh_folder(totals.sparkSession, "ranks")
-    totals = stored(totals, f"{folder}/totals")
+    counted = stored(totals.groupBy(*STORE_MONTH, total).agg(F.count(F.lit(1)).alias("tied")),
+                     f"{folder}/counted")
     shares = [i / slices for i in range(1, slices)]
     cuts = stored(
-        totals.groupBy(*STORE_MONTH)
-        .agg(F.percentile_approx(total, shares, 1000).alias("cuts"))
-        .select(F.col("store_id").alias("cut_store"), F.col("sales_month").alias("cut_month"),
-                "cuts"),
+        counted.groupBy(*STORE_MONTH)
+        .agg(F.percentile_approx(total, shares, 1000).alias("cuts")),
         f"{folder}/cuts",
     )
-    same_group = F.col("store_id").eqNullSafe(F.col("cut_store")) & F.col(
-        "sales_month").eqNullSafe(F.col("cut_month"))
     above = F.when(F.col(total).isNull(), F.lit(slices)).otherwise(
         F.size(F.filter("cuts", lambda cut: cut > F.col(total)))
     )
-    sliced = totals.join(cuts, same_group).select(*totals.columns, above.alias("slice"))
-
+    sliced = _joined(counted, cuts, STORE_MONTH).select(*counted.columns, above.alias("slice"))
     keys = (*STORE_MONTH, "slice")
-    sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sliced.groupBy(*keys).agg(F.sum("tied").alias("n"))
     before = (
         Window.partitionBy(*STORE_MONTH).orderBy("slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = sizes.select(
-        *[F.col(k).alias(f"of_{k}") for k in keys],
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("better"),
-    )
-    within = Window.partitionBy(*keys).orderBy(F.col(total).desc())
-    ranked = sliced.withColumn("r", F.rank().over(within))
-    same_slice = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
-    )
-    return ranked.join(offsets, same_slice).select(
-        *totals.columns, (F.col("r") + F.col("better")).cast("int").alias("rnk")
+    offsets = sizes.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("better"))
+    within = (
+        Window.partitionBy(*keys).orderBy(F.col(total).desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    placed = sliced.withColumn("nearer", F.coalesce(F.sum("tied").over(within), F.lit(0)))
+    rank = (F.col("better") + F.col("nearer") + 1).cast("int").alias("rnk")
+    ranks = _joined(placed, offsets, keys).select(*STORE_MONTH, total, rank)
+    return _joined(totals, ranks, (*STORE_MONTH, total)).select(*totals.columns, "rnk")
 
 
-def pay_best_seller(totals: DataFrame, total: str = "total_sales", few_sellers: bool = False
-                    ) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys of the same names, nulls equal; the keys come from the left side."""
+    other = right.select(*[F.col(c).alias(f"of_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys])
+    return left.join(other, same).drop(*[f"of_{k}" for k in keys])
+
+
+def pay_best_seller(totals: DataFrame, total: str = "total_sales") -> DataFrame:
     """Adds ``incentive``: 1 % of the total for every seller with rank 1, 0 for the others.
 
     Rank 1 is all that matters here, and it means: as much as the store's best total of the month.
-    With ``few_sellers`` (their number was measured) that is a rank window; otherwise the best
-    total comes from a group-by, and no task ever holds all sellers of a store.
+    That comes from a group-by, and no task ever holds all sellers of a store.
     """
-    if few_sellers:
-        ranked = rank_sellers(totals, total)
-        return ranked.withColumn("incentive", incentive(total, F.col("rnk") == 1)).drop("rnk")
-    best = totals.groupBy(*STORE_MONTH).agg(F.max(total).alias("best")).select(
-        F.col("store_id").alias("best_store"), F.col("sales_month").alias("best_month"), "best"
-    )
-    same = F.col("store_id").eqNullSafe(F.col("best_store")) & F.col("sales_month").eqNullSafe(
-        F.col("best_month"))
-    return totals.join(best, same).select(
+    best = totals.groupBy(*STORE_MONTH).agg(F.max(total).alias("best"))
+    return _joined(totals, best, STORE_MONTH).select(
         *totals.columns, incentive(total, F.col(total).eqNullSafe(F.col("best"))).alias("incentive")
     )

@@ -23,6 +23,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's estimate for the whole plan: good for what is read from files, too large for joins."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def _width(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16

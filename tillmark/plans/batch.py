@@ -186,13 +186,15 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
     small = small_tables(dims)
     star = (sales, dims[CUSTOMER], dims[STORE], dims[SALES_TEAM], small)
 
-    publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch)
-    mart = publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch)
-    publish_snapshot(spark.read.parquet(mart), conf.root, SALES_TEAM_MART_PARTITIONED, epoch,
-                     partitioned=True)
+    # The marts hold the sales whose keys are known: sums start from them, with no join of sales.
+    customers = publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch)
+    team = publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch)
+    team_mart = spark.read.parquet(team)
+    publish_snapshot(team_mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)
     for name, result in (
-        (CUSTOMER_MONTHLY, marts.customer_monthly_sales(*star)),
-        (SELLER_MONTHLY, marts.seller_monthly_incentive(*star)),
+        (CUSTOMER_MONTHLY,
+         marts.customer_monthly_of_mart(spark.read.parquet(customers), dims[CUSTOMER], small)),
+        (SELLER_MONTHLY, marts.seller_monthly_of_mart(team_mart, dims[SALES_TEAM], small)),
     ):
         published = publish_snapshot(result, conf.root, name, epoch)
         if name in conf.monthly_tables:

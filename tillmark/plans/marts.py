@@ -27,6 +27,7 @@ from tillmark.operators.enrich import (
     known_seller,
     known_store,
     seller_columns,
+    sized,
 )
 from tillmark.operators.monthly import (
     ALL_KEYS,
@@ -96,11 +97,12 @@ def customer_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFra
     """
     base = _monthly_base(sales, (STORE, SALES_TEAM), small)
     kept = known_seller(known_store(base, store, small), sales_team, small)
-    totals = month_as_text(monthly_totals(kept, CUSTOMER_MONTH))
-    who = customer_columns(customer)
-    if CUSTOMER in small:
-        who = F.broadcast(who)
-    return totals.join(who, "customer_id").select(
+    return _with_customer(monthly_totals(kept, CUSTOMER_MONTH), customer, small)
+
+
+def _with_customer(totals: DataFrame, customer: DataFrame, small: Collection[str]) -> DataFrame:
+    who = sized(customer_columns(customer), CUSTOMER, small)
+    return month_as_text(totals).join(who, "customer_id").select(
         "customer_id",
         full_name("customer_first_name", "customer_last_name").alias("full_name"),
         F.col("customer_address").alias("address"),
@@ -110,6 +112,13 @@ def customer_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFra
     )
 
 
+def customer_monthly_of_mart(mart: DataFrame, customer: DataFrame, small: Collection[str] = ()
+                             ) -> DataFrame:
+    """``customer_monthly_sales`` from the customer mart, which holds only sales with known keys."""
+    dated = with_month_start(mart.select("customer_id", "sales_date", "total_cost"))
+    return _with_customer(monthly_totals(dated, CUSTOMER_MONTH), customer, small)
+
+
 def seller_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
                          sales_team: DataFrame, small: Collection[str] = ()) -> DataFrame:
     """What each seller sold in each month and store.
@@ -119,11 +128,13 @@ def seller_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFrame
     sum up a hot store in the one task that holds it.
     """
     kept = known_customer(_monthly_base(sales, (CUSTOMER,), small), customer, small)
-    totals = month_as_text(known_store(monthly_totals(kept, SELLER_MONTH), store, small))
-    who = seller_columns(sales_team)
-    if SALES_TEAM in small:
-        who = F.broadcast(who)
-    return totals.join(who, "sales_person_id").select(
+    totals = known_store(monthly_totals(kept, SELLER_MONTH), store, small)
+    return _with_seller(totals, sales_team, small)
+
+
+def _with_seller(totals: DataFrame, sales_team: DataFrame, small: Collection[str]) -> DataFrame:
+    who = sized(seller_columns(sales_team), SALES_TEAM, small)
+    return month_as_text(totals).join(who, "sales_person_id").select(
         "store_id", "sales_person_id",
         full_name("seller_first_name", "seller_last_name").alias("full_name"),
         "sales_month",
@@ -137,6 +148,11 @@ def seller_monthly_incentive(sales: DataFrame, customer: DataFrame, store: DataF
 
     All sellers tied for the best total are paid.
     """
-    totals = seller_monthly_sales(sales, customer, store, sales_team, small)
-    # A broadcast sales team is small, and so then is the number of sellers in any store.
-    return pay_best_seller(totals, few_sellers=SALES_TEAM in small)
+    return pay_best_seller(seller_monthly_sales(sales, customer, store, sales_team, small))
+
+
+def seller_monthly_of_mart(mart: DataFrame, sales_team: DataFrame, small: Collection[str] = ()
+                           ) -> DataFrame:
+    """``seller_monthly_incentive`` from the sales-team mart, which holds only sales with known keys."""
+    dated = with_month_start(mart.select("store_id", "sales_person_id", "sales_date", "total_cost"))
+    return pay_best_seller(_with_seller(monthly_totals(dated, SELLER_MONTH), sales_team, small))

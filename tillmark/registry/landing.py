@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import gzip
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
-from tillmark.storage import fresh_folder, stored
+from tillmark.storage import fresh_folder, stored, write_bytes
 
 # The shapes files come in. The three good ones hold the line items by return flag.
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"
 RETURN_FLAG = {PLAIN: "A", EXTRA: "N", REORDERED: "R"}
 NO_STORE, NOTES = "no_store", "notes"
+# So many files of each shape.
+FILES_A_SHAPE = 3
+
+# A folder of odd files, one or more for each nation.
+ODD = "odd"
+ODD_KINDS = ("good", "_hidden", "tab_first", "empty", "damaged", "packed")
 
 
 def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bool = False) -> str:
@@ -32,7 +40,7 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
     rows = stored(derived, base)
 
     def write(df: DataFrame, shape: str) -> None:
-        df.write.option("header", True).csv(f"{landing}/{shape}")
+        df.repartition(FILES_A_SHAPE).write.option("header", True).csv(f"{landing}/{shape}")
 
     def of(shape: str) -> DataFrame:
         return rows.filter(F.col("l_returnflag") == RETURN_FLAG[shape])
@@ -44,5 +52,20 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
     write(of(REORDERED).select(*reversed(MANDATORY)), REORDERED)
     if bad_files:
         write(rows.select(*[c for c in MANDATORY if c != "store_id"]), NO_STORE)
-        supplied.table(spark, sf_dir, "region").select("r_name").write.text(f"{landing}/{NOTES}")
+        supplied.table(spark, sf_dir, "region").select("r_name").repartition(
+            FILES_A_SHAPE).write.text(f"{landing}/{NOTES}")
     return landing
+
+
+def land_odd_files(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Adds a file for each nation, of the kinds in turn: usable, with a hidden name, with a first
+    line of a tab, without a byte, named as compressed without being it, and compressed."""
+    header = ",".join(MANDATORY)
+    names = supplied.table(spark, sf_dir, "nation").select("n_nationkey").orderBy("n_nationkey")
+    for row in names.collect():  # 25 nations
+        kind = ODD_KINDS[row["n_nationkey"] % len(ODD_KINDS)]
+        text = {"tab_first": f"\t\n{header}\n", "empty": ""}.get(kind, f"{header}\n").encode()
+        if kind == "packed":
+            text = gzip.compress(text, mtime=0)
+        end = ".csv.gz" if kind in ("damaged", "packed") else ".csv"
+        write_bytes(spark, f"{landing}/{ODD}/{kind}_{row['n_nationkey']}{end}", text)

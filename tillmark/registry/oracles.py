@@ -2,20 +2,6 @@
 
 from __future__ import annotations
 
-from tillmark.sources.synth import (
-    CUSTOMERS,
-    FAMILY_NAMES,
-    FIRST_DAY,
-    FIRST_JOINING_DAY,
-    FIRST_STORE,
-    GIVEN_NAMES,
-    LAST_DAY,
-    PAYMENT_MODES,
-    PRODUCTS,
-    SELLERS_PER_STORE,
-    STORES,
-)
-
 # The supplied tables as sales and dimensions.
 _SALES = """
 sales AS (
@@ -115,6 +101,7 @@ _REORDERED_LINE = _line(*reversed(_COLUMNS))
 _NO_STORE_LINE = _line("customer_id", "product_name", "sales_date", "sales_person_id", "price",
                        "quantity", "total_cost")
 
+# Fixed value: the header of a sales file.
 _MANDATORY = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
 _REVERSED = ",".join(reversed(_MANDATORY.split(",")))
 _HEADERS = {
@@ -125,68 +112,30 @@ _HEADERS = {
 }
 
 
-# ---- made-up sales ---------------------------------------------------------------------------
-
-
-def _draw(id_: str, what: str, n: int) -> str:
-    return f"(CAST('0x' || left(md5('{what}:0:' || {id_}), 8) AS BIGINT) % {n})"
-
-
-def _pick(values: tuple[str, ...], at: str) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + f"][{at} + 1]"
-
-
-def _synth_sales(variant: str) -> str:
-    k = "o_orderkey"
-    store, product = _draw(k, "store", STORES), _draw(k, "product", len(PRODUCTS))
-    days = (LAST_DAY - FIRST_DAY).days + 1
-    date = (
-        f"DATE '{FIRST_DAY}' + CAST({_draw(k, 'day', days)} AS INTEGER)"
-        if variant == "dated" else f"DATE '{LAST_DAY}'"
-    )
-    first = f"{store} * {SELLERS_PER_STORE} + 1"
-    seller = f"{first} + {_draw(k, 'seller', SELLERS_PER_STORE)}"
-    if variant == "missing_column":
-        listed = " || ', ' || ".join(f"({first} + {i})" for i in range(SELLERS_PER_STORE))
-        seller = f"'[' || {listed} || ']'"
-    price = f"CAST({_pick(tuple(PRODUCTS.values()), product)} AS DECIMAL(18,2))"
-    quantity = f"CAST({_draw(k, 'quantity', 10)} + 1 AS INTEGER)"
-    columns = [
-        f"{_draw(k, 'customer', CUSTOMERS)} + 1 AS customer_id",
-        f"{_pick(tuple(PRODUCTS), product)} AS product_name",
-        f"CAST({date} AS VARCHAR) AS sales_date",
-        f"{seller} AS sales_person_id",
-        f"{price} AS price",
-        f"{quantity} AS quantity",
-        f"CAST({price} * {quantity} AS DECIMAL(18,2)) AS total_cost",
-    ]
-    if variant != "missing_column":
-        columns.append(f"{store} + {FIRST_STORE} AS store_id")
-    if variant in ("extra_column", "missing_column"):
-        mode = _pick(PAYMENT_MODES, _draw(k, "payment", len(PAYMENT_MODES)))
-        columns.append(f"{mode} AS payment_mode")
-    return "SELECT " + ",\n  ".join(columns) + "\nFROM orders"
-
+_ORDER_FILES = "'order_' || CAST(o_orderkey AS VARCHAR) || '.csv'"
 
-def _synth_customers() -> str:
-    k = "c_custkey"
-    span = (LAST_DAY - FIRST_JOINING_DAY).days + 1
-    return f"""
-SELECT c_custkey AS customer_id,
-  {_pick(GIVEN_NAMES, _draw(k, "given", len(GIVEN_NAMES)))} AS first_name,
-  {_pick(FAMILY_NAMES, _draw(k, "family", len(FAMILY_NAMES)))} AS last_name,
-  'Delhi' AS address, '122009' AS pincode,
-  '91' || lpad(CAST({_draw(k, "phone", 10**8)} AS VARCHAR), 8, '0') AS phone_number,
-  CAST(DATE '{FIRST_JOINING_DAY}' + CAST({_draw(k, "joined", span)} AS INTEGER) AS VARCHAR)
-    AS customer_joining_date
-FROM customer"""
+_TAKEN = "o_orderpriority NOT LIKE '5%'"
+_REOPENED = "(o_orderstatus = 'F' AND o_orderpriority LIKE '1%')"
+_CLOSED = f"(o_orderstatus = 'F' AND NOT {_REOPENED})"
 
+# Three files of every shape that some sale has.
+_LANDED = "SELECT shape FROM (SELECT DISTINCT " + _SHAPE + """ AS shape FROM lineitem
+  UNION SELECT 'no_store' FROM lineitem) s, range(3)"""
+_NOTES = "SELECT 'notes' AS shape FROM range(3)"
 
-_ORDER_FILES = "'order_' || CAST(o_orderkey AS VARCHAR) || '.csv'"
+_ODD_KIND = "['good', '_hidden', 'tab_first', 'empty', 'damaged', 'packed'][n_nationkey % 6 + 1]"
+_ODD_FILES = f"""
+SELECT {_ODD_KIND} AS kind, {_ODD_KIND} || '_' || n_nationkey ||
+       CASE WHEN {_ODD_KIND} IN ('damaged', 'packed') THEN '.csv.gz' ELSE '.csv' END AS odd_file
+FROM nation"""
 
-# Every shape of file exists only if some sale has it.
-_LANDED = "SELECT DISTINCT " + _SHAPE + """ AS shape FROM lineitem
-  UNION SELECT 'no_store' FROM lineitem"""
+_ENRICHED = _WHOLE + """
+SELECT s.customer_id, s.store_id, CAST(s.sales_date AS VARCHAR) AS sales_date, s.sales_person_id,
+       s.total_cost, c.first_name AS customer_first_name, c.last_name AS customer_last_name,
+       c.address AS customer_address, c.pincode AS customer_pincode, c.phone_number,
+       st.address AS store_address, st.store_manager_name, t.first_name AS seller_first_name,
+       t.last_name AS seller_last_name, t.manager_id, t.is_manager, t.address AS seller_address,
+       t.pincode AS seller_pincode, CAST(NULL AS VARCHAR) AS seller_joining_date""" + _STAR
 
 ORACLES: dict[str, str] = {
     "seller_monthly_incentive": _WHOLE + "," + _INCENTIVE,
@@ -195,30 +144,25 @@ ORACLES: dict[str, str] = {
     "customer_mart": _WHOLE + _CUSTOMER_MART,
     "sales_team_mart": _WHOLE + _TEAM_MART,
     "sales_team_mart_partitioned": _WHOLE + _TEAM_MART,
-    "seller_monthly_incentive_shuffled": _NARROWED + "," + _INCENTIVE,
-    "customer_monthly_sales_shuffled": _NARROWED + _CUSTOMER_MONTHLY,
-    "enrich_customer": _NARROWED + """
+    "seller_monthly_incentive_shuffled": _WHOLE + "," + _INCENTIVE,
+    "customer_monthly_sales_shuffled": _WHOLE + _CUSTOMER_MONTHLY,
+    "enrich_customer": _WHOLE + """
 SELECT s.customer_id, s.store_id, CAST(s.sales_date AS VARCHAR) AS sales_date, s.sales_person_id,
        s.total_cost, c.first_name AS customer_first_name, c.last_name AS customer_last_name,
        c.address AS customer_address, c.pincode AS customer_pincode, c.phone_number
 FROM sales s JOIN cust c ON s.customer_id = c.customer_id""",
-    "enrich_store": _NARROWED + f"""
+    "enrich_store": _WHOLE + f"""
 SELECT {_CANONICAL}, CAST(NULL AS VARCHAR) AS additional_column, st.address AS store_address,
        st.store_manager_name
 FROM sales JOIN store st ON store_id = st.id""",
-    "enrich_seller": _NARROWED + f"""
+    "enrich_seller": _WHOLE + f"""
 SELECT {_CANONICAL}, CAST(NULL AS VARCHAR) AS additional_column,
        t.first_name AS seller_first_name, t.last_name AS seller_last_name, t.manager_id,
        t.is_manager, t.address AS seller_address, t.pincode AS seller_pincode,
        CAST(NULL AS VARCHAR) AS seller_joining_date
 FROM sales JOIN team t ON sales_person_id = t.id""",
-    "enrich_sales": _NARROWED + """
-SELECT s.customer_id, s.store_id, CAST(s.sales_date AS VARCHAR) AS sales_date, s.sales_person_id,
-       s.total_cost, c.first_name AS customer_first_name, c.last_name AS customer_last_name,
-       c.address AS customer_address, c.pincode AS customer_pincode, c.phone_number,
-       st.address AS store_address, st.store_manager_name, t.first_name AS seller_first_name,
-       t.last_name AS seller_last_name, t.manager_id, t.is_manager, t.address AS seller_address,
-       t.pincode AS seller_pincode, CAST(NULL AS VARCHAR) AS seller_joining_date""" + _STAR,
+    "enrich_sales": _ENRICHED,
+    "enrich_sales_shuffled": _ENRICHED,
     "unmatched_sales": _NARROWED + f""",
 marked AS (
   SELECT *, concat_ws(',',
@@ -272,8 +216,8 @@ FROM lineitem""",
 SELECT {_CANONICAL}, CAST(NULL AS VARCHAR) AS additional_column FROM sales
 UNION ALL
 SELECT {_CANONICAL}, CAST(NULL AS VARCHAR) AS additional_column FROM sales""",
-    "extension_triage": _LANDED.replace(" AS shape", " AS shape, TRUE AS is_csv").replace(
-        "'no_store'", "'no_store', TRUE") + "\n  UNION SELECT 'notes', FALSE FROM region",
+    "extension_triage": f"""
+SELECT shape, TRUE AS is_csv FROM ({_LANDED}) UNION ALL SELECT shape, FALSE FROM ({_NOTES})""",
     "file_headers": f"""
 WITH landed AS ({_LANDED}),
 headers AS (
@@ -284,13 +228,25 @@ SELECT 'peek' AS method, shape, header FROM headers
 UNION ALL
 SELECT 'scan', shape, header FROM headers""",
     "manifest": f"""
-WITH landed AS ({_LANDED} UNION SELECT 'notes' FROM region)
+WITH landed AS ({_LANDED} UNION ALL {_NOTES})
 SELECT shape, shape NOT IN ('no_store', 'notes') AS accepted,
        CASE WHEN shape = 'no_store' THEN 'store_id' ELSE '' END AS missing,
        CASE WHEN shape = 'extra' THEN 'payment_mode,coupon' ELSE '' END AS extras,
        CASE shape WHEN 'no_store' THEN 'missing columns: store_id'
                   WHEN 'notes' THEN 'not a .csv file' END AS reason
 FROM landed""",
+    "file_accounting": f"""
+WITH landed AS ({_LANDED} UNION ALL {_NOTES}), odd AS ({_ODD_FILES}), files AS (
+  SELECT shape AS folder, NULL AS odd_file, shape NOT IN ('no_store', 'notes') AS accepted,
+         CASE shape WHEN 'no_store' THEN 'missing columns: store_id'
+                    WHEN 'notes' THEN 'not a .csv file' END AS reason FROM landed
+  UNION ALL
+  SELECT 'odd', odd_file, kind IN ('good', 'tab_first'),
+         CASE kind WHEN '_hidden' THEN 'name begins with _ or .'
+                   WHEN 'empty' THEN 'missing columns: {_MANDATORY}'
+                   WHEN 'damaged' THEN 'not a .csv file' WHEN 'packed' THEN 'not a .csv file' END
+  FROM odd)
+SELECT 'peek' AS method, * FROM files UNION ALL SELECT 'scan', * FROM files""",
     "conformed_union": _FACTS + f"""
 SELECT {_CANONICAL}, {_EXTRAS} AS additional_column FROM sales""",
     "well_formed_rows": _FACTS + f"""
@@ -310,26 +266,34 @@ UNION ALL
 SELECT 'notes', r_name, 'not a .csv file' FROM region""",
     "snapshot_latest": _WHOLE + _CUSTOMER_MART,
     "run_whole_batch": _WHOLE + "," + _INCENTIVE,
-    "read_dimension_table": "SELECT * FROM customer",
+    "batch_customer_mart": _WHOLE + _CUSTOMER_MART,
+    "batch_sales_team_mart": _WHOLE + _TEAM_MART,
+    "batch_customer_monthly": _WHOLE + _CUSTOMER_MONTHLY,
+    "batch_ledger": f"""
+SELECT shape AS folder, 'I' AS status, '1704067200000' AS run_id
+FROM ({_LANDED}) WHERE shape <> 'no_store'
+UNION ALL
+SELECT 'odd', 'I', '1704067200000' FROM ({_ODD_FILES}) WHERE kind IN ('good', 'tab_first')""",
+    "read_dimension_table": """
+SELECT *, 'parquet' AS read_as FROM customer UNION ALL SELECT *, 'csv' FROM customer""",
     "append_table": _WHOLE + ", result AS (" + _CUSTOMER_MONTHLY + """)
 SELECT result.*, '1' AS run_id FROM result
 UNION ALL
 SELECT result.*, '2' FROM result""",
     "ledger_state": f"""
 SELECT {_ORDER_FILES} AS file_name, 'in/' || {_ORDER_FILES} AS file_location,
-       CASE WHEN o_orderstatus = 'F' THEN 'I' ELSE 'A' END AS status, '1' AS run_id,
-       '2024-01-01' AS created_date,
+       CASE WHEN {_CLOSED} THEN 'I' ELSE 'A' END AS status,
+       CASE WHEN {_REOPENED} THEN '2' ELSE '1' END AS run_id, '2024-01-01' AS created_date,
        CASE WHEN o_orderstatus = 'F' THEN '2024-01-02' END AS updated_date
-FROM orders""",
+FROM orders WHERE {_TAKEN}""",
     "active_file_names": f"""
-SELECT DISTINCT {_ORDER_FILES} AS file_name FROM orders WHERE o_orderstatus <> 'F'""",
+WITH active AS (SELECT DISTINCT {_ORDER_FILES} AS file_name FROM orders WHERE {_TAKEN} AND NOT {_CLOSED})
+SELECT file_name, 'all' AS among FROM active
+UNION ALL
+SELECT file_name, 'asked' FROM active
+WHERE file_name IN ('order_0.csv', 'order_1.csv', 'order_2.csv', 'order_3.csv', 'order_none.csv')""",
     "unfinished_files": f"""
-SELECT 'in/' || {_ORDER_FILES} AS path FROM orders WHERE o_orderstatus <> 'F'""",
+SELECT 'in/' || {_ORDER_FILES} AS path FROM orders WHERE {_TAKEN} AND NOT {_CLOSED}""",
     "files_to_process": f"""
-SELECT 'in/' || {_ORDER_FILES} AS path FROM orders WHERE o_orderstatus <> 'F'""",
-    "synth_sales": _synth_sales("dated"),
-    "synth_sales_daily": _synth_sales("daily"),
-    "synth_sales_extra_column": _synth_sales("extra_column"),
-    "synth_sales_missing_column": _synth_sales("missing_column"),
-    "synth_customers": _synth_customers(),
+SELECT 'in/' || {_ORDER_FILES} AS path FROM orders WHERE NOT ({_TAKEN} AND {_CLOSED})""",
 }

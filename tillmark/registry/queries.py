@@ -22,14 +22,21 @@ from tillmark.functions.columns import (
 )
 from tillmark.operators import enrich, monthly, ranking
 from tillmark.plans import ledger, marts
-from tillmark.plans.batch import SELLER_MONTHLY, BatchConfig, run_batch
+from tillmark.plans.batch import (
+    CUSTOMER_MART,
+    CUSTOMER_MONTHLY,
+    SALES_TEAM_MART_PARTITIONED,
+    SELLER_MONTHLY,
+    BatchConfig,
+    run_batch,
+)
 from tillmark.registry import supplied
-from tillmark.registry.landing import land
+from tillmark.registry.landing import ODD, land, land_odd_files
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
 from tillmark.sinks import parquet, quarantine, tables
-from tillmark.storage import fresh_folder
-from tillmark.sources import sales_csv, synth
+from tillmark.storage import fresh_folder, stored
+from tillmark.sources import sales_csv
 from tillmark.sources.catalog import (
     build_manifest,
     discover_headers,
@@ -89,24 +96,25 @@ def sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sales_team_mart_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written by month and store, and read back."""
+    """Written whole, then by month and store, as the nightly run does, and read back."""
     path = fresh_folder(spark, "mart")
-    parquet.write_partitioned_mart(marts.sales_team_mart(*star(spark, sf_dir).parts), path)
+    mart = stored(marts.sales_team_mart(*star(spark, sf_dir).parts), fresh_folder(spark, "whole-mart"))
+    parquet.write_partitioned_mart(mart, path)
     return _as_text(parquet.read_partitioned_mart(spark, path))
 
 
 @query
 def seller_monthly_incentive_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for dimensions too large to broadcast, with some keys unknown."""
-    s = star(spark, sf_dir, narrowed=True)
-    return marts.seller_monthly_incentive(s.sales, s.customer, s.store, s.sales_team)
+    """The plan for dimensions too large to broadcast."""
+    s = star(spark, sf_dir)
+    return marts.seller_monthly_incentive(s.sales, s.customer, s.store, s.sales_team, enrich.ALL_LARGE)
 
 
 @query
 def customer_monthly_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for dimensions too large to broadcast, with some keys unknown."""
-    s = star(spark, sf_dir, narrowed=True)
-    return marts.customer_monthly_sales(s.sales, s.customer, s.store, s.sales_team)
+    """The plan for dimensions too large to broadcast."""
+    s = star(spark, sf_dir)
+    return marts.customer_monthly_sales(s.sales, s.customer, s.store, s.sales_team, enrich.ALL_LARGE)
 
 
 # ---- joins -----------------------------------------------------------------------------------
@@ -114,25 +122,32 @@ def customer_monthly_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFra
 
 @query
 def enrich_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir, narrowed=True)
+    s = star(spark, sf_dir)
     return _as_text(enrich.enrich_customer(s.sales, s.customer, s.small))
 
 
 @query
 def enrich_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir, narrowed=True, products=True)
+    s = star(spark, sf_dir, products=True)
     return _as_text(enrich.enrich_store(s.sales, s.store, s.small))
 
 
 @query
 def enrich_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir, narrowed=True, products=True)
+    s = star(spark, sf_dir, products=True)
     return _as_text(enrich.enrich_seller(s.sales, s.sales_team, s.small))
 
 
 @query
 def enrich_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _as_text(enrich.enrich_sales(*star(spark, sf_dir, narrowed=True).parts))
+    return _as_text(enrich.enrich_sales(*star(spark, sf_dir).parts))
+
+
+@query
+def enrich_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star for dimensions too large to broadcast."""
+    s = star(spark, sf_dir)
+    return _as_text(enrich.enrich_sales(s.sales, s.customer, s.store, s.sales_team, enrich.ALL_LARGE))
 
 
 @query
@@ -238,13 +253,14 @@ def _folder(path: str = "path") -> Column:
 
 @query
 def extension_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per landed file."""
     catalog = triage_extension(file_catalog(spark, land(spark, sf_dir)))
-    return catalog.select(_folder().alias("shape"), "is_csv").distinct()
+    return catalog.select(_folder().alias("shape"), "is_csv")
 
 
 @query
 def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headers as read by the tasks themselves and by a scan of the text."""
+    """Headers as read by the tasks themselves and by a scan of the text; a row per file and way."""
     landing = land(spark, sf_dir)
     csvs = triage_extension(file_catalog(spark, landing)).filter("is_csv")
     found = [
@@ -252,15 +268,31 @@ def file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(method).alias("method"), _folder().alias("shape"), "header")
         for method in ("peek", "scan")
     ]
-    return _as_text(found[0].unionByName(found[1]).distinct())
+    return _as_text(found[0].unionByName(found[1]))
 
 
 @query
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per landed file."""
     landing = land(spark, sf_dir)
     files = build_manifest(file_catalog(spark, landing), landing)
     return _as_text(files.select(
-        _folder().alias("shape"), "accepted", "missing", "extras", "reason").distinct())
+        _folder().alias("shape"), "accepted", "missing", "extras", "reason"))
+
+
+@query
+def file_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed file with its verdict, the odd ones too, by both ways of reading headers."""
+    landing = land(spark, sf_dir)
+    land_odd_files(spark, sf_dir, landing)
+    catalog = file_catalog(spark, landing)
+    found = [
+        build_manifest(catalog, landing, method).select(
+            F.lit(method).alias("method"), _folder().alias("folder"),
+            F.when(_folder() == ODD, F.col("file_name")).alias("odd_file"), "accepted", "reason")
+        for method in ("peek", "scan")
+    ]
+    return found[0].unionByName(found[1])
 
 
 def _staged(spark: SparkSession, landing: str) -> DataFrame:
@@ -314,30 +346,70 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(parquet.latest_snapshot(spark, root, "customers"))
 
 
-@query
-def run_whole_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The nightly run over landed files, twice; what it published for the sellers."""
+def _batch(spark: SparkSession, sf_dir: str) -> BatchConfig:
+    """The nightly run over landed files, two of them odd, twice."""
     folder = fresh_folder(spark, "batch")
     dims = {}
     for name, make in ((enrich.CUSTOMER, supplied.customers), (enrich.STORE, supplied.stores),
                        (enrich.SALES_TEAM, supplied.sellers)):
         make(spark, sf_dir).write.parquet(f"{folder}/{name}")
         dims[name] = FileTable(f"{folder}/{name}")
+    landing = land(spark, sf_dir)
+    land_odd_files(spark, sf_dir, landing)
     conf = BatchConfig(
-        landing=land(spark, sf_dir), root=f"{folder}/out", dimensions=dims,
+        landing=landing, root=f"{folder}/out", dimensions=dims,
         monthly_tables={SELLER_MONTHLY: FileTable(f"{folder}/seller_table")},
     )
     run_batch(spark, conf, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
     run_batch(spark, conf, dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc))
+    return conf
+
+
+@query
+def run_whole_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the nightly run appended for the sellers."""
+    conf = _batch(spark, sf_dir)
     return read_dimension(spark, conf.monthly_tables[SELLER_MONTHLY]).drop(tables.RUN_ID)
 
 
+@query
+def batch_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the nightly run published as the customer mart."""
+    return _as_text(parquet.latest_snapshot(spark, _batch(spark, sf_dir).root, CUSTOMER_MART))
+
+
+@query
+def batch_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the nightly run published as the sales-team mart by month and store."""
+    root = _batch(spark, sf_dir).root
+    return _as_text(parquet.latest_snapshot(spark, root, SALES_TEAM_MART_PARTITIONED, partitioned=True))
+
+
+@query
+def batch_customer_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the nightly run published as the customers' months."""
+    return parquet.latest_snapshot(spark, _batch(spark, sf_dir).root, CUSTOMER_MONTHLY)
+
+
+@query
+def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after two nightly runs: a row per file that was taken up."""
+    state = ledger.ledger_state(ledger.ledger_events(spark, _batch(spark, sf_dir).ledger))
+    return state.select(_folder("file_location").alias("folder"), "status", "run_id")
+
+
 # ---- tables ----------------------------------------------------------------------------------
 
 
 @query
 def read_dimension_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_dimension(spark, FileTable(f"{sf_dir}/customer.parquet"))
+    """The customers read as Parquet, and once more as CSV with a stated schema."""
+    path = fresh_folder(spark, "dimension")
+    supplied.table(spark, sf_dir, "customer").write.option("header", True).csv(path)
+    as_csv = FileTable(path, "csv", supplied.SCHEMAS["customer"], {"header": "true"})
+    found = [("parquet", FileTable(f"{sf_dir}/customer.parquet")), ("csv", as_csv)]
+    both = [read_dimension(spark, source).withColumn("read_as", F.lit(kind)) for kind, source in found]
+    return both[0].unionByName(both[1])
 
 
 @query
@@ -359,17 +431,23 @@ def _order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order taken for a waiting file."""
     name = F.concat(F.lit("order_"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
     return supplied.table(spark, sf_dir, "orders").select(
-        name.alias("file_name"), F.concat(F.lit("in/"), name).alias("path"), "o_orderstatus")
+        name.alias("file_name"), F.concat(F.lit("in/"), name).alias("path"), "o_orderstatus", "o_orderpriority")
 
 
 def _order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as if all orders had been taken up, and those of status F finished a day later."""
+    """Events as if all orders of the priorities below 5 had been taken up, and those of status F
+    finished a day later; of these, the ones of priority 1 are taken up again by a second run."""
     files = _order_files(spark, sf_dir)
     day = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
-    opened = ledger.make_events(files, "1", ACTIVE, day)
-    closed = ledger.make_events(files.filter("o_orderstatus = 'F'"), "1", INACTIVE,
-                                day + dt.timedelta(days=1))
-    return opened.unionByName(closed)
+    taken = files.filter("o_orderpriority NOT LIKE '5%'")
+    done = taken.filter("o_orderstatus = 'F'")
+    events = [
+        ledger.make_events(taken, "1", ACTIVE, day),
+        ledger.make_events(done, "1", INACTIVE, day + dt.timedelta(days=1)),
+        ledger.make_events(done.filter("o_orderpriority LIKE '1%'"), "2", ACTIVE,
+                           day + dt.timedelta(days=2)),
+    ]
+    return events[0].unionByName(events[1]).unionByName(events[2])
 
 
 @query
@@ -384,7 +462,12 @@ def ledger_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def active_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.active_file_names(ledger.ledger_state(_order_ledger(spark, sf_dir)))
+    """Unfinished ones: of all files, and of five names, one of which no file has."""
+    state = ledger.ledger_state(_order_ledger(spark, sf_dir))
+    asked = [f"order_{i}.csv" for i in (0, 1, 2, 3)] + ["order_none.csv"]
+    found = [("all", ledger.active_file_names(state)), ("asked", ledger.active_file_names(state, asked))]
+    both = [df.withColumn("among", F.lit(among)) for among, df in found]
+    return both[0].unionByName(both[1])
 
 
 @query
@@ -397,39 +480,3 @@ def unfinished_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files_to_process(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = ledger.ledger_state(_order_ledger(spark, sf_dir))
     return ledger.without_finished(_order_files(spark, sf_dir), state).select("path")
-
-
-# ---- made-up sales ---------------------------------------------------------------------------
-
-
-def _synth(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
-    orders = supplied.table(spark, sf_dir, "orders").select("o_orderkey")
-    return _as_text(synth.synth_sales(orders, "o_orderkey", variant))
-
-
-@query
-def synth_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A made-up sale for every order."""
-    return _synth(spark, sf_dir, "dated")
-
-
-@query
-def synth_sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synth(spark, sf_dir, "daily")
-
-
-@query
-def synth_sales_extra_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synth(spark, sf_dir, "extra_column")
-
-
-@query
-def synth_sales_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _synth(spark, sf_dir, "missing_column")
-
-
-@query
-def synth_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A made-up person for every customer."""
-    ids = supplied.table(spark, sf_dir, "customer").select("c_custkey")
-    return _as_text(synth.synth_customers(ids, "c_custkey"))

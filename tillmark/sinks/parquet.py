@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.operators.sizing import planned_bytes
 from tillmark.storage import child_folders, path_exists
 
 PARTITION_COLUMNS = ("sales_month", "store_id")
@@ -19,18 +20,30 @@ def write_mart(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _advised_bytes(spark: SparkSession) -> int:
+    text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def write_partitioned_mart(df: DataFrame, path: str, replace: str = "all") -> None:
     """Overwrites the mart at ``path``, laid out by month and store.
 
     ``replace="all"`` replaces the whole mart, ``"touched"`` only the partitions that occur in
-    ``df``. Rows are brought together by partition first, so that each task writes few files; the
-    rebalance hint has Spark split a partition that is much larger than the others over several
-    tasks (and files) and join small ones.
+    ``df``. Rows are brought together by partition first, so that each task writes few files. For a
+    mart with more than the advised size for every core, the rebalance hint has Spark split a
+    partition that is much larger than the others over several tasks (and files) and join small
+    ones. A smaller mart would all be joined into a task or two that write file after file: its
+    partitions are spread over the shuffle partitions instead. The rows are the same either way.
     """
     mode = {"all": "static", "touched": "dynamic"}[replace]
+    columns = [F.col(c) for c in PARTITION_COLUMNS]
+    spark = df.sparkSession
+    if planned_bytes(df) > spark.sparkContext.defaultParallelism * _advised_bytes(spark):
+        together = df.hint("rebalance", *columns)
+    else:
+        together = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *columns)
     (
-        df.hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
-        .write.mode("overwrite")
+        together.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)

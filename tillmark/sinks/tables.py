@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.storage import path_exists
-from tillmark.sources.dimensions import FileTable, JdbcTable
+from tillmark.sources.dimensions import FileTable, JdbcTable, read_dimension
 
 RUN_ID = "run_id"
 
@@ -29,7 +29,7 @@ def _append(df: DataFrame, target: JdbcTable | FileTable) -> None:
 def _rows_of_run(df: DataFrame, target: JdbcTable | FileTable, run_id: str) -> DataFrame | None:
     spark = df.sparkSession
     if isinstance(target, JdbcTable):
-        table = spark.read.jdbc(target.url, target.table, properties=dict(target.properties))
+        table = read_dimension(spark, target)  # in key ranges, if the table names a column for it
     elif path_exists(spark, target.path):
         table = spark.read.format(target.format).options(**target.options).load(target.path)
     else:

@@ -24,15 +24,18 @@ from tillmark.functions.columns import (
     missing_columns,
     plain_path,
 )
-from tillmark.storage import scheme_of
+from tillmark.storage import hidden_files, literal_path, scheme_of
 
 # Tasks get this module's functions with their code, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _NAMES = T.ArrayType(T.StringType())
+_FOUND = [T.StructField("header", _NAMES), T.StructField("problem", T.StringType())]
+
+FILES_A_TASK = 64
 
 # Stores that a Python task can open without Hadoop's client libraries.
-_PEEK_SCHEMES = {"file", "s3", "s3a", "s3n", "gs"}
+PEEK_SCHEMES = {"file", "s3", "s3a", "s3n", "gs"}
 
 
 class NoInputFiles(ValueError):
@@ -40,10 +43,11 @@ class NoInputFiles(ValueError):
 
 
 def file_catalog(spark: SparkSession, landing: str) -> DataFrame:
-    """One row per file at any depth below ``landing``: path, file_name, modificationTime, length.
+    """One row per file at any depth below ``landing``: path, file_name, modificationTime, length, hidden.
 
-    Spark does the listing; the contents are not read. Names that start with ``_`` or ``.`` are
-    Spark's own marker files and are left out. An empty or absent folder raises ``NoInputFiles``.
+    Spark does the listing; the contents are not read. ``hidden`` files, whose name or folder begins
+    with ``_`` or ``.``, Spark does not list: the store is asked for them, and only the marks that
+    Spark and Hadoop leave are passed over. An empty or absent folder raises ``NoInputFiles``.
     """
     try:
         listing = (
@@ -55,10 +59,17 @@ def file_catalog(spark: SparkSession, landing: str) -> DataFrame:
         raise
     listing = listing.select("path", "modificationTime", "length")
     names = listing._jdf.inputFiles()
-    if not len(names):
+    hidden = hidden_files(spark, landing)
+    if not len(names) and not hidden:
         raise NoInputFiles(f"no files below {landing}")
     if len(names) > listing.count():
         listing = listing.unionByName(_empty_files(listing, names))
+    listing = listing.withColumn("hidden", F.lit(False))
+    if hidden:
+        unlisted = spark.createDataFrame(hidden, "path string, changed bigint, length bigint").select(
+            "path", F.timestamp_millis("changed").alias("modificationTime"), "length",
+            F.lit(True).alias("hidden"))
+        listing = listing.unionByName(unlisted)
     return listing.withColumn("file_name", base_name("path"))
 
 
@@ -99,34 +110,44 @@ def parse_header(line: str | None) -> list[str]:
     ]
 
 
-def _open_stream(path: str):
+def open_stream(path: str):
     from pyarrow import fs
 
     scheme, _, rest = path.partition(":")
     if scheme == "file" or not rest:
         local = "/" + (rest or path).lstrip("/")
-        return fs.LocalFileSystem().open_input_stream(local, buffer_size=1 << 16)
+        return fs.LocalFileSystem().open_input_stream(local, compression=None, buffer_size=1 << 16)
     bucket, _, key = rest.lstrip("/").partition("/")
     store, _ = fs.FileSystem.from_uri(f"{'s3' if scheme.startswith('s3') else scheme}://{bucket}")
-    return store.open_input_stream(f"{bucket}/{key}", buffer_size=1 << 16)
+    return store.open_input_stream(f"{bucket}/{key}", compression=None, buffer_size=1 << 16)
 
 
 def _first_line(path: str) -> str | None:
     """The first line that is not blank; reads on until it is complete, however long it is."""
-    with _open_stream(path) as raw, io.TextIOWrapper(
+    with open_stream(path) as raw, io.TextIOWrapper(
         raw, encoding="utf-8-sig", errors="replace"
     ) as text:
         return next((line.rstrip("\n") for line in text if line.strip()), None)
 
 
+def _peeked(path: str) -> tuple[list[str] | None, str | None]:
+    try:
+        return parse_header(_first_line(path)), None
+    except (OSError, csv.Error, EOFError) as fault:
+        return None, f"cannot be read: {type(fault).__name__}"
+
+
 def _peek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield batch.assign(header=[parse_header(_first_line(p)) for p in batch["path"]])
+        found = [_peeked(p) for p in batch["path"]]
+        yield batch.assign(header=[h for h, _ in found], problem=[e for _, e in found])
 
 
 def _peek_headers(files: DataFrame) -> DataFrame:
-    schema = T.StructType([*files.schema.fields, T.StructField("header", _NAMES)])
-    return files.mapInPandas(_peek, schema)
+    schema = T.StructType([*files.schema.fields, *_FOUND])
+    # Opening files takes time, not data: tasks by the number of files.
+    tasks = -(-files.count() // FILES_A_TASK)
+    return files.repartition(max(1, tasks)).mapInPandas(_peek, schema)
 
 
 @F.pandas_udf(_NAMES)
@@ -134,15 +155,17 @@ def _parse_headers(lines: pd.Series) -> pd.Series:
     return lines.map(parse_header)
 
 
-def _scan_headers(files: DataFrame, landing: str) -> DataFrame:
+def _scan_headers(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
+    # Names only; the reader needs them to plan its scan. A hidden file cannot be scanned.
+    paths = [literal_path(r["path"]) for r in files.where("length > 0 AND NOT hidden").select("path").collect()]
+    if not paths:
+        return files.withColumns({"header": F.array().cast(_NAMES), "problem": F.lit(None).cast("string")})
     lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .text(landing)
+        spark.read.text(paths)
         .select("value", F.col("_metadata.file_path").alias("encoded"),
                 F.col("_metadata.file_block_start").alias("block"))
-        .filter((F.col("block") == 0) & (F.trim("value") != ""))
+        .filter((F.col("block") == 0) & F.col("value").rlike(r"\S"))
         # A file's first block is read by one task, in order.
         .withColumn("position", F.monotonically_increasing_id())
     )
@@ -150,24 +173,25 @@ def _scan_headers(files: DataFrame, landing: str) -> DataFrame:
     named = first.select(
         plain_path("encoded").alias("path"), _parse_headers("line").alias("header")
     )
-    return files.join(named, "path", "left").withColumn(
-        "header", F.coalesce("header", F.array().cast(_NAMES))
-    )
+    return files.join(named, "path", "left").withColumns({
+        "header": F.coalesce("header", F.array().cast(_NAMES)), "problem": F.lit(None).cast("string")})
 
 
 def discover_headers(files: DataFrame, landing: str, method: str = "auto") -> DataFrame:
-    """Adds ``header``: the column names in the first line of each file; empty for an empty file.
+    """Adds ``header``, the column names in the first line with more than white space (empty for a
+    file without one), and ``problem``, why a file could not be read (then ``header`` is null).
 
-    ``peek`` lets each task open its files and read only as far as the first line. ``scan`` is for
-    stores a Python task cannot open: one Spark job over the text of all files, as a scan cannot
-    stop after the first line. ``auto`` takes ``peek`` where the store allows it.
+    ``peek`` lets each task open its files, ``FILES_A_TASK`` of them, and read only as far as that
+    line. ``scan`` is for stores a Python task cannot open: one Spark job over the text of these
+    files, as a scan cannot stop after the first line; a file it cannot read fails it. ``auto`` takes
+    ``peek`` where the store allows it. Both find the same headers.
     """
     if method == "auto":
-        method = "peek" if scheme_of(files.sparkSession, landing) in _PEEK_SCHEMES else "scan"
+        method = "peek" if scheme_of(files.sparkSession, landing) in PEEK_SCHEMES else "scan"
     if method == "peek":
         return _peek_headers(files)
     if method == "scan":
-        return _scan_headers(files, landing)
+        return _scan_headers(files)
     raise ValueError(f"unknown method {method!r}")
 
 
@@ -178,25 +202,32 @@ def build_manifest(catalog: DataFrame, landing: str, method: str = "auto") -> Da
     """One row per file with its verdict.
 
     Columns: path, file_name, modificationTime, length, header, missing, extras, accepted, reason.
-    A file is rejected for its extension or for lacking mandatory columns; the order of columns
-    and the presence of others do not matter.
+    A file is rejected for its extension, for a name that Spark's readers pass over, because it
+    cannot be read, or for lacking mandatory columns; the order of columns and the presence of others
+    do not matter.
     """
     triaged = triage_extension(catalog)
-    checked = discover_headers(triaged.filter("is_csv"), landing, method).withColumns(
-        {"missing": missing_columns("header"), "extras": extra_columns("header")}
-    )
+    usable = F.col("is_csv") & ~F.col("hidden")
     none = F.array().cast(_NAMES)
-    others = triaged.filter("NOT is_csv").withColumns(
-        {"header": none, "missing": none, "extras": none}
+    checked = discover_headers(triaged.filter(usable), landing, method)
+    read = F.col("problem").isNull()
+    checked = checked.withColumn("header", F.coalesce("header", none)).withColumns({
+        "missing": F.when(read, missing_columns("header")).otherwise(none),
+        "extras": F.when(read, extra_columns("header")).otherwise(none)})
+    others = triaged.filter(~usable).withColumns(
+        {"header": none, "missing": none, "extras": none, "problem": F.lit(None).cast("string")}
     )
-    reason = F.when(~F.col("is_csv"), F.lit("not a .csv file")).when(
-        F.size("missing") > 0, F.concat(F.lit("missing columns: "), F.array_join("missing", ","))
+    reason = (
+        F.when(~F.col("is_csv"), F.lit("not a .csv file"))
+        .when(F.col("hidden"), F.lit("name begins with _ or ."))
+        .when(F.col("problem").isNotNull(), F.col("problem"))
+        .when(F.size("missing") > 0, F.concat(F.lit("missing columns: "), F.array_join("missing", ",")))
     )
     return (
         checked.unionByName(others)
         .withColumn("reason", reason)
         .withColumn("accepted", F.col("reason").isNull())
-        .drop("is_csv")
+        .drop("is_csv", "hidden", "problem")
     )
 
 

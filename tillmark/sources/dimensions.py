@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +43,20 @@ def bounds_query(table: JdbcTable) -> str:
     return f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table.table}) key_range"
 
 
+def scan_bounds(lo: object, hi: object) -> tuple[object, object]:
+    """Bounds for a partitioned scan, the upper one beyond the last key.
+
+    Spark takes numbers, dates and timestamps; the latter two are handed over as text.
+    """
+    if isinstance(hi, bool) or not isinstance(hi, (int, float, Decimal, dt.date)):
+        raise TypeError(f"a table can be read in parts by a number, a date or a timestamp, not {hi!r}")
+    if isinstance(hi, dt.datetime):
+        return str(lo), str(hi + dt.timedelta(seconds=1))
+    if isinstance(hi, dt.date):
+        return str(lo), str(hi + dt.timedelta(days=1))
+    return math.floor(lo), math.floor(hi) + 1
+
+
 def read_dimension(spark: SparkSession, source: JdbcTable | FileTable) -> DataFrame:
     """The whole table. A database is read over ``num_partitions`` key ranges at once."""
     if isinstance(source, FileTable):
@@ -51,9 +68,10 @@ def read_dimension(spark: SparkSession, source: JdbcTable | FileTable) -> DataFr
     lo, hi = spark.read.jdbc(source.url, bounds_query(source), properties=properties).first()
     if lo is None:
         return spark.read.jdbc(source.url, source.table, properties=properties)
+    lower, upper = scan_bounds(lo, hi)
     return spark.read.jdbc(
-        source.url, source.table, column=source.partition_column, lowerBound=lo,
-        upperBound=hi + 1, numPartitions=source.num_partitions, properties=properties,
+        source.url, source.table, column=source.partition_column, lowerBound=lower,
+        upperBound=upper, numPartitions=source.num_partitions, properties=properties,
     )
 
 

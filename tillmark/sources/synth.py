@@ -14,28 +14,28 @@ from pyspark.sql import functions as F
 
 from tillmark.schema import MONEY
 
-# The domains trial sales are drawn from.
+# Invented: what trial sales are drawn from.
 PRODUCTS = {
-    "quaker oats": "212", "sugar": "50", "maida": "20", "besan": "52", "refined oil": "110",
-    "clinic plus": "1.5", "dantkanti": "100", "nutrella": "40",
+    "green tea": "3.75", "ginger biscuit": "1.20", "lamp oil": "18.50", "paper lantern": "6.40",
+    "copper kettle": "74.90", "wool blanket": "52.00", "pocket atlas": "0.95",
 }
-CUSTOMERS = 20
-FIRST_STORE = 121
-STORES = 3
+CUSTOMERS = 25
+FIRST_STORE = 501
+STORES = 4
 SELLERS_PER_STORE = 3
-PAYMENT_MODES = ("cash", "UPI")
-FIRST_DAY = dt.date(2023, 3, 3)
-LAST_DAY = dt.date(2023, 8, 20)
+PAYMENT_MODES = ("card", "voucher", "coins")
+FIRST_DAY = dt.date(2021, 2, 1)
+LAST_DAY = dt.date(2021, 11, 30)
 
 VARIANTS = ("dated", "daily", "extra_column", "missing_column")
 
-CUSTOMER_ADDRESS = "Delhi"
-CUSTOMER_PINCODE = "122009"
+CUSTOMER_ADDRESS = "Harbour Lane"
+CUSTOMER_PINCODE = "004711"
 PHONE_PREFIX = "91"
-FIRST_JOINING_DAY = dt.date(2020, 1, 1)
+FIRST_JOINING_DAY = dt.date(2019, 5, 1)
 
-GIVEN_NAMES = ("Asha", "Bela", "Chand", "Dev", "Esha", "Farid", "Gita", "Hari")
-FAMILY_NAMES = ("Anand", "Bose", "Chopra", "Das", "Gill", "Iyer", "Khan", "Rao")
+GIVEN_NAMES = ("Ada", "Bo", "Cleo", "Dag", "Eira", "Finn", "Gro", "Hal")
+FAMILY_NAMES = ("Aske", "Bell", "Crane", "Dale", "Elm", "Frost", "Gale", "Hart")
 
 
 def draw(id_: Column, what: str, n: int, seed: int = 0) -> Column:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# What Spark and Hadoop write beside data.
+_MARKER = re.compile(r"_SUCCESS|_temporary|_spark_metadata|_committed.*|_started.*|\..*\.crc")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
@@ -36,6 +39,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file written from the driver."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(content), 0, len(content))
+    out.close()
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; empty when it does not exist."""
     fs, p = _fs(spark, path)
@@ -44,11 +55,43 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def hidden_files(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
+    """Path, milliseconds of change and length of files that Spark's readers do not list.
+
+    That is, files whose name, or a folder's name on the way from ``root``, begins with ``_`` or
+    ``.``. What Spark and Hadoop leave behind themselves is passed over. The store is asked for these
+    names only, level by level, so that what comes back is as many rows as there are such files.
+    """
+    fs, base = _fs(spark, literal_path(root.rstrip("/")))
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found: dict[str, tuple[int, int]] = {}
+    depth = 0
+    while True:
+        level = f"{base}" + "/*" * depth
+        hidden = fs.globStatus(path_of(f"{level}/{{_,.}}*"))
+        for status in hidden or []:
+            if _MARKER.fullmatch(status.getPath().getName()):
+                continue
+            within = [status] if status.isFile() else _all_below(fs, status.getPath())
+            for file in within:
+                if not _MARKER.fullmatch(file.getPath().getName()):
+                    found[file.getPath().toString()] = (file.getModificationTime(), file.getLen())
+        if not len(fs.globStatus(path_of(f"{level}/*")) or []):
+            return [(path, *facts) for path, facts in sorted(found.items())]
+        depth += 1
+
+
+def _all_below(fs, folder):
+    files = fs.listFiles(folder, True)
+    while files.hasNext():
+        yield files.next()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Where none is set, a session on a single machine (a test) gets a temporary one; on a cluster
-    that is an error, as its executors would not see such a folder.
+    Where none is set, a session on a single machine (a test) gets one in its warehouse; on a
+    cluster that is an error, as nobody has said which folder its executors share.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -56,7 +99,8 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="tillmark-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    made = f"{warehouse}/shared-{uuid.uuid4().hex}"
     sc.setCheckpointDir(made)
     return made
 

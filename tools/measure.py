@@ -94,7 +94,7 @@ def trial_dimensions(spark: SparkSession, folder: str, customers: int, sellers:
     frames = {
         "customer": people,
         "store": spark.range(FIRST_STORE, FIRST_STORE + 4).selectExpr(
-            "id", "'Delhi' address", "'1' store_pincode", "'m' store_manager_name",
+            "id", "'Quay' address", "'1' store_pincode", "'m' store_manager_name",
             "cast(null as date) store_opening_date", "'' reviews"),
         "sales_team": synth_customers(trial_ids(spark, sellers + 1)).selectExpr(
             "customer_id id", "first_name", "last_name", "1L manager_id", "'N' is_manager",
