@@ -60,11 +60,19 @@ def test_cuts():
 
 def test_remembered_words_are_bounded():
     kept = packing.Remembered(3)
-    for k in "abcdefgh":
-        for x in kept.missing({k}):
-            kept.young[x] = b"1"
-    assert len(kept.young) + len(kept.old) <= 6
-    assert kept.missing({"h"}) == []
+    for k in "abcdefghijklmnopqr":
+        kept.add({x: b"1" for x in kept.lacking({k, "a"})})
+    assert 0 < len(kept.known) <= 4
+    assert packing.Remembered(3).lacking({"a"}) == ["a"]
+
+
+def test_ids_stay_right_when_words_are_forgotten(library):
+    tokenizer = packing.WordTokenizer(open(PATH, encoding="utf-8").read())
+    tokenizer.words, tokenizer.bare = packing.Remembered(5), packing.Remembered(4)
+    for i in range(60):
+        text = f"The word{i} and, again Word{i % 7}. the END{i}!"
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert tokenizer.encode(text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
 def test_empty_table(docs_of):

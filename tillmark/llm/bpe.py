@@ -32,7 +32,7 @@ def _vocabulary(rank_file: bytes):
     def make():
         return {base64.b64decode(a): int(b) for a, b in
                 (line.split() for line in rank_file.splitlines() if line)}
-    return worker_cache(("bpe-ranks", hash(rank_file)), make)
+    return worker_cache(("bpe-ranks", hash(rank_file)), make, "bpe")
 
 
 def _encoder(rank_file: bytes, pattern: str):
@@ -41,7 +41,7 @@ def _encoder(rank_file: bytes, pattern: str):
     def make():
         return tiktoken.Encoding("text", pat_str=pattern, mergeable_ranks=_vocabulary(rank_file),
                                  special_tokens={})
-    return worker_cache(("bpe-encoder", pattern, hash(rank_file)), make)
+    return worker_cache(("bpe-encoder", pattern, hash(rank_file)), make, "bpe")
 
 
 def encode_texts(texts: list[str | None], rank_file: bytes, pattern: str) -> list[bytes]:
@@ -55,7 +55,7 @@ def decode_ids(ids: list[bytes | None], rank_file: bytes) -> list[bytes | None]:
     import numpy as np
 
     by_id = worker_cache(("bpe-bytes", hash(rank_file)),
-                         lambda: {i: b for b, i in _vocabulary(rank_file).items()})
+                         lambda: {i: b for b, i in _vocabulary(rank_file).items()}, "bpe")
     return [None if x is None else b"".join(map(by_id.__getitem__, np.frombuffer(x, "<u4").tolist()))
             for x in ids]
 

@@ -21,12 +21,21 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-def worker_cache(key: object, make: Callable[[], object]) -> object:
-    """What ``make`` returns, made once in each Python worker and kept for its later tasks."""
-    kept = sys.modules.setdefault("tillmark_llm_cache", types.ModuleType("tillmark_llm_cache"))
-    if key not in kept.__dict__:
-        kept.__dict__[key] = make()
-    return kept.__dict__[key]
+def worker_cache(key: object, make: Callable[[], object], user: str | None = None) -> object:
+    """What ``make`` returns, made once in each Python worker and kept for its later tasks.
+
+    Workers outlive stages. What one ``user`` has kept goes when another comes; without a user it
+    stays.
+    """
+    kept = sys.modules.setdefault("tillmark_llm_cache", types.ModuleType("tillmark_llm_cache")).__dict__
+    held = kept.setdefault("held", {})
+    if user is not None and kept.get("user") != user:
+        kept["user"] = user
+        for other in [k for k, (owner, _) in held.items() if owner is not None]:
+            del held[other]
+    if key not in held:
+        held[key] = (user, make())
+    return held[key][1]
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -154,7 +154,7 @@ def _signed(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(weights)  # 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = worker_cache(("weights", hash(sent.value.tobytes())), lambda: Sampler(sent.value))
+        sampler = worker_cache(("weights", hash(sent.value.tobytes())), lambda: Sampler(sent.value), "near")
         for batch in sliced(batches, 2048):
             samples, bands, empty = [], [], []
             for _, texts in small_batches(batch.column("text")):

@@ -30,7 +30,7 @@ from tillmark.llm.common import ship_by_value, sliced, worker_cache
 
 CAPACITY = 4096
 END_TOKEN = 2
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS, REMEMBERED_BARE = 600_000, 400_000
 ROWS_A_BATCH = 8192
 
 _COLUMNS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
@@ -41,27 +41,26 @@ _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
 
 
 class Remembered:
-    """What was made for a key, for the keys of late: two generations, the older one dropped when
-    the younger is full, so that frequent keys stay and memory is bounded."""
+    """What was made for a key, for the first ``limit`` keys: the frequent ones are soon among them.
+
+    When four times as many others have come since, the texts have changed, and it starts anew.
+    """
 
     def __init__(self, limit: int):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.limit = limit
-
-    def missing(self, keys: set[str]) -> list[str]:
-        """Those that have to be made; the others are in ``young`` afterwards."""
-        if len(self.young) + len(keys) > self.limit:
-            self.old, self.young = self.young, {}
-        young, old, lacking = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                got = old.get(k)
-                if got is None:
-                    lacking.append(k)
-                else:
-                    young[k] = got
-        return lacking
+        self.known: dict[str, bytes] = {}
+        self.limit, self.refused = limit, 0
+
+    def lacking(self, keys: set[str]) -> list[str]:
+        known = self.known
+        return [k for k in keys if k not in known]
+
+    def add(self, made: dict[str, bytes]) -> None:
+        if len(self.known) < self.limit:
+            self.known.update(made)
+            return
+        self.refused += len(made)
+        if self.refused > 4 * self.limit:
+            self.known, self.refused = {}, 0
 
 
 class WordTokenizer:
@@ -78,7 +77,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words, self.bare = Remembered(REMEMBERED_WORDS), Remembered(REMEMBERED_WORDS)
+        self.words, self.bare = Remembered(REMEMBERED_WORDS), Remembered(REMEMBERED_BARE)
 
     def _parts(self, word: str) -> tuple[str, str]:
         """The bare word and its stops, where these are separate tokens; else the word as it is."""
@@ -91,16 +90,22 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        lacking = self.words.missing(set(words))
-        if lacking:
-            parts = [self._parts(w) for w in lacking]
-            new = self.bare.missing({x for p in parts for x in p})
-            for x, ids in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.bare.young[x] = struct.pack(f"<{len(ids)}I", *ids.ids)
-            bare = self.bare.young
-            self.words.young.update(
-                (w, bare[core] + bare[stops]) for w, (core, stops) in zip(lacking, parts, strict=True))
-        return b"".join(map(self.words.young.__getitem__, words))
+        known = self.words.known
+        lacking = self.words.lacking(set(words))
+        if not lacking:
+            return b"".join(map(known.__getitem__, words))
+        parts = [self._parts(w) for w in lacking]
+        wanted = {x for p in parts for x in p}
+        new, bare = self.bare.lacking(wanted), self.bare.known
+        made = {}
+        if new:
+            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            made = {x: struct.pack(f"<{len(ids)}I", *ids.ids) for x, ids in zip(new, found, strict=True)}
+            self.bare.add(made)
+        ids_of = {x: made[x] if x in made else bare[x] for x in wanted}
+        fresh = {w: ids_of[core] + ids_of[stops] for w, (core, stops) in zip(lacking, parts, strict=True)}
+        self.words.add(fresh)
+        return b"".join([fresh[w] if w in fresh else known[w] for w in words])
 
 
 def cut_lengths(n: int, capacity: int, smallest: int = 1) -> list[int]:
@@ -171,7 +176,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_tok
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = definition.value
-        tokenizer = worker_cache(("word-tokenizer", hash(text)), lambda: WordTokenizer(text))
+        tokenizer = worker_cache(("word-tokenizer", hash(text)), lambda: WordTokenizer(text), "packing")
         end = end_token.to_bytes(4, "little")
         bins = Bins(TaskContext.get().partitionId(), capacity, smallest)
         for batch in sliced(batches):

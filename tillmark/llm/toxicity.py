@@ -77,7 +77,7 @@ def _fold_word(word: str) -> str:
 
 def fold(text: str) -> str:
     """Folded words, each with a space before and after."""
-    known = worker_cache("folded-words", dict)
+    known = worker_cache("folded-words", dict, "toxicity")
     if len(known) > 300_000:
         known.clear()
     out = []
@@ -186,7 +186,7 @@ def _terms(labelled: DataFrame, n_bad: int, n_fine: int) -> dict[str, float]:
 def _phrases(labelled: DataFrame, model: ToxicityModel, n_bad: int, n_fine: int) -> list[str]:
     """Two words, one a term, that texts without the label have and texts with it have not."""
     def near(folded: str) -> set[str]:
-        automaton = worker_cache(("phrase-terms", tuple(model.terms)), model.automaton)
+        automaton = worker_cache(("phrase-terms", tuple(model.terms)), model.automaton, "toxicity")
         words, out = folded.split(), set()
         if not len(automaton) or not any(True for _ in automaton.iter(folded)):
             return out
