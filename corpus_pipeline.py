@@ -16,6 +16,8 @@ from tillmark.llm.common import documents, for_texts, kept_table
 
 #: A text whose likeliest language is less likely than this is not taken for any.
 LEAST_LANGUAGE_SCORE = 0.3
+#: Fewer words than packing remembers by itself: here its tasks follow others in the same executors.
+REMEMBERED = (200_000, 150_000)
 
 
 def _with_text(df: DataFrame, text: str, columns: list[str]) -> DataFrame:
@@ -60,7 +62,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents into sequences for training: a row per piece, with its ids."""
     for_texts(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True,
+                        remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -129,6 +129,8 @@ def identify(docs: DataFrame, model: LanguageModel, with_text: bool = False) ->
             back = {"row": batch.column("row")} | ({"text": text} if with_text else {})
             yield pa.RecordBatch.from_pydict(
                 back | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
+        if net.network is not None:
+            net.network.release()
 
     apart = text_apart(docs)
     kept = row_type(apart) + (", text string" if with_text else "")

@@ -30,7 +30,8 @@ from tillmark.llm.common import ship_by_value, sliced, worker_cache
 
 CAPACITY = 4096
 END_TOKEN = 2
-REMEMBERED_WORDS, REMEMBERED_BARE = 600_000, 400_000
+# Words as they stand and bare words that a task remembers: about 200 bytes each.
+REMEMBERED = (600_000, 400_000)
 ROWS_A_BATCH = 8192
 
 _COLUMNS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
@@ -72,12 +73,12 @@ class WordTokenizer:
 
     _STOPS = ".,;:!?"
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, remembered: tuple[int, int] = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words, self.bare = Remembered(REMEMBERED_WORDS), Remembered(REMEMBERED_BARE)
+        self.words, self.bare = map(Remembered, remembered)
 
     def _parts(self, word: str) -> tuple[str, str]:
         """The bare word and its stops, where these are separate tokens; else the word as it is."""
@@ -165,7 +166,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_token: int = END_TOKEN,
-         smallest: int = 1, with_ids: bool = False) -> DataFrame:
+         smallest: int = 1, with_ids: bool = False,
+         remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
     """A row per piece, with ``padded_to``, the length its sequence is padded to, and, if wanted,
     its ``ids``. ``capacity`` and ``smallest`` are powers of two; ``tokenizer_path`` is a file on
     the driver, which all executors get (about 2 MB)."""
@@ -176,7 +178,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_tok
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = definition.value
-        tokenizer = worker_cache(("word-tokenizer", hash(text)), lambda: WordTokenizer(text), "packing")
+        tokenizer = worker_cache(("word-tokenizer", hash(text), remembered),
+                                 lambda: WordTokenizer(text, remembered), "packing")
         end = end_token.to_bytes(4, "little")
         bins = Bins(TaskContext.get().partitionId(), capacity, smallest)
         for batch in sliced(batches):
