@@ -90,8 +90,9 @@ def _all_below(fs, folder):
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Where none is set, a session on a single machine (a test) gets one in its warehouse; on a
-    cluster that is an error, as nobody has said which folder its executors share.
+    Where none is set, a session on a single machine (a test) gets one in its warehouse, which goes
+    when the session's JVM ends; on a cluster that is an error, as nobody has said which folder its
+    executors share.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -102,6 +103,8 @@ def shared_folder(spark: SparkSession) -> str:
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     made = f"{warehouse}/shared-{uuid.uuid4().hex}"
     sc.setCheckpointDir(made)
+    fs, path = _fs(spark, made)
+    fs.deleteOnExit(path)
     return made
 
 
