@@ -54,7 +54,7 @@ def test_estimates_find_accuracies():
     for r, (found, wrong) in enumerate([(0.9, 0.02), (0.6, 0.05), (0.7, 0.01), (0.5, 0.03)]):
         votes[:, r] = np.where(rng.random(len(good)) < np.where(good, wrong, found), quality.BAD, quality.ABSTAIN)
     seen, counts = np.unique(votes, axis=0, return_counts=True)
-    model = quality.estimate(seen, counts.astype(float))
+    model = quality.estimate(seen, counts.astype(float), prior=1.0)
     assert abs(model.good_share - 0.8) < 0.02
     assert abs(model.chances[0, 0, quality.BAD + 1] - 0.9) < 0.03
     assert ((model.posterior(votes) >= 0.5) == good).mean() > 0.95

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -72,11 +73,21 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def _give_back() -> None:
+    """Hands memory that is free back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in small parts, so that a task holds the results of a few rows at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    _give_back()
 
 
 def text_apart(docs: DataFrame) -> DataFrame:
@@ -95,7 +106,8 @@ def kept_table(df: DataFrame, purpose: str) -> DataFrame:
 
 
 __all__ = [
-    "digest16", "documents", "for_texts", "fresh_folder", "kept_table", "literal_path", "lower_ascii", "row_type",
-    "sha256_hex", "ship_by_value", "sliced", "table_path", "text_apart", "worker_cache",
+    "TEXTS_A_BATCH", "digest16", "documents", "for_texts", "fresh_folder", "kept_table",
+    "literal_path", "lower_ascii", "row_type", "sha256_hex", "ship_by_value", "sliced", "stored",
+    "table_path", "text_apart", "worker_cache",
 ]
 ship_by_value(__name__)

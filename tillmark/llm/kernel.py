@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from tillmark.llm.common import ship_by_value, worker_cache
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 

@@ -30,7 +30,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import digest16, fresh_folder, kept_table, ship_by_value, sliced, stored, worker_cache
+from tillmark.llm.common import (
+    TEXTS_A_BATCH,
+    digest16,
+    fresh_folder,
+    kept_table,
+    ship_by_value,
+    sliced,
+    stored,
+    worker_cache,
+)
 from tillmark.llm.kernel import Texts, mix, rows_of, same_row, small_batches, window_hashes
 
 WORDS = 5
@@ -79,7 +88,7 @@ def feature_weights(docs: DataFrame) -> np.ndarray:
     """The damped inverse document frequency of every class of shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << FEATURE_BITS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_A_BATCH):
             for _, texts in small_batches(batch.column("text")):
                 total += np.bincount(features(shingles(texts)[1]), minlength=len(total))
         some = np.flatnonzero(total)

@@ -21,7 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import kept_table, row_type, ship_by_value, text_apart
+from tillmark.llm.common import (
+    TEXTS_A_BATCH,
+    kept_table,
+    row_type,
+    ship_by_value,
+    sliced,
+    text_apart,
+)
 from tillmark.llm.kernel import Texts, mix, rows_of, same_row, small_batches, window_hashes
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
@@ -106,7 +113,7 @@ def facts(texts: Texts) -> dict[str, np.ndarray]:
 def with_facts(docs: DataFrame) -> DataFrame:
     """``row`` (the columns of ``docs`` but ``text``) and the facts of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_A_BATCH):
             parts = [facts(t) for _, t in small_batches(batch.column("text"))]
             found = [pa.array(np.concatenate([p[f] for p in parts]) if parts else [], pa.int64())
                      for f in FACTS]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.common import kept_table, ship_by_value, sliced
+from tillmark.llm.common import TEXTS_A_BATCH, kept_table, ship_by_value, sliced
 from tillmark.llm.kernel import Texts, _powers, mix, rows_of, same_row, small_batches, window_hashes
 
 WINDOW = 20
@@ -104,7 +104,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _anchors(keyed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_A_BATCH):
             doc, txt = batch.column("doc").to_numpy(), batch.column("txt").to_numpy()
             for at, texts in small_batches(batch.column("text")):
                 p = Parsed(texts)
@@ -124,7 +124,7 @@ def _anchors(keyed: DataFrame) -> DataFrame:
 def _repeated_anchors(keyed: DataFrame) -> DataFrame:
     """Anchors that occur at two places or more. Each batch counts its own first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, TEXTS_A_BATCH):
             for _, texts in small_batches(batch.column("text")):
                 p = Parsed(texts)
                 if p.any:
