@@ -31,7 +31,7 @@ from tillmark.llm.common import ship_by_value, sliced, worker_cache
 CAPACITY = 4096
 END_TOKEN = 2
 # Words as they stand and bare words that a task remembers: about 200 bytes each.
-REMEMBERED = (600_000, 400_000)
+REMEMBERED = (800_000, 500_000)
 ROWS_A_BATCH = 8192
 
 _COLUMNS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
