@@ -63,10 +63,6 @@ class ByteNetwork:
             top.append(np.maximum(value.max(1) + b, 0))
         return np.concatenate(top, 1)
 
-    def release(self) -> None:
-        """Lets go of the tables of pairs, which are made again when next needed."""
-        self._pairs = None
-
     def logits(self, x: np.ndarray) -> np.ndarray:
         parts = [self._quick_pooled(x[i: i + AT_ONCE]) for i in range(0, len(x), AT_ONCE)]
         pooled = np.concatenate(parts) if parts else np.zeros((0, len(self.out)), np.float32)

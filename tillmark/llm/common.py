@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,15 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def sent_by_value(spark: SparkSession, model: object) -> Broadcast:
+    """A broadcast of an object and the code of its class; ``received`` makes it in the task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(sent: Broadcast) -> object:
+    return pickle.loads(sent.value)
+
+
 def worker_cache(key: object, make: Callable[[], object], user: str | None = None) -> object:
     """What ``make`` returns, made once in each Python worker and kept for its later tasks.
 
@@ -107,7 +117,8 @@ def kept_table(df: DataFrame, purpose: str) -> DataFrame:
 
 __all__ = [
     "TEXTS_A_BATCH", "digest16", "documents", "for_texts", "fresh_folder", "kept_table",
-    "literal_path", "lower_ascii", "row_type", "sha256_hex", "ship_by_value", "sliced", "stored",
+    "literal_path", "lower_ascii", "received", "row_type", "sent_by_value", "sha256_hex",
+    "ship_by_value", "sliced", "stored",
     "table_path", "text_apart", "worker_cache",
 ]
 ship_by_value(__name__)

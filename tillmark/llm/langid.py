@@ -22,7 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.cnn import ByteNetwork
-from tillmark.llm.common import row_type, ship_by_value, sliced, text_apart
+from tillmark.llm.common import (
+    received,
+    row_type,
+    sent_by_value,
+    ship_by_value,
+    sliced,
+    text_apart,
+)
 from tillmark.llm.kernel import Texts, small_batches
 
 WINDOW_BYTES = 256
@@ -112,10 +119,10 @@ def _has_letter(text: str | None) -> bool:
 
 def identify(docs: DataFrame, model: LanguageModel, with_text: bool = False) -> DataFrame:
     """``row`` (the columns of ``docs`` but ``text``), ``lang_pred`` and ``score``; ``text`` if asked."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # the network: under 1 MB
+    sent = sent_by_value(docs.sparkSession, model)  # the network: under 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = sent.value
+        net = received(sent)
         for batch in sliced(batches):
             text = batch.column("text")
             lang, score = [], []
@@ -129,8 +136,6 @@ def identify(docs: DataFrame, model: LanguageModel, with_text: bool = False) ->
             back = {"row": batch.column("row")} | ({"text": text} if with_text else {})
             yield pa.RecordBatch.from_pydict(
                 back | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
-        if net.network is not None:
-            net.network.release()
 
     apart = text_apart(docs)
     kept = row_type(apart) + (", text string" if with_text else "")

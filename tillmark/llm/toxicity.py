@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.common import (
     kept_table,
+    received,
     row_type,
+    sent_by_value,
     ship_by_value,
     sliced,
     text_apart,
@@ -202,10 +204,10 @@ def _phrases(labelled: DataFrame, model: ToxicityModel, n_bad: int, n_fine: int)
 
 def _measured(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``row`` (the columns of ``docs`` but ``text``), ``hits`` and ``score``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_TERMS terms, MAX_PHRASES phrases
+    sent = sent_by_value(docs.sparkSession, model)  # MAX_TERMS terms, MAX_PHRASES phrases
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = sent.value
+        lexicon = received(sent)
         automaton = lexicon.automaton()
         for batch in sliced(batches):
             folded = [fold(t or "") for t in batch.column("text").to_pylist()]
