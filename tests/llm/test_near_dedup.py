@@ -74,6 +74,41 @@ def test_large_group_of_near_copies(docs_of):
     assert sum(got[d] == got[350] for d in near) >= 0.999 * len(near)
 
 
+def form_letters(rng, others, pairs):
+    """Texts of one template, most just below a link, and pairs of them just above."""
+    letters = []
+
+    def letter(edits):
+        words = [f"t{i}" for i in range(400)]
+        for place, word in edits.items():
+            words[5 * place + 2] = word
+        letters.append(" ".join(words))
+
+    def edits(places):
+        return {place: f"x{rng.random()}" for place in places}
+
+    for _ in range(others):
+        letter(edits(rng.sample(range(80), 6)))
+    for _ in range(pairs):
+        places = rng.sample(range(80), 10)
+        both = edits(places[:2])
+        letter(both | edits(places[2:6]))
+        letter(both | edits(places[6:]))
+    return letters
+
+
+def lost_pairs(texts, got):
+    want = classes_by_brute_force(texts)
+    assert len({want[d] for d in want}) < len(want)
+    return [d for d in texts if want[d] != d and got[d] == d]
+
+
+def test_near_pairs_among_many_texts_just_below(docs_of):
+    texts = dict(enumerate(form_letters(random.Random(3), 240, 30)))
+    got = classes(nd.near_duplicates(docs_of(*texts.items(), extra=False)))
+    assert len(lost_pairs(texts, got)) <= 1
+
+
 def test_hard_rows(docs_of):
     long = " ".join(f"t{i % 7000}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "One"), (6, "same words in this text"),

@@ -14,8 +14,12 @@ others. Bands with more than ``MEET_AT_ONCE`` texts are split by a hash; hubs of
 put to all texts of the band. Pairs are decided on all shingles: a link is a weighted or plain
 Jaccard similarity of ``SIMILARITY`` or more. The classes are the connected components of the links.
 
+That shortens the work only. Where texts that met are not yet joined by links, every pair of them that
+agrees on ``LEAST_AGREEING`` samples is decided too, in the task in which they meet again.
+
 A link can be missed only if its two texts meet in no band (chance 0.0008 at similarity 0.8, falling
-fast), or if neither is among the other's likeliest and no chain of links joins them otherwise.
+fast), or agree on too few samples, or meet in a split band's different parts only and are near none
+of its hubs.
 
 Defined results: texts without a word are each in a class of their own. Rows that repeat are in one
 class. A null ``doc_id`` comes before all others. Only ``doc_id`` and ``text`` are read.
@@ -268,12 +272,17 @@ def _as_batch(a: list, b: list, key: list) -> pa.RecordBatch:
         {"a": pa.array(a, _ID), "b": pa.array(b, _ID), "key": pa.array(key, pa.int64())})
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs of texts, ``a`` before ``b``, that are worth deciding."""
-    posts = nodes.select("node", "samples", F.explode("bands").alias("key"))
+def _meeting(nodes: DataFrame) -> DataFrame:
+    """``key``, ``band``, ``node`` and ``samples`` of the texts in each band with others; ``n``, how many."""
+    posts = nodes.select("node", "samples", F.posexplode("bands").alias("band", "key"))
     shared = kept_table(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-bands")
+    return kept_table(posts.join(shared, "key").select("key", "band", "node", "samples", "n"), "near-meeting")
+
+
+def _candidates(nodes: DataFrame, posts: DataFrame) -> DataFrame:
+    """Pairs of texts, ``a`` before ``b``, that are worth deciding first."""
     parts = F.ceil(F.col("n") / MEET_AT_ONCE).cast("int")
-    meeting = posts.join(shared, "key").select(
+    meeting = posts.select(
         "key", "node", "samples", parts.alias("parts"),
         F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
     found = kept_table(_pairs_of(meeting), "near-found")
@@ -300,8 +309,15 @@ def _candidates(nodes: DataFrame) -> DataFrame:
 
 def _similarity(a: bytes, b: bytes, weights: np.ndarray) -> float:
     """The larger of weighted and plain Jaccard similarity of two multisets of shingles."""
-    x, nx = np.unique(np.frombuffer(a, np.uint32), return_counts=True)
-    y, ny = np.unique(np.frombuffer(b, np.uint32), return_counts=True)
+    return _similarity_of(_counted(a), _counted(b), weights)
+
+
+def _counted(a: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.frombuffer(a, np.uint32), return_counts=True)
+
+
+def _similarity_of(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], weights: np.ndarray) -> float:
+    (x, nx), (y, ny) = a, b
     both, at_x, at_y = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     plain = len(both) / (len(x) + len(y) - len(both))
     shared = (weights[features(both)] * np.minimum(nx[at_x], ny[at_y])).sum()
@@ -323,6 +339,14 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("txt", "text").mapInArrow(run, "txt binary, `set` binary")
 
 
+def _sets_of(asked: DataFrame, docs: DataFrame) -> DataFrame:
+    """``txt`` and ``set`` of the texts of ``node``."""
+    asked = asked.select("node").distinct().select(F.col("node.txt").alias("txt")).distinct()
+    # Copies of a text are one before they are shuffled. One plan for any size: merged, not broadcast.
+    one_each = _shingle_sets(docs).groupBy("txt").agg(F.first("set").alias("set"))
+    return kept_table(one_each.join(asked.hint("merge"), "txt", "left_semi"), "near-sets")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, weights: np.ndarray, similarity: float) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -333,11 +357,7 @@ def _links(pairs: DataFrame, docs: DataFrame, weights: np.ndarray, similarity: f
             near = pa.array([v >= similarity for v in value], pa.bool_())
             yield batch.select(["a", "b"]).filter(near)
 
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().select(
-        F.col("node.txt").alias("txt")).distinct()
-    # Copies of a text are one before they are shuffled. One plan for any size: merged, not broadcast.
-    one_each = _shingle_sets(docs).groupBy("txt").agg(F.first("set").alias("set"))
-    sets = kept_table(one_each.join(asked.hint("merge"), "txt", "left_semi"), "near-sets")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs)
     ready = (
         pairs.join(sets.select(F.col("txt").alias("ta"), F.col("set").alias("x")), F.col("a.txt") == F.col("ta"))
         .join(sets.select(F.col("txt").alias("tb"), F.col("set").alias("y")), F.col("b.txt") == F.col("tb"))
@@ -346,6 +366,92 @@ def _links(pairs: DataFrame, docs: DataFrame, weights: np.ndarray, similarity: f
     return kept_table(ready.mapInArrow(run, f"a {kind}, b {kind}"), "near-links")
 
 
+# ---- the rest --------------------------------------------------------------------------------
+
+
+def open_pairs(samples: np.ndarray, root: np.ndarray, side: np.ndarray, band: int) -> np.ndarray:
+    """Pairs of texts of different roots that are likely near and meet in no band before this one;
+    of two sides, if there are two, one of each."""
+    one = np.flatnonzero(side == side.min())
+    other = np.flatnonzero(side == side.max())
+    agree = np.zeros((len(one), len(other)), np.int16)
+    before = np.zeros(agree.shape, bool)
+    for b in range(BANDS):
+        same = np.ones(agree.shape, bool)
+        for k in range(b * ROWS, (b + 1) * ROWS):
+            equal = samples[one, k, None] == samples[None, other, k]
+            agree += equal
+            same &= equal
+        if b < band:
+            before |= same
+    found = (agree >= LEAST_AGREEING) & ~before & (root[one, None] != root[None, other])
+    i, j = np.nonzero(found)
+    i, j = one[i], other[j]
+    if one[0] == other[0]:
+        i, j = i[i < j], j[i < j]
+    return np.stack([i, j], axis=1)
+
+
+_UNIT = ["key", "i", "j"]
+_MEMBER = ("key long, i int, j int, side int, band int, root long, "
+           "node struct<doc:long,txt:binary>, samples binary")
+
+
+def _open_of(group: pa.Table) -> np.ndarray:
+    samples = np.frombuffer(b"".join(group.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
+    return open_pairs(samples, group.column("root").to_numpy(), group.column("side").to_numpy(),
+                      group.column("band")[0].as_py())
+
+
+def _together(members: DataFrame) -> DataFrame:
+    return members.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+
+
+def _links_left(posts: DataFrame, roots: DataFrame, docs: DataFrame, weights: np.ndarray,
+                similarity: float) -> DataFrame | None:
+    """Links among texts that met and are in different components; none if no pair is left."""
+    met = kept_table(posts.join(roots, "node", "left").select(
+        "key", "band", "node", "samples", F.xxhash64(F.coalesce("root", "node")).alias("root")), "near-met")
+    members = kept_table(_together(_units(met)).mapInArrow(_with_open_pairs, _MEMBER), "near-left")
+    if members.isEmpty():
+        return None
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, _UNIT):
+            node, sets = group.column("node").to_pylist(), [_counted(x) for x in group.column("set").to_pylist()]
+            # What links have joined meanwhile is one.
+            joined = np.unique(group.column("root").to_numpy(), return_inverse=True)[1]
+            a, b = [], []
+            for i, j in _open_of(group).tolist():
+                if joined[i] != joined[j] and _similarity_of(sets[i], sets[j], sent.value) >= similarity:
+                    joined[joined == joined[j]] = joined[i]
+                    a.append(node[i])
+                    b.append(node[j])
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, _ID), "b": pa.array(b, _ID)})
+
+    sets = _sets_of(members, docs).withColumnRenamed("txt", "of")
+    ready = members.join(sets, F.col("node.txt") == F.col("of")).drop("of")
+    kind = "struct<doc:long,txt:binary>"
+    return kept_table(_together(ready).mapInArrow(run, f"a {kind}, b {kind}"), "near-links")
+
+
+def _with_open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in _grouped(batches, _UNIT):
+        some = np.unique(_open_of(group))
+        if len(some):
+            yield from group.take(pa.array(some)).combine_chunks().to_batches()
+
+
+def _units(met: DataFrame) -> DataFrame:
+    """The texts of each band in which components meet, by the parts in which they are compared."""
+    bands = kept_table(met.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1"), "near-open")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / MEET_AT_ONCE)).cast("int")
+    return met.join(bands, "key").select(
+        "key", part.alias("i"), part.alias("j"), part.alias("side"), "band", "root", "node", "samples")
+
+
 # ---- classes ---------------------------------------------------------------------------------
 
 
@@ -394,8 +500,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     texts = signed.where("bands IS NOT NULL").groupBy("txt").agg(
         F.min("doc").alias("doc"), F.first("samples").alias("samples"), F.first("bands").alias("bands"))
     nodes = kept_table(texts.select(F.struct("doc", "txt").alias("node"), "samples", "bands"), "near-nodes")
-    links = _links(_candidates(nodes), keyed, weights, similarity)
+    posts = _meeting(nodes)
+    links = _links(_candidates(nodes, posts), keyed, weights, similarity)
     roots = components(links)
+    more = _links_left(posts, roots, keyed, weights, similarity)
+    if more is not None:
+        roots = components(links.unionByName(more))
     placed = kept_table(nodes.select("node").join(roots, "node", "left").select(
         F.col("node.txt").alias("txt"), F.coalesce("root", "node").alias("root")), "near-placed")
     # A text without a word is a class of its own.
