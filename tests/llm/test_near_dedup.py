@@ -109,6 +109,24 @@ def test_near_pairs_among_many_texts_just_below(docs_of):
     assert len(lost_pairs(texts, got)) <= 1
 
 
+def test_near_pairs_in_crowded_bands(docs_of):
+    """Near copies that a split band deals to different parts, beside a cluster that has all hubs."""
+    rng = random.Random(4)
+    letters = form_letters(rng, 100, 30)
+    for d in range(300):
+        words = [f"c{i}" if i % 50 == 7 else f"t{i}" for i in range(400)]
+        words[rng.randrange(400)] = f"y{d}"
+        letters.append(" ".join(words))
+    texts = dict(enumerate(letters))
+    small = nd.MEET_AT_ONCE
+    try:
+        nd.MEET_AT_ONCE = 32
+        got = classes(nd.near_duplicates(docs_of(*texts.items(), extra=False)))
+    finally:
+        nd.MEET_AT_ONCE = small
+    assert len(lost_pairs(texts, got)) <= 1
+
+
 def test_hard_rows(docs_of):
     long = " ".join(f"t{i % 7000}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "One"), (6, "same words in this text"),

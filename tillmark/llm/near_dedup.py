@@ -18,8 +18,7 @@ That shortens the work only. Where texts that met are not yet joined by links, e
 agrees on ``LEAST_AGREEING`` samples is decided too, in the task in which they meet again.
 
 A link can be missed only if its two texts meet in no band (chance 0.0008 at similarity 0.8, falling
-fast), or agree on too few samples, or meet in a split band's different parts only and are near none
-of its hubs.
+fast), or agree on too few samples.
 
 Defined results: texts without a word are each in a class of their own. Rows that repeat are in one
 class. A null ``doc_id`` comes before all others. Only ``doc_id`` and ``text`` are read.
@@ -398,8 +397,11 @@ _MEMBER = ("key long, i int, j int, side int, band int, root long, "
 
 
 def _open_of(group: pa.Table) -> np.ndarray:
+    side = group.column("side").to_numpy()
+    if len(np.unique(side)) < (2 if group.column("i")[0].as_py() < group.column("j")[0].as_py() else 1):
+        return np.zeros((0, 2), np.int64)  # no text fell into the other part
     samples = np.frombuffer(b"".join(group.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
-    return open_pairs(samples, group.column("root").to_numpy(), group.column("side").to_numpy(),
+    return open_pairs(samples, group.column("root").to_numpy(), side,
                       group.column("band")[0].as_py())
 
 
@@ -444,12 +446,25 @@ def _with_open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _units(met: DataFrame) -> DataFrame:
-    """The texts of each band in which components meet, by the parts in which they are compared."""
+    """The texts of each band in which components meet, for each two parts that are compared.
+
+    A band of more than ``MEET_AT_ONCE`` texts is in parts of its largest component, which need not be
+    compared with each other, and in parts of the other texts, which are compared with all parts.
+    """
     bands = kept_table(met.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1"), "near-open")
-    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / MEET_AT_ONCE)).cast("int")
-    return met.join(bands, "key").select(
-        "key", part.alias("i"), part.alias("j"), part.alias("side"), "band", "root", "node", "samples")
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main"),
+        F.count(F.lit(1)).alias("roots")).where("roots > 1"), "near-open")
+    split = F.col("n") > MEET_AT_ONCE
+    mains = F.when(split, F.ceil(F.col("most") / MEET_AT_ONCE)).otherwise(0).cast("int")
+    others = F.when(split, F.ceil((F.col("n") - F.col("most")) / MEET_AT_ONCE)).otherwise(1).cast("int")
+    is_main = split & (F.col("root") == F.col("main"))
+    side = F.when(is_main, others + F.pmod(F.xxhash64("node"), mains)).otherwise(
+        F.pmod(F.xxhash64("node"), others)).cast("int")
+    last = F.when(is_main, others).otherwise(others + mains) - 1
+    dealt = met.join(bands, "key").select(
+        "key", side.alias("side"), F.explode(F.sequence(F.lit(0), last)).alias("to"), "band", "root", "node", "samples")
+    return dealt.select("key", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "side",
+                        "band", "root", "node", "samples")
 
 
 # ---- classes ---------------------------------------------------------------------------------
