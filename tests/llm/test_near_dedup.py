@@ -127,6 +127,17 @@ def test_near_pairs_in_crowded_bands(docs_of):
     assert len(lost_pairs(texts, got)) <= 1
 
 
+def test_copies_that_repeat_unequally(docs_of):
+    texts = {}
+    for d in range(0, 80, 2):
+        words = [f"d{d}w{i}" for i in range(200)]
+        texts[d] = " ".join(words)
+        texts[d + 1] = " ".join(words + words[-10:] * 30)
+    assert len(set(classes_by_brute_force(texts).values())) == 40
+    got = classes(nd.near_duplicates(docs_of(*texts.items())))
+    assert len(lost_pairs(texts, got)) <= 1
+
+
 def test_hard_rows(docs_of):
     long = " ".join(f"t{i % 7000}" for i in range(60_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "One"), (6, "same words in this text"),

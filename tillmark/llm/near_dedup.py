@@ -7,7 +7,9 @@ of them has one size for any corpus. The inverse frequency is damped to between
 ``1 + IDF_SHARE``: what thousands of copies share must not count for so little that they come apart.
 
 Each of ``BANDS * ROWS`` samples of a text is drawn so that two texts agree with a chance of their
-weighted Jaccard similarity. Texts that agree on all samples of a band meet there. Copies of one and
+weighted Jaccard similarity. A text with repeated shingles is sampled once more with each of them
+counted once, and stands in bands by both: so those meet whose plain similarity is high but that repeat
+unequally. Texts that agree on all samples of a band meet there. Copies of one and
 the same text meet as one. Where texts meet, no pairs are formed: all samples tell which text is
 likely near which, and each text is paired with its likeliest few and with a hub, a text near many
 others. Bands with more than ``MEET_AT_ONCE`` texts are split by a hash; hubs of the parts are then
@@ -18,7 +20,8 @@ That shortens the work only. Where texts that met are not yet joined by links, e
 agrees on ``LEAST_AGREEING`` samples is decided too, in the task in which they meet again.
 
 A link can be missed only if its two texts meet in no band (chance 0.0008 at similarity 0.8, falling
-fast), or agree on too few samples.
+fast; at most 0.003 at plain similarity 0.8, as inverse frequencies may bring it down to 0.76), or agree
+on too few samples.
 
 Defined results: texts without a word are each in a class of their own. Rows that repeat are in one
 class. A null ``doc_id`` comes before all others. Only ``doc_id`` and ``text`` are read.
@@ -162,27 +165,38 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``doc``, ``txt``, ``samples`` and ``bands``; the latter two null for texts without a word."""
+    """``doc``, ``txt``, ``samples`` and ``bands``, the latter two null for texts without a word; ``once``
+    and ``once_bands``, the same with each shingle counted once, null where they are no others."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)  # 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = worker_cache(("weights", hash(sent.value.tobytes())), lambda: Sampler(sent.value), "near")
         for batch in sliced(batches, 2048):
-            samples, bands, empty = [], [], []
+            samples, bands, empty, once, once_bands, same = [], [], [], [], [], []
             for _, texts in small_batches(batch.column("text")):
                 row, shingle, often = shingles(texts)
                 drawn = sampler.draw(row, features(shingle), often, texts.rows)
                 samples += [x.tobytes() for x in drawn]
                 bands.append(band_keys(drawn))
                 empty.append(np.bincount(row, minlength=texts.rows) == 0)
+                repeats = np.bincount(row[often > 1], minlength=texts.rows) > 0
+                some = repeats[row]
+                single = sampler.draw(row[some], features(shingle[some]), np.ones(some.sum(), np.int64), texts.rows)
+                once += [x.tobytes() for x in single]
+                once_bands.append(band_keys(single))
+                same.append(~repeats | (single == drawn).all(1))
+            no_others = np.concatenate(same)
             none = np.concatenate(empty)
             keys = np.concatenate(bands)
             yield pa.RecordBatch.from_pydict({
                 "doc": batch.column("doc"), "txt": batch.column("txt"),
                 "samples": pa.array(samples, pa.binary(), mask=none),
-                "bands": pa.array(list(keys), pa.list_(pa.int64()), mask=none)})
+                "bands": pa.array(list(keys), pa.list_(pa.int64()), mask=none),
+                "once": pa.array(once, pa.binary(), mask=no_others),
+                "once_bands": pa.array(list(np.concatenate(once_bands)), pa.list_(pa.int64()), mask=no_others)})
 
-    return docs.mapInArrow(run, "doc long, txt binary, samples binary, bands array<long>")
+    return docs.mapInArrow(run, "doc long, txt binary, samples binary, bands array<long>, "
+                                "once binary, once_bands array<long>")
 
 
 # ---- who is put to whom ----------------------------------------------------------------------
@@ -272,9 +286,15 @@ def _as_batch(a: list, b: list, key: list) -> pa.RecordBatch:
 
 
 def _meeting(nodes: DataFrame) -> DataFrame:
-    """``key``, ``band``, ``node`` and ``samples`` of the texts in each band with others; ``n``, how many."""
-    posts = nodes.select("node", "samples", F.posexplode("bands").alias("band", "key"))
-    shared = kept_table(posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-bands")
+    """``key``, ``band``, ``node`` and ``samples`` of the texts in each band with others; ``n``, how many
+    rows. A text may be in a band twice, by both of its samples."""
+    posts = nodes.select("node", "samples", F.posexplode("bands").alias("band", "key")).unionByName(
+        nodes.where("once IS NOT NULL").select(
+            "node", F.col("once").alias("samples"), F.posexplode("once_bands").alias("band", "key")))
+    node = F.xxhash64("node")
+    shared = kept_table(posts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(node).alias("least"), F.max(node).alias("most")
+    ).where("least < most").select("key", "n"), "near-bands")
     return kept_table(posts.join(shared, "key").select("key", "band", "node", "samples", "n"), "near-meeting")
 
 
@@ -300,7 +320,7 @@ def _candidates(nodes: DataFrame, posts: DataFrame) -> DataFrame:
     sides = put.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     both = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(sides).unionByName(
         best.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    return kept_table(both.distinct(), "near-pairs")
+    return kept_table(both.where("a <> b").distinct(), "near-pairs")
 
 
 # ---- deciding pairs --------------------------------------------------------------------------
@@ -513,8 +533,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     weights = feature_weights(keyed)
     signed = kept_table(_signed(keyed, weights), "near-signed")
     texts = signed.where("bands IS NOT NULL").groupBy("txt").agg(
-        F.min("doc").alias("doc"), F.first("samples").alias("samples"), F.first("bands").alias("bands"))
-    nodes = kept_table(texts.select(F.struct("doc", "txt").alias("node"), "samples", "bands"), "near-nodes")
+        F.min("doc").alias("doc"), F.first("samples").alias("samples"), F.first("bands").alias("bands"),
+        F.first("once").alias("once"), F.first("once_bands").alias("once_bands"))
+    nodes = kept_table(texts.select(
+        F.struct("doc", "txt").alias("node"), "samples", "bands", "once", "once_bands"), "near-nodes")
     posts = _meeting(nodes)
     links = _links(_candidates(nodes, posts), keyed, weights, similarity)
     roots = components(links)
