@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm import (
+    alignment,
     bpe,
     exact_dedup,
     langid,
@@ -195,3 +196,12 @@ WITH d AS (
 SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
 FROM kept
 """
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other, for every document."""
+    aligned = alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.path("piece_bpe_32k.model"), groups="sha256")
+    return aligned.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                          F.col("groups").alias("groups_sha256"))
