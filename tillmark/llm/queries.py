@@ -16,6 +16,7 @@ from tillmark.llm import (
     line_dedup,
     near_dedup,
     packing,
+    pu_quality,
     quality,
     secret_scan,
     substring_dedup,
@@ -205,3 +206,13 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.path("piece_bpe_32k.model"), groups="sha256")
     return aligned.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
                           F.col("groups").alias("groups_sha256"))
+
+
+@query
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from good ones that are not held out and unlabelled ones."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(table_path(sf_dir, "labels"))
+    model = pu_quality.train(docs, labels, trusted=~langid.held_out(folds=4, fold=2))
+    return pu_quality.score(docs, model).select(
+        "row.doc_id", langid.held_out("row.doc_id", 4, 2).alias("held_out"), "score", "predicted")
