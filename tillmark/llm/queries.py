@@ -16,6 +16,7 @@ from tillmark.llm import (
     line_dedup,
     near_dedup,
     packing,
+    prefix_trie,
     pu_quality,
     quality,
     secret_scan,
@@ -216,3 +217,58 @@ def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pu_quality.train(docs, labels, trusted=~langid.held_out(folds=4, fold=2))
     return pu_quality.score(docs, model).select(
         "row.doc_id", langid.held_out("row.doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(spark.read.parquet(table_path(sf_dir, "conversations")))
+
+
+# An id's hash is made a byte of its digits at a time, eight steps a byte.
+ORACLES["op11_prefix_trie"] = """
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) - 1 AS pos, key, size
+  FROM (SELECT conv_id, turn, strlen(coalesce(text, '')) AS size,
+               sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+        FROM conversations WHERE conv_id IS NOT NULL)
+), hashed AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+      lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS crc
+  FROM (SELECT DISTINCT conv_id FROM own)
+), ids AS (
+  SELECT conv_id, base, xor(crc, 4294967295::BIGINT) % 9 AS h FROM hashed
+), taken AS (
+  SELECT i.conv_id, o.pos, o.key, o.size FROM ids i JOIN own o ON o.conv_id = i.base WHERE o.pos < i.h
+), turns AS (
+  SELECT * FROM taken
+  UNION ALL
+  SELECT o.conv_id, o.pos - i.h + (SELECT count(*) FROM taken t WHERE t.conv_id = i.conv_id), o.key, o.size
+  FROM own o JOIN ids i USING (conv_id) WHERE o.pos >= i.h
+), member AS (
+  SELECT conv_id, 0 AS depth, '' AS prefix, 0 AS size FROM ids
+  UNION ALL
+  SELECT conv_id, pos + 1, string_agg(key, ',') OVER (PARTITION BY conv_id ORDER BY pos), size FROM turns
+), last AS (
+  SELECT conv_id, max(depth) AS depth FROM member GROUP BY conv_id
+), node AS (
+  SELECT prefix, m.depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+         string_agg(CASE WHEN l.depth = m.depth THEN m.conv_id::VARCHAR END, ',' ORDER BY m.conv_id) AS ends
+  FROM member m JOIN last l USING (conv_id) GROUP BY prefix, m.depth
+), parented AS (
+  SELECT n.*, up.prefix AS parent, up.conv_id AS parent_conv_id,
+         NOT EXISTS (SELECT 1 FROM member m JOIN member b ON b.conv_id = m.conv_id AND b.depth = m.depth + 1
+                     WHERE m.prefix = n.prefix AND m.depth = n.depth) AS leaf
+  FROM node n LEFT JOIN member m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+  LEFT JOIN node up ON up.prefix = m.prefix AND up.depth = m.depth
+), below AS (
+  SELECT m.prefix, m.depth, sum(u.leaf::INT) AS n_leaves, sum(u.saved) AS saved_tokens,
+         count(*) FILTER (u.depth = m.depth + 1) AS n_children
+  FROM member m JOIN parented u ON u.conv_id = m.conv_id AND u.depth >= m.depth GROUP BY ALL
+)
+SELECT p.conv_id, p.depth, p.parent_conv_id, p.n_convs, b.n_children, b.n_leaves::BIGINT AS n_leaves,
+       b.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(p.ends, '')) AS ends_sha256
+FROM parented p JOIN below b USING (prefix, depth)
+"""
