@@ -4,10 +4,12 @@ from decimal import Decimal as D
 
 import pytest
 
+from tillmark.operators import ranking
 from tillmark.operators.enrich import unmatched_sales
 from tillmark.operators.monthly import customer_month_window_total
 from tillmark.operators.ranking import pay_best_seller, rank_many_sellers, rank_sellers
 from tillmark.plans import marts
+from tillmark.storage import stored
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
@@ -110,14 +112,33 @@ def test_window_total_keeps_every_row_and_null_months(world, rows_of):
         (1, D("5.00"), D("5.00")), (None, D("6.00"), D("6.00"))]
 
 
-@pytest.mark.parametrize("slices", [2, 3, 64])
-def test_sliced_ranks_equal_window_ranks(spark, rows_of, slices):
-    """Ties, nulls, a null month, and one store with most of the sellers."""
+def ranked_in_tasks(spark, totals, tasks):
+    """``rank_many_sellers`` over so many ranges, however small they are."""
+    settings = {"spark.sql.shuffle.partitions": str(tasks), "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        return rank_many_sellers(totals)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+@pytest.mark.parametrize("totals", ["pow(id % 97, 2)", "if(id % 10 > 0, 500, id)", "7", "id"])
+def test_ranks_by_ranges_equal_window_ranks(spark, rows_of, tasks, totals):
+    """Ties, nulls, a null month, a null store, and one store with most of the sellers."""
     totals = spark.range(4000).selectExpr(
-        "if(id % 3 = 0, 1, if(id % 2 = 0, 2, 3)) store_id", "id sales_person_id",
+        "if(id % 3 > 0, 1, if(id % 19 = 0, null, 3)) store_id", "id sales_person_id",
         "if(id % 11 = 0, null, concat('2024-0', 1 + id % 2)) sales_month",
-        "cast(if(id % 17 = 0, null, pow(id % 97, 2)) as decimal(18,2)) total_sales")
-    assert rows_of(rank_many_sellers(totals, slices=slices)) == rows_of(rank_sellers(totals))
+        f"cast(if(id % 17 = 0, null, {totals}) as decimal(18,2)) total_sales", "id % 5 AS `row`")
+    assert rows_of(ranked_in_tasks(spark, totals, tasks)) == rows_of(rank_sellers(totals))
+
+
+def test_no_sellers_no_ranks(spark):
+    none = spark.createDataFrame([], "store_id long, sales_month string, total_sales decimal(18,2)")
+    assert rank_many_sellers(none).count() == 0 and "rnk" in rank_many_sellers(none).columns
 
 
 def test_both_ways_of_paying_agree(spark, rows_of):
@@ -130,16 +151,22 @@ def test_both_ways_of_paying_agree(spark, rows_of):
     assert {(r["store_id"], r["sales_month"], r["sales_person_id"]) for r in paid} == best
 
 
-def test_ties_are_counted_before_they_are_ranked(spark, rows_of):
+def test_ties_spread_over_tasks_and_rows_are_shuffled_once(spark, rows_of, monkeypatch):
     """Nine sellers in ten are tied: no task of the ranking gets more than a few times the mean."""
     totals = spark.range(20_000).selectExpr(
         "1 store_id", "id sales_person_id", "'2024-01' sales_month",
         "cast(if(id % 10 > 0, 500, id) as decimal(18,2)) total_sales")
-    ranks = rank_many_sellers(totals, slices=16)
+    seen = []
+    monkeypatch.setattr(ranking, "stored", lambda df, path: seen.append((df, path)) or stored(df, path))
+    ranks = ranked_in_tasks(spark, totals, 16)
     assert rows_of(ranks) == rows_of(rank_sellers(totals))
-    distinct = totals.select("store_id", "sales_month", "total_sales").distinct().count()
-    assert distinct <= 2001  # what the windows see, in 16 slices
-    assert "Window" in ranks._jdf.queryExecution().toString()
+    assert len(seen) == 1
+    plan = seen[0][0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+    sizes = [r["count"] for r in spark.read.parquet(seen[0][1]).groupBy("task").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 4 * 20_000 / 16
+    after = ranks._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in after and "SortMergeJoin" not in after
 
 
 @pytest.mark.parametrize("table", ["customer_monthly", "seller_monthly"])

@@ -5,15 +5,23 @@ Ties share a rank, and null totals come last, as in SQL's ``rank() over (... des
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmark.functions.columns import incentive
 from tillmark.storage import fresh_folder, stored
 
+# Tasks get this module's functions with their code, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STORE_MONTH = ("store_id", "sales_month")
 
 
@@ -27,46 +35,88 @@ def rank_sellers(totals: DataFrame, total: str = "total_sales") -> DataFrame:
     return totals.withColumn("rnk", F.rank().over(order))
 
 
-def rank_many_sellers(totals: DataFrame, total: str = "total_sales", slices: int = 64
-                      ) -> DataFrame:
+def rank_many_sellers(totals: DataFrame, total: str = "total_sales") -> DataFrame:
     """Same result as ``rank_sellers`` without bringing a store's sellers into one task.
 
-    Sellers with equal totals have equal ranks, so it is the distinct totals of each store and
-    month that are ranked, with the number of sellers that have them: ties, however many, are
-    counted before they are shuffled. The distinct totals are cut into slices of about equal size;
-    a total's rank is one more than the sellers above it, in its slice and in the slices above. The
-    cuts only decide how evenly the work is spread. They are approximate percentiles, which a
-    repeated task may compute differently, so they are written to the shared folder, as are the
-    distinct totals.
+    The rows are dealt out once, by ranges of store, month and falling total, and put in order within
+    each task; ties are told apart by a hash, so that however many there are, they spread as well. A task
+    notes for each row how many rows of its group, and of its run of ties, began before it there. Only
+    the first group of a task can have begun in an earlier one: what it lacks follows from one row for
+    each task, the counts at its ends added up in order.
     """
-    folder = fresh_folder(totals.sparkSession, "ranks")
-    counted = stored(totals.groupBy(*STORE_MONTH, total).agg(F.count(F.lit(1)).alias("tied")),
-                     f"{folder}/counted")
-    shares = [i / slices for i in range(1, slices)]
-    cuts = stored(
-        counted.groupBy(*STORE_MONTH)
-        .agg(F.percentile_approx(total, shares, 1000).alias("cuts")),
-        f"{folder}/cuts",
-    )
-    above = F.when(F.col(total).isNull(), F.lit(slices)).otherwise(
-        F.size(F.filter("cuts", lambda cut: cut > F.col(total)))
-    )
-    sliced = _joined(counted, cuts, STORE_MONTH).select(*counted.columns, above.alias("slice"))
-    keys = (*STORE_MONTH, "slice")
-    sizes = sliced.groupBy(*keys).agg(F.sum("tied").alias("n"))
-    before = (
-        Window.partitionBy(*STORE_MONTH).orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("better"))
-    within = (
-        Window.partitionBy(*keys).orderBy(F.col(total).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    ordered = [F.col(k).asc_nulls_first() for k in STORE_MONTH] + [F.col(total).desc_nulls_last()]
+    apart = F.xxhash64(*[F.col(c) for c in totals.columns])
+    dealt = totals.repartitionByRange(*ordered, apart.asc()).sortWithinPartitions(*ordered, apart.asc())
+    placed = stored(_placed(dealt, [*STORE_MONTH, total]), fresh_folder(totals.sparkSession, "ranks"))
+    begun = _begun_before(placed, total)
+    # A row for each task that ranked: no growth with the rows, nor with the groups.
+    joined = placed.join(F.broadcast(begun), "task")
+    ahead = (
+        F.when((F.col("run_at") == 0) & F.col("tied_from").isNotNull(), F.col("tied_from"))
+        .when(F.col("group_at") == 0, F.col("before") + F.col("run_at"))
+        .otherwise(F.col("run_at") - F.col("group_at"))
     )
-    placed = sliced.withColumn("nearer", F.coalesce(F.sum("tied").over(within), F.lit(0)))
-    rank = (F.col("better") + F.col("nearer") + 1).cast("int").alias("rnk")
-    ranks = _joined(placed, offsets, keys).select(*STORE_MONTH, total, rank)
-    return _joined(totals, ranks, (*STORE_MONTH, total)).select(*totals.columns, "rnk")
+    return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in totals.columns],
+                         (ahead + 1).cast("int").alias("rnk"))
+
+
+def _differs(column: pa.Array) -> np.ndarray:
+    """For each value but the first, whether it is another than the one before; nulls are alike."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    one, other = column.slice(1), column.slice(0, len(column) - 1)
+    null = pc.xor(pc.is_null(one), pc.is_null(other))
+    return pc.or_(null, pc.fill_null(pc.not_equal(one, other), False)).to_numpy(zero_copy_only=False)
+
+
+def _placed(dealt: DataFrame, keys: list[str]) -> DataFrame:
+    """``row``, ``task``, the row's place ``at`` in the task, and where its group and its run of ties
+    begin there. The last of ``keys`` is what ties are by, the others make the group."""
+    schema = f"task int, at long, group_at long, run_at long, row {dealt.schema.simpleString()}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        seen, group_at, run_at, last = 0, 0, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            known = pa.table({str(i): batch.column(k) for i, k in enumerate(keys)})
+            with_last = known if last is None else pa.concat_tables([last, known])
+            new = [_differs(with_last.column(i)) for i in range(len(keys))]
+            if last is None:
+                new = [np.concatenate([[True], x]) for x in new]
+            last = known.slice(batch.num_rows - 1)
+            at = seen + np.arange(batch.num_rows)
+            group = np.logical_or.reduce(new[:-1])
+            groups = np.maximum.accumulate(np.where(group, at, group_at))
+            runs = np.maximum.accumulate(np.where(group | new[-1], at, run_at))
+            seen, group_at, run_at = seen + batch.num_rows, int(groups[-1]), int(runs[-1])
+            yield pa.RecordBatch.from_pydict({
+                "task": pa.array(np.full(batch.num_rows, task), pa.int32()), "at": pa.array(at, pa.int64()),
+                "group_at": pa.array(groups, pa.int64()), "run_at": pa.array(runs, pa.int64()),
+                "row": pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)})
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _begun_before(placed: DataFrame, total: str) -> DataFrame:
+    """For each ``task``: how many rows of its first group came ``before`` it, and how many of them
+    stand ahead of the ties that go on in it (``tied_from``; null if none do)."""
+    group = F.struct(*[F.col(f"row.`{k}`").alias(k) for k in STORE_MONTH])
+    facts = F.struct(group.alias("of"), F.col(f"row.`{total}`").alias("total"), "at", "group_at", "run_at")
+    ends = placed.groupBy("task").agg(F.min_by(facts, "at").alias("first"), F.max_by(facts, "at").alias("last"))
+    # What the first row of a task asks, and what the last one tells later tasks.
+    asks = ends.select("task", F.col("first.of").alias("of"), F.col("first.total").alias("total"),
+                       F.lit(0).cast("bigint").alias("here"), F.lit(None).cast("bigint").alias("run"))
+    tells = ends.select("task", F.col("last.of").alias("of"), F.col("last.total").alias("total"),
+                        F.expr("last.at + 1 - last.group_at").alias("here"),
+                        F.expr("last.run_at - last.group_at").alias("run"))
+    both = asks.withColumn("asks", F.lit(True)).unionByName(tells.withColumn("asks", F.lit(False)))
+    group_before = Window.partitionBy("of").orderBy("task").rangeBetween(Window.unboundedPreceding, -1)
+    ties_before = Window.partitionBy("of", "total").orderBy("task").rangeBetween(Window.unboundedPreceding, -1)
+    counted = both.withColumn("before", F.coalesce(F.sum("here").over(group_before), F.lit(0)))
+    told = counted.withColumn("tied_from", F.min(F.col("before") + F.col("run")).over(ties_before))
+    return told.where("asks").select("task", "before", "tied_from")
 
 
 def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
