@@ -1,0 +1,161 @@
+"""Files taken in as they land, and months that span several of these runs."""
+
+import datetime as dt
+from decimal import Decimal as D
+from pathlib import Path
+
+import pytest
+
+from tillmark.operators.monthly import SELLER_MONTH
+from tillmark.plans import batch, months
+from tillmark.plans.batch import CUSTOMER_MONTHLY, SELLER_MONTHLY, BatchConfig, monthly_of, run_arrivals
+from tillmark.plans.ledger import ledger_events, ledger_state
+from tillmark.sinks.quarantine import quarantined_files
+from tillmark.sources.dimensions import FileTable
+from tillmark.streaming.intake import arriving_files, take_in
+
+HEADER = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+
+
+def names_of(frame):
+    return sorted(r["file_name"] for r in frame.select("file_name").collect())
+
+
+def files_below(folder):
+    return sorted(p.name for p in Path(folder).rglob("*") if p.is_file() and not p.name.endswith(".crc"))
+
+
+@pytest.fixture
+def place(tmp_path):
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+
+    def put(name, text="x\n"):
+        (tmp_path / "in" / name).write_text(text)
+    put.args = (str(tmp_path / "in"), str(tmp_path / "archive"), str(tmp_path / "checkpoint"))
+    put.root = tmp_path
+    return put
+
+
+def test_each_file_is_handed_on_once_and_moved_when_others_come(spark, place):
+    seen = []
+    def handle(files, number):
+        seen.append((number, names_of(files)))
+    for n in ("a.csv", "sub/b.txt", "_hidden.csv", "sub/sp ace [1].csv"):
+        place(n)
+    assert take_in(spark, *place.args, handle) == [0]
+    assert take_in(spark, *place.args, handle) == []
+    place("c.csv")
+    assert take_in(spark, *place.args, handle) == [1]
+    assert seen == [(0, ["a.csv", "b.txt", "sp ace [1].csv"]), (1, ["c.csv"])]
+    assert files_below(place.args[1]) == ["a.csv", "b.txt", "sp ace [1].csv"]
+    assert files_below(place.args[0]) == ["_hidden.csv", "c.csv"]
+
+
+def test_a_failed_batch_comes_again_with_the_same_files(spark, place):
+    place("a.csv")
+    seen = []
+    def fail(files, number):
+        seen.append((number, names_of(files)))
+        raise RuntimeError("broken")
+    with pytest.raises(Exception, match="broken"):
+        take_in(spark, *place.args, fail)
+    place("b.csv")
+    take_in(spark, *place.args, lambda files, number: seen.append((number, names_of(files))))
+    assert seen == [(0, ["a.csv"]), (0, ["a.csv"]), (1, ["b.csv"])]
+
+
+def test_batches_of_so_many_files(spark, place):
+    for i in range(5):
+        place(f"{i}.csv")
+    sizes = []
+    take_in(spark, *place.args, lambda files, number: sizes.append(files.count()), files_a_batch=2)
+    assert sizes == [2, 2, 1]
+
+
+def test_contents_are_not_read_and_the_callers_session_is_used(spark, place):
+    assert "content" not in arriving_files(spark, *place.args[:2]).columns
+    place("a.csv")
+    sessions = []
+    take_in(spark, *place.args, lambda files, number: sessions.append(files.sparkSession))
+    assert sessions == [spark]
+
+
+def test_archive_within_landing_is_refused(spark, place):
+    landing, _, checkpoint = place.args
+    with pytest.raises(ValueError, match="outside"):
+        take_in(spark, landing, f"{landing}/archive", checkpoint, lambda files, number: None)
+
+
+@pytest.fixture
+def conf(spark, world, place):
+    for name in ("customer", "store", "sales_team"):
+        getattr(world, name).write.parquet(str(place.root / name))
+    return BatchConfig(
+        landing=place.args[0], root=str(place.root / "out"), monthly="months", by_month_and_store=False,
+        dimensions={n: FileTable(str(place.root / n)) for n in ("customer", "store", "sales_team")},
+        monthly_tables={SELLER_MONTHLY: FileTable(str(place.root / "sellers"))})
+
+
+def sellers(spark, conf):
+    return sorted(map(tuple, monthly_of(spark, conf, SELLER_MONTHLY).select(
+        "store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "incentive").collect()), key=str)
+
+
+def test_months_over_runs_with_the_best_found_again(spark, place, conf, monkeypatch):
+    place("a.csv", f"{HEADER}\n1,10,tea,2024-01-05,100,1,1,60.00\n1,10,tea,2024-01-06,101,1,1,50.00\n"
+                   "1,10,tea,2024-02-06,101,1,1,5.00\n1,10,tea,,101,1,1,7.00\n")
+    place("bad.csv", "nothing\n")
+    report = run_arrivals(spark, conf, place.args[1])
+    assert (report.runs, report.accepted_files, report.rejected_files) == (("0",), 1, 1)
+    february = [p.name for p in (place.root / "out/months/seller_monthly/months").glob("sales_month=2024-02/*.parquet")]
+    place("late.csv", f"{HEADER}\n2,10,tea,2024-01-31,101,1,1,30.00\n2,10,tea,,100,1,1,9.00\n")
+
+    # The first attempt stops when all is merged, before the run is closed.
+    def stop(*_):
+        raise RuntimeError("stopped")
+    with monkeypatch.context() as m:
+        m.setattr(batch, "ledger_close", stop)
+        with pytest.raises(Exception, match="stopped"):
+            run_arrivals(spark, conf, place.args[1])
+    assert run_arrivals(spark, conf, place.args[1]).runs == ("1",)
+    assert run_arrivals(spark, conf, place.args[1]).runs == ()
+    assert sellers(spark, conf) == sorted([
+        (10, 100, "Sam One", "2024-01", D("60.00"), D("0.00")), (10, 101, "Sue Two", "2024-01", D("80.00"), D("0.80")),
+        (10, 101, "Sue Two", "2024-02", D("5.00"), D("0.05")), (10, 101, "Sue Two", None, D("7.00"), D("0.00")),
+        (10, 100, "Sam One", None, D("9.00"), D("0.09"))], key=str)
+    customers = monthly_of(spark, conf, CUSTOMER_MONTHLY).select("customer_id", "sales_date_month", "total_sales")
+    assert sorted(map(tuple, customers.collect()), key=str) == sorted([
+        (1, "2024-01", D("110.00")), (1, "2024-02", D("5.00")), (1, None, D("7.00")),
+        (2, "2024-01", D("30.00")), (2, None, D("9.00"))], key=str)
+    # What was not touched was not rewritten, and the appended table has each run once.
+    assert february == [p.name for p in (place.root / "out/months/seller_monthly/months").glob("sales_month=2024-02/*.parquet")]
+    assert spark.read.parquet(str(place.root / "sellers")).groupBy("run_id").count().count() == 2
+    state = {r["file_name"]: r["status"] for r in ledger_state(ledger_events(spark, conf.ledger)).collect()}
+    assert state == {"a.csv": "I", "late.csv": "I"}
+    assert names_of(quarantined_files(spark, conf.quarantine)) == ["bad.csv"]
+    assert files_below(place.args[1]) == ["a.csv", "bad.csv"] and files_below(place.args[0]) == ["late.csv"]
+
+
+def test_only_touched_months_are_read(spark, world, tmp_path):
+    root = str(tmp_path / "m")
+    for run, day in (("1", "2024-01-05"), ("2", "2024-02-05"), ("3", "2024-02-06")):
+        mart = world.sales((1, 10, 100, day, "5.00"))
+        months.note_run(mart, SELLER_MONTH, f"{root}/state", run)
+    totals = months.month_totals(spark, f"{root}/state", SELLER_MONTH, [dt.date(2024, 2, 1)])
+    assert [r["total_cost"] for r in totals.collect()] == [D("10.00")]
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [month_start" in plan.replace("isnotnull(", "") and "2024-02-01" in plan
+
+
+def test_a_repeated_run_counts_once_and_no_sales_touch_no_month(spark, world, tmp_path, rows_of):
+    root, mart = str(tmp_path / "m"), world.sales((1, 10, 100, "2024-01-05", "5.00"), (1, 10, 100, "2024-01-06", "2.00"))
+    finish = lambda totals: totals.selectExpr("store_id", "total_cost", "date_format(month_start, 'yyyy-MM') AS month")
+    for run in ("1", "1", "2"):
+        months.merge_run(mart, SELLER_MONTH, root, run, finish, "month")
+    assert rows_of(months.read_months(spark, root, "month")) == [(10, D("14.00"), "2024-01")]
+    assert months.merge_run(mart.limit(0), SELLER_MONTH, root, "3", finish, "month") == []
+
+
+def test_unknown_way_of_merging(conf):
+    with pytest.raises(ValueError, match="monthly"):
+        BatchConfig(landing="a", root="b", dimensions={}, monthly="weeks")

@@ -126,13 +126,14 @@ def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     return left.join(other, same).drop(*[f"of_{k}" for k in keys])
 
 
-def pay_best_seller(totals: DataFrame, total: str = "total_sales") -> DataFrame:
+def pay_best_seller(totals: DataFrame, total: str = "total_sales",
+                    group: Sequence[str] = STORE_MONTH) -> DataFrame:
     """Adds ``incentive``: 1 % of the total for every seller with rank 1, 0 for the others.
 
     Rank 1 is all that matters here, and it means: as much as the store's best total of the month.
     That comes from a group-by, and no task ever holds all sellers of a store.
     """
-    best = totals.groupBy(*STORE_MONTH).agg(F.max(total).alias("best"))
-    return _joined(totals, best, STORE_MONTH).select(
+    best = totals.groupBy(*group).agg(F.max(total).alias("best"))
+    return _joined(totals, best, group).select(
         *totals.columns, incentive(total, F.col(total).eqNullSafe(F.col("best"))).alias("incentive")
     )

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from tillmark.operators.enrich import CUSTOMER, DIMENSIONS, SALES_TEAM, STORE, unmatched_sales
 from tillmark.operators.sizing import small_tables
+from tillmark.operators.monthly import CUSTOMER_MONTH, SELLER_MONTH
 from tillmark.plans import marts
+from tillmark.plans.months import merge_run, read_months
 from tillmark.plans.ledger import (
     ledger_close,
     ledger_events,
@@ -38,6 +40,7 @@ from tillmark.sources.dimensions import (
     assert_unique_key,
     read_dimension,
 )
+from tillmark.streaming.intake import take_in
 from tillmark.sources.sales_csv import malformed, stage_sales, well_formed
 
 DIMENSION_KEYS = {CUSTOMER: "customer_id", STORE: "id", SALES_TEAM: "id"}
@@ -48,6 +51,12 @@ SALES_TEAM_MART_PARTITIONED = "sales_partitioned_data_mart"
 CUSTOMER_MONTHLY = "customer_monthly"
 SELLER_MONTHLY = "seller_monthly"
 
+#: Column with the month, and the ids and month that the sums are by.
+MONTHS = {
+    CUSTOMER_MONTHLY: ("sales_date_month", CUSTOMER_MONTH),
+    SELLER_MONTHLY: ("sales_month", SELLER_MONTH),
+}
+
 MONTHLY_KEYS = {
     CUSTOMER_MONTHLY: ("customer_id", "sales_date_month"),
     SELLER_MONTHLY: ("store_id", "sales_person_id", "sales_month"),
@@ -71,6 +80,11 @@ class BatchConfig:
     have a ``run_id`` column, by which a repeated run adds nothing twice. ``on_unfinished`` is what
     to do about files an earlier run left unfinished: ``"fail"``, or ``"resume"`` that run first
     under its own id. What is staged in the shared folder is removed after a run has succeeded.
+
+    ``monthly`` is how the monthly results of several runs go together: with ``"runs"`` each run
+    publishes and appends its own; with ``"months"`` they are also merged into tables with one row per
+    key and month (``monthly_of``), of which a run rewrites only the months it has sales of.
+    ``by_month_and_store`` says whether the sales-team mart is published in that layout as well.
     """
 
     landing: str
@@ -81,6 +95,12 @@ class BatchConfig:
     on_unfinished: str = "fail"
     header_method: str = "auto"
     audit_unmatched: bool = False
+    monthly: str = "runs"
+    by_month_and_store: bool = True
+
+    def __post_init__(self):
+        if self.monthly not in ("runs", "months"):
+            raise ValueError(f"monthly must be 'runs' or 'months', not {self.monthly!r}")
 
     @property
     def ledger(self) -> str:
@@ -152,6 +172,46 @@ def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str)
     return BatchReport(tuple(runs), n_accepted, n_rejected)
 
 
+def run_arrivals(spark: SparkSession, conf: BatchConfig, archive: str, files_a_run: int | None = None
+                 ) -> BatchReport:
+    """Processes what has landed since the last call, and has finished files moved to ``archive``.
+
+    The stream of ``streaming.intake`` decides which files are new, in place of the ledger and of a
+    listing of everything that ever landed; each of its batches is a run, whose id is the batch's number
+    (so ``root`` must not be shared with ``run_batch``). A batch without a usable file only fills the
+    quarantine. After a failure the next call repeats the batch under the same id.
+    """
+    counts = {"accepted": 0, "rejected": 0}
+    runs = []
+
+    def one(waiting: DataFrame, number: int) -> None:
+        run_id, now = str(number), dt.datetime.now(dt.timezone.utc)
+        state = ledger_state(ledger_events(spark, conf.ledger))
+        if not state.filter((F.col("run_id") == run_id) & (F.col("status") == INACTIVE)).isEmpty():
+            return  # it was finished, and stopped before the stream took note
+        work = fresh_folder(spark, "run")
+        manifest = stored(build_manifest(waiting, conf.landing, conf.header_method), f"{work}/manifest")
+        accepted, rejected = split_manifest(manifest)
+        n_accepted, n_rejected = _counts(manifest)
+        if n_rejected:
+            quarantine_files(rejected, conf.quarantine, run_id)
+        if n_accepted:
+            ledger_open(accepted, conf.ledger, run_id, now)
+            _process(spark, conf, accepted, run_id, now, f"{work}/{run_id}")
+            runs.append(run_id)
+        counts["accepted"] += n_accepted
+        counts["rejected"] += n_rejected
+        remove_folder(spark, work)
+
+    take_in(spark, conf.landing, archive, f"{conf.root}/intake", one, files_a_run)
+    return BatchReport(tuple(runs), counts["accepted"], counts["rejected"])
+
+
+def monthly_of(spark: SparkSession, conf: BatchConfig, name: str) -> DataFrame:
+    """A monthly table merged over all runs (``monthly="months"``)."""
+    return read_months(spark, f"{conf.root}/months/{name}", MONTHS[name][0])
+
+
 def _not_rejected(catalog: DataFrame, spark: SparkSession, conf: BatchConfig) -> DataFrame:
     """Without files that were rejected before and have not changed since."""
     known = quarantined_files(spark, conf.quarantine)
@@ -190,7 +250,8 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
     customers = publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch)
     team = publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch)
     team_mart = spark.read.parquet(team)
-    publish_snapshot(team_mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)
+    if conf.by_month_and_store:
+        publish_snapshot(team_mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)
     for name, result in (
         (CUSTOMER_MONTHLY,
          marts.customer_monthly_of_mart(spark.read.parquet(customers), dims[CUSTOMER], small)),
@@ -203,6 +264,14 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
                 append_run(rows, target, run_id, MONTHLY_KEYS[name])
             else:
                 append_table(rows, target)
+    if conf.monthly == "months":
+        for name, mart, finish in (
+            (CUSTOMER_MONTHLY, spark.read.parquet(customers),
+             lambda totals: marts.with_customer(totals, dims[CUSTOMER], small)),
+            (SELLER_MONTHLY, team_mart, lambda totals: marts.seller_months(totals, dims[SALES_TEAM], small)),
+        ):
+            month, keys = MONTHS[name]
+            merge_run(mart, keys, f"{conf.root}/months/{name}", run_id, finish, month)
     if conf.audit_unmatched:
         write_mart(unmatched_sales(*star), f"{conf.root}/unmatched_sales/{epoch}")
     ledger_close(files, conf.ledger, run_id, max(run_ts, dt.datetime.now(dt.timezone.utc)))

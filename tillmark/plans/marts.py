@@ -32,6 +32,7 @@ from tillmark.operators.enrich import (
 from tillmark.operators.monthly import (
     ALL_KEYS,
     CUSTOMER_MONTH,
+    MONTH,
     SELLER_MONTH,
     month_as_text,
     monthly_totals,
@@ -97,10 +98,11 @@ def customer_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFra
     """
     base = _monthly_base(sales, (STORE, SALES_TEAM), small)
     kept = known_seller(known_store(base, store, small), sales_team, small)
-    return _with_customer(monthly_totals(kept, CUSTOMER_MONTH), customer, small)
+    return with_customer(monthly_totals(kept, CUSTOMER_MONTH), customer, small)
 
 
-def _with_customer(totals: DataFrame, customer: DataFrame, small: Collection[str]) -> DataFrame:
+def with_customer(totals: DataFrame, customer: DataFrame, small: Collection[str] = ()) -> DataFrame:
+    """Totals by customer and month with names, as published."""
     who = sized(customer_columns(customer), CUSTOMER, small)
     return month_as_text(totals).join(who, "customer_id").select(
         "customer_id",
@@ -116,43 +118,60 @@ def customer_monthly_of_mart(mart: DataFrame, customer: DataFrame, small: Collec
                              ) -> DataFrame:
     """``customer_monthly_sales`` from the customer mart, which holds only sales with known keys."""
     dated = with_month_start(mart.select("customer_id", "sales_date", "total_cost"))
-    return _with_customer(monthly_totals(dated, CUSTOMER_MONTH), customer, small)
+    return with_customer(monthly_totals(dated, CUSTOMER_MONTH), customer, small)
 
 
-def seller_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
-                         sales_team: DataFrame, small: Collection[str] = ()) -> DataFrame:
-    """What each seller sold in each month and store.
+def _seller_totals(sales: DataFrame, customer: DataFrame, store: DataFrame, small: Collection[str]
+                   ) -> DataFrame:
+    """Totals by store, seller and month, of known customers and stores.
 
-    Only the customer has to be checked on the sales. Store and seller are checked on the sums: a
-    check of the store by shuffling would leave the rows arranged by store, and Spark would then
-    sum up a hot store in the one task that holds it.
+    Only the customer has to be checked on the sales. The store is checked on the sums: a check by
+    shuffling would leave the rows arranged by store, and Spark would then sum up a hot store in the
+    one task that holds it.
     """
     kept = known_customer(_monthly_base(sales, (CUSTOMER,), small), customer, small)
-    totals = known_store(monthly_totals(kept, SELLER_MONTH), store, small)
-    return _with_seller(totals, sales_team, small)
+    return known_store(monthly_totals(kept, SELLER_MONTH), store, small)
+
+
+def seller_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                         sales_team: DataFrame, small: Collection[str] = ()) -> DataFrame:
+    """What each seller sold in each month and store."""
+    return _with_seller(_seller_totals(sales, customer, store, small), sales_team, small)
 
 
 def _with_seller(totals: DataFrame, sales_team: DataFrame, small: Collection[str]) -> DataFrame:
     who = sized(seller_columns(sales_team), SALES_TEAM, small)
+    paid = ["incentive"] if "incentive" in totals.columns else []
     return month_as_text(totals).join(who, "sales_person_id").select(
         "store_id", "sales_person_id",
         full_name("seller_first_name", "seller_last_name").alias("full_name"),
         "sales_month",
-        F.col("total_cost").cast(MONEY).alias("total_sales"),
+        F.col("total_cost").cast(MONEY).alias("total_sales"), *paid,
     )
 
 
+def seller_months(totals: DataFrame, sales_team: DataFrame, small: Collection[str] = ()) -> DataFrame:
+    """Totals by store, seller and month with names and incentive, as published.
+
+    The best are found on ids alone, among sellers that are known; names are joined last.
+    """
+    known = known_seller(totals, sales_team, small)
+    paid = pay_best_seller(known.withColumn("total_cost", F.col("total_cost").cast(MONEY)),
+                           "total_cost", ("store_id", MONTH))
+    return _with_seller(paid, sales_team, small)
+
+
 def seller_monthly_incentive(sales: DataFrame, customer: DataFrame, store: DataFrame,
                              sales_team: DataFrame, small: Collection[str] = ()) -> DataFrame:
     """``seller_monthly_sales`` with the incentive: 1 % for the best of a store and month.
 
     All sellers tied for the best total are paid.
     """
-    return pay_best_seller(seller_monthly_sales(sales, customer, store, sales_team, small))
+    return seller_months(_seller_totals(sales, customer, store, small), sales_team, small)
 
 
 def seller_monthly_of_mart(mart: DataFrame, sales_team: DataFrame, small: Collection[str] = ()
                            ) -> DataFrame:
     """``seller_monthly_incentive`` from the sales-team mart, which holds only sales with known keys."""
     dated = with_month_start(mart.select("store_id", "sales_person_id", "sales_date", "total_cost"))
-    return pay_best_seller(_with_seller(monthly_totals(dated, SELLER_MONTH), sales_team, small))
+    return seller_months(monthly_totals(dated, SELLER_MONTH), sales_team, small)

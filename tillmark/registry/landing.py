@@ -15,46 +15,65 @@ from tillmark.storage import fresh_folder, stored, write_bytes
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"
 RETURN_FLAG = {PLAIN: "A", EXTRA: "N", REORDERED: "R"}
 NO_STORE, NOTES = "no_store", "notes"
-# So many files of each shape.
-FILES_A_SHAPE = 3
+# Sales of a file, and how many files have the few notes.
+ROWS_A_FILE = 10_000
+NOTES_FILES = 3
 
 # A folder of odd files, one or more for each nation.
 ODD = "odd"
 ODD_KINDS = ("good", "_hidden", "tab_first", "empty", "damaged", "packed")
 
 
+class Shop:
+    """All supplied sales, and a landing folder that gets them as CSV files, shape by shape."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, bad_cells: bool = False):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.landing = fresh_folder(spark, "landing")
+        small = supplied.small_dimensions(spark, sf_dir)
+        derived = supplied.sales(spark, sf_dir, small, products=True,
+                                 keep=("l_returnflag", "l_linestatus"))
+        if bad_cells:
+            text = F.when(F.col("quantity") > 45, F.lit("n/a")).otherwise(
+                F.col("quantity").cast("string"))
+            derived = derived.withColumn("quantity", text)
+        self.rows = stored(derived, fresh_folder(spark, "sales"))
+        flags = self.rows.groupBy("l_returnflag").count().collect()  # three flags
+        self.count = {r["l_returnflag"]: r["count"] for r in flags}
+
+    def _write(self, df: DataFrame, shape: str, files: int) -> None:
+        df.repartition(files).write.option("header", True).csv(f"{self.landing}/{shape}")
+
+    def add(self, shape: str) -> None:
+        """The sales of a shape, or files that are none; more files the more sales there are."""
+        if shape == NOTES:
+            notes = supplied.table(self.spark, self.sf_dir, "region").select("r_name")
+            notes.repartition(NOTES_FILES).write.text(f"{self.landing}/{NOTES}")
+            return
+        if shape == NO_STORE:
+            wanted = [c for c in MANDATORY if c != "store_id"]
+            self._write(self.rows.select(*wanted), shape, sum(self.count.values()) // ROWS_A_FILE + 1)
+            return
+        flag = RETURN_FLAG[shape]
+        if flag not in self.count:
+            return
+        payment = F.when(F.col("l_linestatus") == "O", F.lit("cash")).alias("payment_mode")
+        coupon = F.concat(F.lit("c"), F.col("customer_id").cast("string")).alias("coupon")
+        columns = {PLAIN: [*MANDATORY], EXTRA: [*MANDATORY, payment, coupon], REORDERED: [*reversed(MANDATORY)]}
+        own = self.rows.filter(F.col("l_returnflag") == flag).select(*columns[shape])
+        self._write(own, shape, self.count[flag] // ROWS_A_FILE + 1)
+
+
 def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bool = False) -> str:
     """Writes all supplied sales as CSV files of three shapes and returns the folder.
 
     ``bad_files`` adds all sales once more without ``store_id``, and a folder of files that are not
     CSV. ``bad_cells`` writes ``n/a`` for the quantity of sales of more than 45 pieces.
     """
-    landing, base = fresh_folder(spark, "landing"), fresh_folder(spark, "sales")
-    small = supplied.small_dimensions(spark, sf_dir)
-    derived = supplied.sales(spark, sf_dir, small, products=True,
-                             keep=("l_returnflag", "l_linestatus"))
-    if bad_cells:
-        text = F.when(F.col("quantity") > 45, F.lit("n/a")).otherwise(
-            F.col("quantity").cast("string"))
-        derived = derived.withColumn("quantity", text)
-    rows = stored(derived, base)
-
-    def write(df: DataFrame, shape: str) -> None:
-        df.repartition(FILES_A_SHAPE).write.option("header", True).csv(f"{landing}/{shape}")
-
-    def of(shape: str) -> DataFrame:
-        return rows.filter(F.col("l_returnflag") == RETURN_FLAG[shape])
-
-    write(of(PLAIN).select(*MANDATORY), PLAIN)
-    payment = F.when(F.col("l_linestatus") == "O", F.lit("cash")).alias("payment_mode")
-    coupon = F.concat(F.lit("c"), F.col("customer_id").cast("string")).alias("coupon")
-    write(of(EXTRA).select(*MANDATORY, payment, coupon), EXTRA)
-    write(of(REORDERED).select(*reversed(MANDATORY)), REORDERED)
-    if bad_files:
-        write(rows.select(*[c for c in MANDATORY if c != "store_id"]), NO_STORE)
-        supplied.table(spark, sf_dir, "region").select("r_name").repartition(
-            FILES_A_SHAPE).write.text(f"{landing}/{NOTES}")
-    return landing
+    shop = Shop(spark, sf_dir, bad_cells)
+    for shape in (PLAIN, EXTRA, REORDERED, *((NO_STORE, NOTES) if bad_files else ())):
+        shop.add(shape)
+    return shop.landing
 
 
 def land_odd_files(spark: SparkSession, sf_dir: str, landing: str) -> None:

@@ -118,9 +118,9 @@ _TAKEN = "o_orderpriority NOT LIKE '5%'"
 _REOPENED = "(o_orderstatus = 'F' AND o_orderpriority LIKE '1%')"
 _CLOSED = f"(o_orderstatus = 'F' AND NOT {_REOPENED})"
 
-# Three files of every shape that some sale has.
-_LANDED = "SELECT shape FROM (SELECT DISTINCT " + _SHAPE + """ AS shape FROM lineitem
-  UNION SELECT 'no_store' FROM lineitem) s, range(3)"""
+# Files of every shape that some sale has, one for each begun ten thousand sales.
+_LANDED = "SELECT shape FROM (SELECT shape, unnest(range(count(*) // 10000 + 1)) FROM (SELECT " + _SHAPE + """
+  AS shape FROM lineitem UNION ALL SELECT 'no_store' FROM lineitem) GROUP BY shape)"""
 _NOTES = "SELECT 'notes' AS shape FROM range(3)"
 
 _ODD_KIND = "['good', '_hidden', 'tab_first', 'empty', 'damaged', 'packed'][n_nationkey % 6 + 1]"
@@ -274,6 +274,16 @@ SELECT shape AS folder, 'I' AS status, '1704067200000' AS run_id
 FROM ({_LANDED}) WHERE shape <> 'no_store'
 UNION ALL
 SELECT 'odd', 'I', '1704067200000' FROM ({_ODD_FILES}) WHERE kind IN ('good', 'tab_first')""",
+    "arrived_files": f"""
+SELECT shape, CASE WHEN shape IN ('reordered', 'no_store') THEN '1' ELSE '0' END AS run_id,
+       CASE shape WHEN 'no_store' THEN 'missing columns: store_id'
+                  WHEN 'notes' THEN 'not a .csv file' END AS reason,
+       CASE WHEN shape IN ('reordered', 'no_store') THEN 'landing' ELSE 'archive' END AS place
+FROM ({_LANDED} UNION ALL {_NOTES})""",
+    "arrived_sales": _WHOLE + _CUSTOMER_MART.replace(
+        "s.total_cost", "s.total_cost, CAST(l_returnflag = 'R' AS INTEGER) AS run", 1),
+    "arrived_seller_months": _WHOLE + "," + _INCENTIVE,
+    "arrived_customer_months": _WHOLE + _CUSTOMER_MONTHLY,
     "read_dimension_table": """
 SELECT *, 'parquet' AS read_as FROM customer UNION ALL SELECT *, 'csv' FROM customer""",
     "append_table": _WHOLE + ", result AS (" + _CUSTOMER_MONTHLY + """)

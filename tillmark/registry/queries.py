@@ -28,10 +28,22 @@ from tillmark.plans.batch import (
     SALES_TEAM_MART_PARTITIONED,
     SELLER_MONTHLY,
     BatchConfig,
+    monthly_of,
+    run_arrivals,
     run_batch,
 )
 from tillmark.registry import supplied
-from tillmark.registry.landing import ODD, land, land_odd_files
+from tillmark.registry.landing import (
+    EXTRA,
+    NO_STORE,
+    NOTES,
+    ODD,
+    PLAIN,
+    REORDERED,
+    Shop,
+    land,
+    land_odd_files,
+)
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
 from tillmark.sinks import parquet, quarantine, tables
@@ -349,11 +361,7 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _batch(spark: SparkSession, sf_dir: str) -> BatchConfig:
     """The nightly run over landed files, two of them odd, twice."""
     folder = fresh_folder(spark, "batch")
-    dims = {}
-    for name, make in ((enrich.CUSTOMER, supplied.customers), (enrich.STORE, supplied.stores),
-                       (enrich.SALES_TEAM, supplied.sellers)):
-        make(spark, sf_dir).write.parquet(f"{folder}/{name}")
-        dims[name] = FileTable(f"{folder}/{name}")
+    dims = _dimension_files(spark, sf_dir, folder)
     landing = land(spark, sf_dir)
     land_odd_files(spark, sf_dir, landing)
     conf = BatchConfig(
@@ -398,6 +406,70 @@ def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.select(_folder("file_location").alias("folder"), "status", "run_id")
 
 
+# ---- files as they arrive --------------------------------------------------------------------
+
+#: What lands before the first and before the second call.
+WAVES = ((PLAIN, EXTRA, NOTES), (REORDERED, NO_STORE))
+
+
+def _dimension_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, FileTable]:
+    dims = {}
+    for name, make in ((enrich.CUSTOMER, supplied.customers), (enrich.STORE, supplied.stores),
+                       (enrich.SALES_TEAM, supplied.sellers)):
+        make(spark, sf_dir).write.parquet(f"{folder}/{name}")
+        dims[name] = FileTable(f"{folder}/{name}")
+    return dims
+
+
+def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[BatchConfig, str]:
+    """Sales that land in two waves, each taken in by a call, and a third call that finds nothing."""
+    folder = fresh_folder(spark, "arrivals")
+    shop = Shop(spark, sf_dir)
+    conf = BatchConfig(landing=shop.landing, root=f"{folder}/out", monthly="months", by_month_and_store=False,
+                       dimensions=_dimension_files(spark, sf_dir, folder))
+    for wave in WAVES:
+        for shape in wave:
+            shop.add(shape)
+        run_arrivals(spark, conf, f"{folder}/archive")
+    run_arrivals(spark, conf, f"{folder}/archive")
+    return conf, f"{folder}/archive"
+
+
+@query
+def arrived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each landed file with the call that took it in, its verdict, and where it lies afterwards."""
+    conf, archive = _arrivals(spark, sf_dir)
+    taken = ledger.ledger_state(ledger.ledger_events(spark, conf.ledger)).select(
+        F.col("file_location").alias("path"), "run_id", F.lit(None).cast("string").alias("reason"))
+    rejected = quarantine.quarantined_files(spark, conf.quarantine).select("path", "run_id", "reason")
+    lying = [file_catalog(spark, place).select("path", "file_name", F.lit(name).alias("place"))
+             for name, place in (("landing", conf.landing), ("archive", archive))]
+    seen = taken.unionByName(rejected).withColumns({"shape": _folder(), "file_name": F.element_at(F.split("path", "/"), -1)})
+    there = lying[0].unionByName(lying[1]).withColumn("shape", _folder()).drop("path")
+    return there.join(seen, ["shape", "file_name"], "full").select("shape", "run_id", "reason", "place")
+
+
+@query
+def arrived_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the customer marts that the two calls published, with the call."""
+    conf, _ = _arrivals(spark, sf_dir)
+    found = [spark.read.parquet(parquet.snapshot_path(conf.root, CUSTOMER_MART, run)).withColumn("run", F.lit(run))
+             for run in range(len(WAVES))]
+    return _as_text(found[0].unionByName(found[1]))
+
+
+@query
+def arrived_seller_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sellers' months merged over both calls: a row for each, the best found over all sales."""
+    return monthly_of(spark, _arrivals(spark, sf_dir)[0], SELLER_MONTHLY)
+
+
+@query
+def arrived_customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' months merged over both calls."""
+    return monthly_of(spark, _arrivals(spark, sf_dir)[0], CUSTOMER_MONTHLY)
+
+
 # ---- tables ----------------------------------------------------------------------------------
 
 

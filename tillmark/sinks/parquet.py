@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,25 +27,30 @@ def _advised_bytes(spark: SparkSession) -> int:
     return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def write_partitioned_mart(df: DataFrame, path: str, replace: str = "all") -> None:
-    """Overwrites the mart at ``path``, laid out by month and store.
+def brought_together(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows arranged by the columns they are to be laid out by, so that each task writes few files.
 
-    ``replace="all"`` replaces the whole mart, ``"touched"`` only the partitions that occur in
-    ``df``. Rows are brought together by partition first, so that each task writes few files. For a
-    mart with more than the advised size for every core, the rebalance hint has Spark split a
+    For rows of more than the advised size for every core, the rebalance hint has Spark split a
     partition that is much larger than the others over several tasks (and files) and join small
-    ones. A smaller mart would all be joined into a task or two that write file after file: its
+    ones. Fewer rows would all be joined into a task or two that write file after file: their
     partitions are spread over the shuffle partitions instead. The rows are the same either way.
     """
-    mode = {"all": "static", "touched": "dynamic"}[replace]
-    columns = [F.col(c) for c in PARTITION_COLUMNS]
+    by = [F.col(c) for c in columns]
     spark = df.sparkSession
     if planned_bytes(df) > spark.sparkContext.defaultParallelism * _advised_bytes(spark):
-        together = df.hint("rebalance", *columns)
-    else:
-        together = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *columns)
+        return df.hint("rebalance", *by)
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
+def write_partitioned_mart(df: DataFrame, path: str, replace: str = "all") -> None:
+    """Overwrites the mart at ``path``, laid out by month and store.
+
+    ``replace="all"`` replaces the whole mart, ``"touched"`` only the partitions that occur in
+    ``df``.
+    """
+    mode = {"all": "static", "touched": "dynamic"}[replace]
     (
-        together.write.mode("overwrite")
+        brought_together(df, PARTITION_COLUMNS).write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
