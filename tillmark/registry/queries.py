@@ -421,11 +421,11 @@ def _dimension_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str,
     return dims
 
 
-def _arrivals(spark: SparkSession, sf_dir: str) -> tuple[BatchConfig, str]:
+def _arrivals(spark: SparkSession, sf_dir: str, monthly: str = "runs") -> tuple[BatchConfig, str]:
     """Sales that land in two waves, each taken in by a call, and a third call that finds nothing."""
     folder = fresh_folder(spark, "arrivals")
     shop = Shop(spark, sf_dir)
-    conf = BatchConfig(landing=shop.landing, root=f"{folder}/out", monthly="months", by_month_and_store=False,
+    conf = BatchConfig(landing=shop.landing, root=f"{folder}/out", monthly=monthly, by_month_and_store=False,
                        dimensions=_dimension_files(spark, sf_dir, folder))
     for wave in WAVES:
         for shape in wave:
@@ -461,13 +461,13 @@ def arrived_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def arrived_seller_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sellers' months merged over both calls: a row for each, the best found over all sales."""
-    return monthly_of(spark, _arrivals(spark, sf_dir)[0], SELLER_MONTHLY)
+    return monthly_of(spark, _arrivals(spark, sf_dir, "months")[0], SELLER_MONTHLY)
 
 
 @query
 def arrived_customer_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers' months merged over both calls."""
-    return monthly_of(spark, _arrivals(spark, sf_dir)[0], CUSTOMER_MONTHLY)
+    return monthly_of(spark, _arrivals(spark, sf_dir, "months")[0], CUSTOMER_MONTHLY)
 
 
 # ---- tables ----------------------------------------------------------------------------------
