@@ -358,16 +358,16 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("txt", "text").mapInArrow(run, "txt binary, `set` binary")
 
 
-def _sets_of(asked: DataFrame, docs: DataFrame) -> DataFrame:
-    """``txt`` and ``set`` of the texts of ``node``."""
-    asked = asked.select("node").distinct().select(F.col("node.txt").alias("txt")).distinct()
+def _sets_of(posts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``txt`` and ``set`` of the texts that meet others: made once for all that is decided of them."""
+    asked = posts.select(F.col("node.txt").alias("txt")).distinct()
     # Copies of a text are one before they are shuffled. One plan for any size: merged, not broadcast.
     one_each = _shingle_sets(docs).groupBy("txt").agg(F.first("set").alias("set"))
     return kept_table(one_each.join(asked.hint("merge"), "txt", "left_semi"), "near-sets")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, weights: np.ndarray, similarity: float) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
+def _links(pairs: DataFrame, sets: DataFrame, weights: np.ndarray, similarity: float) -> DataFrame:
+    sent = sets.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1024):
@@ -376,7 +376,6 @@ def _links(pairs: DataFrame, docs: DataFrame, weights: np.ndarray, similarity: f
             near = pa.array([v >= similarity for v in value], pa.bool_())
             yield batch.select(["a", "b"]).filter(near)
 
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs)
     ready = (
         pairs.join(sets.select(F.col("txt").alias("ta"), F.col("set").alias("x")), F.col("a.txt") == F.col("ta"))
         .join(sets.select(F.col("txt").alias("tb"), F.col("set").alias("y")), F.col("b.txt") == F.col("tb"))
@@ -429,7 +428,7 @@ def _together(members: DataFrame) -> DataFrame:
     return members.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
 
 
-def _links_left(posts: DataFrame, roots: DataFrame, docs: DataFrame, weights: np.ndarray,
+def _links_left(posts: DataFrame, roots: DataFrame, sets: DataFrame, weights: np.ndarray,
                 similarity: float) -> DataFrame | None:
     """Links among texts that met and are in different components; none if no pair is left."""
     met = kept_table(posts.join(roots, "node", "left").select(
@@ -437,7 +436,7 @@ def _links_left(posts: DataFrame, roots: DataFrame, docs: DataFrame, weights: np
     members = kept_table(_together(_units(met)).mapInArrow(_with_open_pairs, _MEMBER), "near-left")
     if members.isEmpty():
         return None
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
+    sent = sets.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, _UNIT):
@@ -452,8 +451,8 @@ def _links_left(posts: DataFrame, roots: DataFrame, docs: DataFrame, weights: np
                     b.append(node[j])
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, _ID), "b": pa.array(b, _ID)})
 
-    sets = _sets_of(members, docs).withColumnRenamed("txt", "of")
-    ready = members.join(sets, F.col("node.txt") == F.col("of")).drop("of")
+    of = sets.withColumnRenamed("txt", "of")
+    ready = members.join(of, F.col("node.txt") == F.col("of")).drop("of")
     kind = "struct<doc:long,txt:binary>"
     return kept_table(_together(ready).mapInArrow(run, f"a {kind}, b {kind}"), "near-links")
 
@@ -499,7 +498,7 @@ def components(links: DataFrame) -> DataFrame:
     spark, folder = links.sparkSession, fresh_folder(links.sparkSession, "llm-components")
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                    f"{folder}/0")
-    turn = 0
+    turn, before = 0, _checksum(edges)
     while True:
         turn += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -510,11 +509,18 @@ def components(links: DataFrame) -> DataFrame:
         handed = large.join(small_least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = stored(handed.where("u <> v").unionByName(
             small_least.select("u", F.col("m").alias("v"))).distinct(), f"{folder}/{turn}")
-        if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
+        after = _checksum(new)
+        if after == before:
             roots = spark.read.schema(new.schema).parquet(f"{folder}/{turn}")
             return roots.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 roots.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        edges = new
+        edges, before = new, after
+
+
+def _checksum(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges only, for all practical purposes: a count and 128 bits, one row."""
+    both = [F.bit_xor(F.xxhash64(F.lit(salt), "u", "v")) for salt in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)), *both).first())
 
 
 def text_key(doc_id: str, text: str) -> list[Column]:
@@ -538,13 +544,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     nodes = kept_table(texts.select(
         F.struct("doc", "txt").alias("node"), "samples", "bands", "once", "once_bands"), "near-nodes")
     posts = _meeting(nodes)
-    links = _links(_candidates(nodes, posts), keyed, weights, similarity)
-    roots = components(links)
-    more = _links_left(posts, roots, keyed, weights, similarity)
+    sets = _sets_of(posts, keyed)
+    roots = components(_links(_candidates(nodes, posts), sets, weights, similarity))
+    more = _links_left(posts, roots, sets, weights, similarity)
+    placed = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     if more is not None:
-        roots = components(links.unionByName(more))
-    placed = kept_table(nodes.select("node").join(roots, "node", "left").select(
-        F.col("node.txt").alias("txt"), F.coalesce("root", "node").alias("root")), "near-placed")
+        # The links found last join components: only those are put together again, by their roots.
+        placed = kept_table(placed, "near-first-roots")
+        for side in ("a", "b"):
+            of = placed.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+            more = more.join(of, side)
+        joined = components(more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        joined = joined.select(F.col("node").alias("root"), F.col("root").alias("joined"))
+        placed = placed.join(joined, "root", "left").select("node", F.coalesce("joined", "root").alias("root"))
+    placed = kept_table(placed.select(F.col("node.txt").alias("txt"), "root"), "near-placed")
     # A text without a word is a class of its own.
     out = signed.select("doc", "txt").join(placed, "txt", "left").withColumn(
         "root", F.coalesce("root", F.struct("doc", "txt")))
