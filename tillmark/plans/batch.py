@@ -21,10 +21,10 @@ from tillmark.operators.monthly import CUSTOMER_MONTH, SELLER_MONTH
 from tillmark.plans import marts
 from tillmark.plans.months import merge_run, read_months
 from tillmark.plans.ledger import (
+    current_state,
+    keep_small,
     ledger_close,
-    ledger_events,
     ledger_open,
-    ledger_state,
     unfinished_files,
     without_finished,
 )
@@ -137,7 +137,7 @@ def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str)
     run_id = str(int(run_ts.timestamp()) * 1000)
 
     catalog = file_catalog(spark, conf.landing)
-    state = ledger_state(ledger_events(spark, conf.ledger))
+    state = current_state(spark, conf.ledger)
     if not state.filter((F.col("run_id") == run_id) & (F.col("status") == INACTIVE)).isEmpty():
         raise ValueError(f"run {run_id} is finished already")
     waiting = stored(_not_rejected(without_finished(catalog, state), spark, conf),
@@ -186,7 +186,7 @@ def run_arrivals(spark: SparkSession, conf: BatchConfig, archive: str, files_a_r
 
     def one(waiting: DataFrame, number: int) -> None:
         run_id, now = str(number), dt.datetime.now(dt.timezone.utc)
-        state = ledger_state(ledger_events(spark, conf.ledger))
+        state = current_state(spark, conf.ledger)
         if not state.filter((F.col("run_id") == run_id) & (F.col("status") == INACTIVE)).isEmpty():
             return  # it was finished, and stopped before the stream took note
         work = fresh_folder(spark, "run")
@@ -275,3 +275,4 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
     if conf.audit_unmatched:
         write_mart(unmatched_sales(*star), f"{conf.root}/unmatched_sales/{epoch}")
     ledger_close(files, conf.ledger, run_id, max(run_ts, dt.datetime.now(dt.timezone.utc)))
+    keep_small(spark, conf.ledger)

@@ -290,12 +290,14 @@ SELECT *, 'parquet' AS read_as FROM customer UNION ALL SELECT *, 'csv' FROM cust
 SELECT result.*, '1' AS run_id FROM result
 UNION ALL
 SELECT result.*, '2' FROM result""",
+    "append_committed_table": "@append_table",
     "ledger_state": f"""
 SELECT {_ORDER_FILES} AS file_name, 'in/' || {_ORDER_FILES} AS file_location,
        CASE WHEN {_CLOSED} THEN 'I' ELSE 'A' END AS status,
        CASE WHEN {_REOPENED} THEN '2' ELSE '1' END AS run_id, '2024-01-01' AS created_date,
        CASE WHEN o_orderstatus = 'F' THEN '2024-01-02' END AS updated_date
 FROM orders WHERE {_TAKEN}""",
+    "ledger_snapshots": "@ledger_state",
     "active_file_names": f"""
 WITH active AS (SELECT DISTINCT {_ORDER_FILES} AS file_name FROM orders WHERE {_TAKEN} AND NOT {_CLOSED})
 SELECT file_name, 'all' AS among FROM active
@@ -307,3 +309,5 @@ SELECT 'in/' || {_ORDER_FILES} AS path FROM orders WHERE {_TAKEN} AND NOT {_CLOS
     "files_to_process": f"""
 SELECT 'in/' || {_ORDER_FILES} AS path FROM orders WHERE NOT ({_TAKEN} AND {_CLOSED})""",
 }
+# Queries that come to the same rows another way.
+ORACLES |= {name: ORACLES[sql[1:]] for name, sql in ORACLES.items() if sql.startswith("@")}

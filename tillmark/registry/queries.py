@@ -46,7 +46,7 @@ from tillmark.registry.landing import (
 )
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
-from tillmark.sinks import parquet, quarantine, tables
+from tillmark.sinks import committed, parquet, quarantine, tables
 from tillmark.storage import fresh_folder, stored
 from tillmark.sources import sales_csv
 from tillmark.sources.catalog import (
@@ -496,6 +496,16 @@ def append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dimension(spark, target)
 
 
+@query
+def append_committed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run appended twice to a table of committed runs (it counts once), then another run."""
+    path = fresh_folder(spark, "committed")
+    result = marts.customer_monthly_sales(*star(spark, sf_dir).parts)
+    for run in ("1", "1", "2"):
+        committed.append_committed(result, path, run)
+    return committed.read_committed(spark, path, result.schema)
+
+
 # ---- ledger ----------------------------------------------------------------------------------
 
 
@@ -506,25 +516,43 @@ def _order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         name.alias("file_name"), F.concat(F.lit("in/"), name).alias("path"), "o_orderstatus", "o_orderpriority")
 
 
-def _order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as if all orders of the priorities below 5 had been taken up, and those of status F
-    finished a day later; of these, the ones of priority 1 are taken up again by a second run."""
+def _order_steps(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, str, str, dt.datetime]]:
+    """Files, run, status and time, as if all orders of the priorities below 5 had been taken up, and
+    those of status F finished a day later; of these, the ones of priority 1 are taken up again by a
+    second run."""
     files = _order_files(spark, sf_dir)
     day = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
     taken = files.filter("o_orderpriority NOT LIKE '5%'")
     done = taken.filter("o_orderstatus = 'F'")
-    events = [
-        ledger.make_events(taken, "1", ACTIVE, day),
-        ledger.make_events(done, "1", INACTIVE, day + dt.timedelta(days=1)),
-        ledger.make_events(done.filter("o_orderpriority LIKE '1%'"), "2", ACTIVE,
-                           day + dt.timedelta(days=2)),
-    ]
+    return [(taken, "1", ACTIVE, day), (done, "1", INACTIVE, day + dt.timedelta(days=1)),
+            (done.filter("o_orderpriority LIKE '1%'"), "2", ACTIVE, day + dt.timedelta(days=2))]
+
+
+def _order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = [ledger.make_events(*step) for step in _order_steps(spark, sf_dir)]
     return events[0].unionByName(events[1]).unionByName(events[2])
 
 
 @query
 def ledger_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = ledger.ledger_state(_order_ledger(spark, sf_dir))
+    return _states(ledger.ledger_state(_order_ledger(spark, sf_dir)))
+
+
+@query
+def ledger_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same states from a written ledger, with a snapshot after each of the first two steps."""
+    path = fresh_folder(spark, "ledger")
+    for files, run, status, at in _order_steps(spark, sf_dir):
+        if status == ACTIVE:
+            ledger.ledger_open(files, path, run, at)
+        else:
+            ledger.ledger_close(files, path, run, at)
+        if run == "1":
+            ledger.compact_ledger(spark, path)
+    return _states(ledger.current_state(spark, path))
+
+
+def _states(state: DataFrame) -> DataFrame:
     return state.select(
         "file_name", "file_location", "status", "run_id",
         F.date_format("created_date", "yyyy-MM-dd").alias("created_date"),

@@ -55,6 +55,14 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``; empty when it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
 def hidden_files(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
     """Path, milliseconds of change and length of files that Spark's readers do not list.
 
