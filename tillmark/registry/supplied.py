@@ -128,8 +128,20 @@ def sales(spark: SparkSession, sf_dir: str, small: frozenset[str] = frozenset(),
     )
 
 
+#: What was measured: by session and folder, whose tables do not change.
+_MEASURED: dict[tuple[str, str], frozenset[str]] = {}
+
+
 def small_dimensions(spark: SparkSession, sf_dir: str) -> frozenset[str]:
-    """Which dimensions may be broadcast.
+    """Which dimensions may be broadcast; measured once for a session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MEASURED:
+        _MEASURED[key] = _measured(spark, sf_dir)
+    return _MEASURED[key]
+
+
+def _measured(spark: SparkSession, sf_dir: str) -> frozenset[str]:
+    """Which dimensions are small.
 
     A row of a dimension is a row of its table and at most two short names from ``nation`` and
     ``region``, whose few rows are measured along with it; so the tables are measured, without the
