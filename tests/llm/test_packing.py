@@ -58,6 +58,65 @@ def test_cuts():
     assert packing.cut_lengths(9001, 4096, 64) == [4096, 4096, 512, 256, 41]
 
 
+def packed(lengths, smallest=packing.SMALLEST, capacity=4096):
+    bins = packing.Bins(0, capacity, smallest)
+    for doc, n in enumerate(lengths):
+        bins.add_document(doc, struct.pack(f"<{n}I", *range(n)))
+    before_end = len(bins.closed)
+    bins.finish()
+    return bins, before_end
+
+
+LENGTHS = random.Random(5)
+
+
+@pytest.mark.parametrize("lengths", [
+    [LENGTHS.randrange(20, 3000) for _ in range(4000)],
+    [min(60_000, int(LENGTHS.lognormvariate(5.5, 1.2)) + 1) for _ in range(6000)],
+    [3000] * 900, [2049] * 900, [4096 + 7] * 500, [50] * 30_000, [1] * 9000, [4095] * 500, [1366] * 1500])
+def test_documents_stay_whole_and_sequences_full(lengths):
+    bins, before_end = packed(lengths)
+    documents, tokens, padded = defaultdict(list), 0, {}
+    for doc, start, length, crc, total, sequence, _, padded_to, _ in bins.closed:
+        documents[doc].append((start, length))
+        assert total == lengths[doc] and crc == zlib.crc32(
+            struct.pack(f"<{length}I", *range(start, start + length)))
+        tokens, padded[sequence] = tokens + length, padded_to
+    for doc, own in documents.items():
+        own.sort()
+        assert [s for s, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
+        assert sum(n for _, n in own) == lengths[doc]
+    assert len(documents) == len(lengths) and tokens == sum(lengths)
+    assert sum(padded.values()) <= 1.02 * tokens
+    for doc, _, length, _, total, *_ in bins.closed[:before_end]:
+        assert length >= packing.SMALLEST or length == total
+    # The last sequence of a task is cut at up to 11 places, each with a piece on either side.
+    assert sum(length < packing.SMALLEST and length != total
+               for _, _, length, _, total, *_ in bins.closed) <= 22
+    # One cut a bin at most, beside full sequences and the last one's.
+    full = sum(length == 4096 != total for _, _, length, _, total, *_ in bins.closed)
+    assert len(bins.closed) <= len(lengths) + len(padded) + full + 24
+
+
+def test_few_pieces_a_document():
+    lengths = [min(60_000, int(LENGTHS.lognormvariate(5.5, 1.2)) + 1) for _ in range(6000)]
+    bins, _ = packed(lengths)
+    assert len(bins.closed) <= 1.3 * len(lengths) + sum(n // 4096 for n in lengths)
+
+
+def test_what_waits_is_bounded():
+    bins = packing.Bins(0, 4096, 32)
+    for n in list(range(1, 4097)) * 3:
+        bins.add_document(n, bytes(4 * n))
+        assert len(bins.open) <= 128 and len(bins.waiting) <= 128
+
+
+def test_parts_of_a_piece():
+    assert packing.divide(40, 40, 32) == 40 and packing.divide(41, 40, 32) is None
+    assert packing.divide(100, 40, 32) == 40 and packing.divide(70, 50, 32) == 38
+    assert packing.divide(41, 40, 1) == 40
+
+
 def test_remembered_words_are_bounded():
     kept = packing.Remembered(3)
     for k in "abcdefghijklmnopqr":

@@ -1,16 +1,18 @@
 """Harmonic packing of token sequences.
 
-Lengths fall into classes whose sizes are the capacity divided by a whole number m, and a bin of
-class m takes m pieces, whatever they are. Each task fills the bins of its own documents, without
-asking any other. A document is cut so that every piece has exactly the length of a class: full
-sequences first, then what is left by falling classes. With m a power of two (the capacity is one
-too) the classes fit every remainder, full bins have no padding, and the pieces that a task is left
-with make sequences whose lengths are powers of two, which need none either. ``smallest`` stops the
-cutting earlier: a tail below it stays one piece, and its sequences are padded.
+Lengths fall into reciprocal classes of the capacity: a piece longer than capacity / (m + 1) and not
+longer than capacity / m is of class m, and a bin of class m takes m pieces, whatever they are. Each
+task fills the bins of its own documents, without asking any other. A document that fits a sequence
+stays whole but for one case: a bin that has its m pieces waits with the room that is left, and the
+next documents go there, whole where they fit; the first that does not is cut to close it. So there is
+at most one cut a bin beside the full sequences that a longer document is cut into. No cut leaves less
+than ``smallest`` tokens on either side; a bin with less room than that is padded. What a task is left
+with at its end is laid in a row: full sequences, and from the last one sequences whose lengths are
+powers of two, which need no padding (only there cuts may be shorter).
 
 Defined results: a null or empty text is the end token alone. Rows that repeat are packed each.
 Only ``doc_id`` and ``text`` are read. An empty table gives no pieces. What a task holds is bounded:
-fewer pieces than a bin takes, for each class.
+for each of the at most 2 * sqrt(capacity) classes an open bin and one that waits.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ END_TOKEN = 2
 # Words as they stand and bare words that a task remembers: about 200 bytes each.
 REMEMBERED = (800_000, 500_000)
 ROWS_A_BATCH = 8192
+# No document is cut to less.
+SMALLEST = 32
 
 _COLUMNS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
             "doc_tokens": pa.int64(), "sequence_id": pa.int64(), "offset": pa.int64(),
@@ -124,39 +128,114 @@ def cut_lengths(n: int, capacity: int, smallest: int = 1) -> list[int]:
     return cuts
 
 
+def divide(length: int, room: int, smallest: int) -> int | None:
+    """How much of a piece goes into a room: all if it fits, else so much that neither part is
+    short; None if that cannot be."""
+    if length <= room:
+        return length
+    take = min(room, length - smallest)
+    return take if take >= smallest else None
+
+
+class Piece:
+    """Some of a document's ids, and where in the document they start."""
+
+    __slots__ = ("doc", "start", "ids", "length", "tokens")
+
+    def __init__(self, doc: int | None, start: int, ids: bytes, tokens: int):
+        self.doc, self.start, self.ids, self.tokens = doc, start, ids, tokens
+        self.length = len(ids) // 4
+
+    def cut(self, take: int) -> tuple[Piece, Piece]:
+        at = 4 * take
+        return (Piece(self.doc, self.start, self.ids[:at], self.tokens),
+                Piece(self.doc, self.start + take, self.ids[at:], self.tokens))
+
+
 class Bins:
-    """The open bins of one task; ``closed`` collects rows of full ones."""
+    """The bins of one task; ``closed`` collects rows of those that are done."""
 
-    def __init__(self, task: int, capacity: int, smallest: int):
-        self.next_id, self.capacity, self.smallest = task << 36, capacity, smallest
-        self.open: dict[int, list[tuple]] = {}
+    def __init__(self, task: int, capacity: int, smallest: int, with_ids: bool = False):
+        self.next_id, self.capacity, self.smallest, self.with_ids = task << 36, capacity, smallest, with_ids
+        self.open: dict[int, list[Piece]] = {}
+        self.waiting: dict[int, tuple[int, list[Piece]]] = {}  # class: room, pieces
         self.closed: list[tuple] = []
 
-    def add(self, piece: tuple) -> None:
-        length = piece[2]
-        size = self.smallest if length < self.smallest else length
-        waiting = self.open.setdefault(size, [])
-        waiting.append(piece)
-        if len(waiting) == self.capacity // size:
-            self.close(self.open.pop(size))
-
-    def close(self, pieces: list[tuple]) -> None:
-        total = sum(p[2] for p in pieces)
+    def add_document(self, doc: int | None, ids: bytes) -> None:
+        tokens, start = len(ids) // 4, 0
+        while tokens - start > self.capacity:
+            take = min(self.capacity, tokens - start - self.smallest)
+            part = Piece(doc, start, ids[4 * start: 4 * (start + take)], tokens)
+            self.close([part]) if take == self.capacity else self.add(part)
+            start += take
+        self.add(Piece(doc, start, ids[4 * start:], tokens))
+
+    def add(self, piece: Piece) -> None:
+        for kind in list(self.waiting):
+            room, pieces = self.waiting[kind]
+            take = divide(piece.length, room, self.smallest)
+            if take is None:
+                continue
+            whole = take == piece.length
+            part, rest = (piece, None) if whole else piece.cut(take)
+            self._wait(kind, room - take, [*pieces, part])
+            if rest is None:
+                return
+            piece = rest
+        kind = self.capacity // piece.length
+        pieces = self.open.setdefault(kind, [])
+        pieces.append(piece)
+        if len(pieces) == kind:
+            del self.open[kind]
+            if kind in self.waiting:
+                self.close(self.waiting.pop(kind)[1])
+            self._wait(kind, self.capacity - sum(p.length for p in pieces), pieces)
+
+    def _wait(self, kind: int, room: int, pieces: list[Piece]) -> None:
+        if room < self.smallest:
+            self.waiting.pop(kind, None)
+            self.close(pieces)
+        else:
+            self.waiting[kind] = room, pieces
+
+    def close(self, pieces: list[Piece]) -> None:
+        total = sum(p.length for p in pieces)
         padded = total if total & (total - 1) == 0 else self.capacity
         at = 0
-        for doc, start, length, crc, tokens, ids in pieces:
-            self.closed.append((doc, start, length, crc, tokens, self.next_id, at, padded, ids))
-            at += length
+        for p in pieces:
+            self.closed.append((p.doc, p.start, p.length, zlib.crc32(p.ids), p.tokens, self.next_id, at,
+                                padded, p.ids if self.with_ids else None))
+            at += p.length
         self.next_id += 1
 
     def finish(self) -> None:
-        """Bins that never filled: pieces of equal length in groups of two to a power."""
-        for size in sorted(self.open, reverse=True):
-            left = self.open.pop(size)
-            while left:
-                take = len(left) if size == self.smallest > 1 else 1 << (len(left).bit_length() - 1)
-                self.close(left[:take])
-                left = left[take:]
+        """What waits or is open, long pieces first, in a row of full sequences and a cut last one."""
+        left = [p for _, pieces in self.waiting.values() for p in pieces]
+        left += [p for pieces in self.open.values() for p in pieces]
+        self.open, self.waiting = {}, {}
+        row, room = [], self.capacity
+        for piece in sorted(left, key=lambda p: -p.length):
+            take = divide(piece.length, room, self.smallest)
+            if take == piece.length:
+                row.append(piece)
+                room -= take
+                continue
+            if take is not None:
+                part, piece = piece.cut(take)
+                row.append(part)
+            self.close(row)
+            row, room = [piece], self.capacity - piece.length
+        for size in cut_lengths(self.capacity - room, self.capacity):
+            part = []
+            while size:
+                take = min(size, row[0].length)
+                first = row.pop(0)
+                if take < first.length:
+                    first, rest = first.cut(take)
+                    row.insert(0, rest)
+                part.append(first)
+                size -= take
+            self.close(part)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -166,13 +245,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_token: int = END_TOKEN,
-         smallest: int = 1, with_ids: bool = False,
+         smallest: int = SMALLEST, with_ids: bool = False,
          remembered: tuple[int, int] = REMEMBERED) -> DataFrame:
     """A row per piece, with ``padded_to``, the length its sequence is padded to, and, if wanted,
-    its ``ids``. ``capacity`` and ``smallest`` are powers of two; ``tokenizer_path`` is a file on
-    the driver, which all executors get (about 2 MB)."""
-    if capacity & (capacity - 1) or smallest & (smallest - 1) or not 0 < smallest <= capacity:
-        raise ValueError("capacity and smallest must be powers of two")
+    its ``ids``. ``capacity`` is a power of two, ``smallest`` at most half of it; ``tokenizer_path`` is
+    a file on the driver, which all executors get (about 2 MB)."""
+    if capacity & (capacity - 1) or not 0 < 2 * smallest <= capacity:
+        raise ValueError("capacity must be a power of two, and smallest at most half of it")
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -181,15 +260,10 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_tok
         tokenizer = worker_cache(("word-tokenizer", hash(text), remembered),
                                  lambda: WordTokenizer(text, remembered), "packing")
         end = end_token.to_bytes(4, "little")
-        bins = Bins(TaskContext.get().partitionId(), capacity, smallest)
+        bins = Bins(TaskContext.get().partitionId(), capacity, smallest, with_ids)
         for batch in sliced(batches):
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = tokenizer.encode(value.as_py() or "") + end
-                start, tokens = 0, len(ids) // 4
-                for length in cut_lengths(tokens, capacity, smallest):
-                    own = ids[4 * start: 4 * (start + length)]
-                    bins.add((doc, start, length, zlib.crc32(own), tokens, own if with_ids else None))
-                    start += length
+                bins.add_document(doc, tokenizer.encode(value.as_py() or "") + end)
                 if len(bins.closed) >= ROWS_A_BATCH:
                     yield _batch(bins.closed)
                     bins.closed = []
