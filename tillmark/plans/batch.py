@@ -41,7 +41,8 @@ from tillmark.sources.dimensions import (
     read_dimension,
 )
 from tillmark.streaming.intake import take_in
-from tillmark.sources.sales_csv import malformed, stage_sales, well_formed
+from tillmark.sources.any_header import stage_files, with_faults
+from tillmark.sources.sales_csv import malformed, well_formed
 
 DIMENSION_KEYS = {CUSTOMER: "customer_id", STORE: "id", SALES_TEAM: "id"}
 
@@ -234,8 +235,8 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
              run_ts: dt.datetime, work: str) -> None:
     """One run over its accepted files, from reading to closing the ledger."""
     epoch = int(run_id)
-    staged = stage_sales(spark, files, f"{work}/sales")
-    quarantine_rows(malformed(staged), conf.quarantine, run_id)
+    staged = stage_files(spark, files, f"{work}/sales")
+    quarantine_rows(with_faults(malformed(staged), files), conf.quarantine, run_id)
     sales = well_formed(staged)
 
     dims = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.registry import supplied
@@ -76,6 +76,78 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
     return shop.landing
 
 
+def _land_lines(lines: DataFrame, landing: str, folders: list[str]) -> None:
+    """Writes lines of text as CSV files, as they are, by folders; the order within a task stays."""
+    lines.write.partitionBy(*folders).option("sep", "\u0001").option("quote", "").option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(landing)
+
+
+def _texts(columns: tuple[str, ...]) -> Column:
+    return F.array(*[F.col(c).cast("string") for c in columns])
+
+
+def _with_header_lines(rows: DataFrame) -> DataFrame:
+    """A file for every ``month`` and ``part``: its ``header``, then its lines."""
+    heads = rows.select("month", "part", F.lit(0).alias("rank"), F.col("header").alias("line")).distinct()
+    own = rows.select("month", "part", F.lit(1).alias("rank"), "line")
+    return heads.unionByName(own).repartition("month", "part").sortWithinPartitions("month", "part", "rank").drop("rank")
+
+
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplied sales with their ``month`` and a ``part``, so many that files stay small."""
+    small = supplied.small_dimensions(spark, sf_dir)
+    sales = supplied.sales(spark, sf_dir, small, products=True, keep=("l_returnflag", "l_linestatus"))
+    dated = sales.withColumn("month", F.date_format("sales_date", "yyyy_MM"))
+    # A bound for the parts of the largest month, of which there are some 80.
+    parts = supplied.table(spark, sf_dir, "lineitem").count() // (40 * ROWS_A_FILE) + 1
+    return dated.withColumn("part", F.pmod(F.xxhash64("customer_id", "product_name"), F.lit(parts)))
+
+
+def land_by_month(spark: SparkSession, sf_dir: str) -> str:
+    """All supplied sales, in files whose header is that of their month, and returns the folder.
+
+    The columns begin with another one from month to month; a column ``note_<month>`` has the return
+    flag, and in odd months ``ref_<month>`` the line status.
+    """
+    turn = F.month("sales_date") % F.lit(len(MANDATORY))
+    odd = F.month("sales_date") % 2 == 1
+
+    def line(mandatory: Column, note: Column, ref: Column) -> Column:
+        turned = F.concat(F.slice(mandatory, turn + 1, F.lit(len(MANDATORY))), F.slice(mandatory, F.lit(1), turn))
+        return F.array_join(F.concat(turned, F.array(note), F.when(odd, F.array(ref)).otherwise(F.array())), ",")
+
+    names = F.array(*[F.lit(c) for c in MANDATORY])
+    month = F.col("month")
+    rows = _monthly(spark, sf_dir).withColumns({
+        "header": line(names, F.concat(F.lit("note_"), month), F.concat(F.lit("ref_"), month)),
+        "line": line(_texts(MANDATORY), F.col("l_returnflag"), F.col("l_linestatus"))})
+    landing = fresh_folder(spark, "landing")
+    _land_lines(_with_header_lines(rows), landing, ["month", "part"])
+    return landing
+
+
+def land_faulty(spark: SparkSession, sf_dir: str) -> str:
+    """All supplied sales in files by month, many with faults, and returns the folder.
+
+    The quantity is ``n/a`` above 45 and the price ``free`` below 5; the date of open lines is
+    ``soon`` below 10; a quantity of 20 is followed by a surplus cell, and one of 30 is the last cell.
+    """
+    quantity = F.col("quantity")
+    faulty = _monthly(spark, sf_dir).withColumns({
+        "sales_date": F.when((F.col("l_linestatus") == "O") & (quantity < 10), F.lit("soon")).otherwise(
+            F.col("sales_date").cast("string")),
+        "price": F.when(quantity < 5, F.lit("free")).otherwise(F.col("price").cast("string")),
+        "pieces": F.when(quantity > 45, F.lit("n/a")).otherwise(quantity.cast("string"))})
+    columns = tuple("pieces" if c == "quantity" else c for c in MANDATORY)
+    cells = _texts(columns)
+    shown = F.when(quantity == 30, F.slice(cells, 1, len(columns) - 1)).when(
+        quantity == 20, F.concat(cells, F.array(F.lit("more")))).otherwise(cells)
+    rows = faulty.withColumns({"header": F.lit(",".join(MANDATORY)), "line": F.array_join(shown, ",")})
+    landing = fresh_folder(spark, "landing")
+    _land_lines(_with_header_lines(rows), landing, ["month", "part"])
+    return landing
+
+
 def land_odd_files(spark: SparkSession, sf_dir: str, landing: str) -> None:
     """Adds a file for each nation, of the kinds in turn: usable, with a hidden name, with a first
     line of a tab, without a byte, named as compressed without being it, and compressed."""

@@ -101,6 +101,16 @@ _REORDERED_LINE = _line(*reversed(_COLUMNS))
 _NO_STORE_LINE = _line("customer_id", "product_name", "sales_date", "sales_person_id", "price",
                        "quantity", "total_cost")
 
+# Lines with faults of several kinds.
+_LATE = "(l_linestatus = 'O' AND quantity < 10)"
+_FAULTY_LINE = _line(
+    "customer_id", "store_id", "product_name",
+    f"CASE WHEN {_LATE} THEN 'soon' ELSE CAST(sales_date AS VARCHAR) END", "sales_person_id",
+    "CASE WHEN quantity < 5 THEN 'free' ELSE CAST(price AS VARCHAR) END",
+    "CASE WHEN quantity > 45 THEN 'n/a' ELSE CAST(quantity AS VARCHAR) END") + """
+  || CASE WHEN quantity = 30 THEN '' ELSE ',' || CAST(total_cost AS VARCHAR) END
+  || CASE WHEN quantity = 20 THEN ',more' ELSE '' END"""
+
 # Fixed value: the header of a sales file.
 _MANDATORY = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
 _REVERSED = ",".join(reversed(_MANDATORY.split(",")))
@@ -259,6 +269,18 @@ SELECT {_SHAPE} AS shape,
            CASE WHEN l_linestatus = 'O' THEN 'cash' ELSE '' END || ',c' || customer_id
          ELSE {_REORDERED_LINE} END AS line
 FROM sales WHERE quantity > 45""",
+    "row_faults": _FACTS + f"""
+SELECT {_FAULTY_LINE} AS line,
+       CASE WHEN quantity IN (20, 30) THEN 'number of cells'
+            ELSE concat_ws(',', CASE WHEN {_LATE} THEN 'sales_date' END,
+                           CASE WHEN quantity < 5 THEN 'price' END,
+                           CASE WHEN quantity > 45 THEN 'quantity' END) END AS faults
+FROM sales WHERE quantity IN (20, 30) OR quantity > 45 OR quantity < 5 OR {_LATE}""",
+    "many_headers_union": _FACTS + f"""
+SELECT {_CANONICAL},
+       l_returnflag || CASE WHEN CAST(sales_month[6:7] AS INTEGER) % 2 = 1 THEN ',' || l_linestatus
+                            ELSE '' END AS additional_column
+FROM sales""",
     "quarantined_lines": _FACTS + f"""
 SELECT 'no_store' AS shape, {_NO_STORE_LINE} AS line, 'missing columns: store_id' AS reason
 FROM sales

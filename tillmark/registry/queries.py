@@ -42,13 +42,15 @@ from tillmark.registry.landing import (
     REORDERED,
     Shop,
     land,
+    land_by_month,
+    land_faulty,
     land_odd_files,
 )
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
 from tillmark.sinks import committed, parquet, quarantine, tables
 from tillmark.storage import fresh_folder, stored
-from tillmark.sources import sales_csv
+from tillmark.sources import any_header, sales_csv
 from tillmark.sources.catalog import (
     build_manifest,
     discover_headers,
@@ -334,6 +336,30 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(_folder().alias("shape"), "line")
 
 
+def _accepted(spark: SparkSession, landing: str) -> DataFrame:
+    """Accepted files, looked into once."""
+    found = build_manifest(file_catalog(spark, landing), landing)
+    return split_manifest(stored(found, fresh_folder(spark, "manifest")))[0]
+
+
+@query
+def row_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed rows, as quarantined, with the columns whose cells do not parse."""
+    root = fresh_folder(spark, "quarantine")
+    accepted = _accepted(spark, land_faulty(spark, sf_dir))
+    bad = sales_csv.malformed(any_header.stage_files(spark, accepted, fresh_folder(spark, "staged")))
+    quarantine.quarantine_rows(any_header.with_faults(bad, accepted), root, "1")
+    return _as_text(quarantine.quarantined_rows(spark, root).select("line", "faults"))
+
+
+@query
+def many_headers_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a header of their own for each month, read by one scan."""
+    accepted = _accepted(spark, land_by_month(spark, sf_dir))
+    staged = any_header.stage_any_header(spark, accepted, fresh_folder(spark, "staged"))
+    return _as_text(sales_csv.well_formed(staged))
+
+
 @query
 def quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines of rejected files but their header lines, as quarantined."""

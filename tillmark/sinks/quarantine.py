@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.columns import base_name, plain_path
+from tillmark.sources.any_header import FAULTS
 from tillmark.sources.catalog import FILES_A_TASK, PEEK_SCHEMES, open_stream
 from tillmark.sources.sales_csv import RAW_LINE, SOURCE_FILE
 from tillmark.storage import literal_path, path_exists, scheme_of
@@ -27,6 +28,8 @@ PIECE_BYTES = 4 << 20
 
 _COPY_SCHEMA = "file_id string, piece int, content binary, error string"
 
+_ROWS_SCHEMA = "path string, file_name string, line string, faults array<string>, run_id string"
+
 MANIFEST_SCHEMA = (
     "path string, file_name string, modificationTime timestamp, length bigint, "
     "reason string, missing array<string>, file_id string, run_id string"
@@ -93,12 +96,15 @@ def quarantine_files(rejected: DataFrame, root: str, run_id: str) -> None:
 
 
 def quarantine_rows(malformed: DataFrame, root: str, run_id: str) -> None:
-    """Writes malformed rows with the file they came from."""
+    """Writes malformed rows with the file they came from and, where ``with_faults`` added them,
+    their ``faults``."""
+    known = F.col(FAULTS) if FAULTS in malformed.columns else F.lit(None).cast("array<string>")
     (
         malformed.select(
             plain_path(SOURCE_FILE).alias("path"),
             base_name(plain_path(SOURCE_FILE)).alias("file_name"),
             F.col(RAW_LINE).alias("line"),
+            known.alias(FAULTS),
         )
         .write.mode("overwrite").parquet(f"{root}/rows/run_id={run_id}")
     )
@@ -133,5 +139,8 @@ def quarantined_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def quarantined_rows(spark: SparkSession, root: str) -> DataFrame:
-    """``path, file_name, line, run_id`` of all malformed rows."""
-    return spark.read.parquet(f"{root}/rows")
+    """``path, file_name, line, faults, run_id`` of all malformed rows.
+
+    ``faults`` is null for rows written without them.
+    """
+    return spark.read.schema(_ROWS_SCHEMA).parquet(f"{root}/rows")
