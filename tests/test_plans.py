@@ -8,6 +8,7 @@ from tillmark.operators.enrich import enrich_customer
 from tillmark.plans import marts
 from tillmark.registry.queries import QUERIES
 from tillmark.registry.supplied import star
+from tillmark.sinks.bucketed import customer_monthly_of_sums, customer_sums, drop_bucketed, write_bucketed
 
 SF = "/root/testdata/sf0.01"
 
@@ -111,3 +112,29 @@ def test_shuffled_queries_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
     # Only the supplied tables may be broadcast on the way to the star, never a dimension's columns.
     assert plan.count("SortMergeJoin") >= 3
+
+
+def test_bucketed_tables_are_not_shuffled(spark):
+    plan = plan_of(QUERIES["customer_monthly_sales_bucketed"](spark, SF))
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert plan.count("Bucketed: true") == 2 and "SelectedBucketsCount: 16 out of 16" in plan
+
+
+def test_bucketed_sums_of_two_nights_make_up_the_months(spark, world, tmp_path, rows_of):
+    nights = [world.sales((1, 10, 100, "2024-01-05", "1"), (2, 20, 101, "2024-01-06", None),
+                          (None, 10, 100, "2024-01-05", "4"), (9, 10, 100, "2024-01-05", "8")),
+              world.sales((1, 20, 101, "2024-01-31", "16"), (1, 77, 101, "2024-01-31", "32"),
+                          (3, 10, 100, None, "64"))]
+    try:
+        for night, mode in zip(nights, ("overwrite", "append"), strict=True):
+            sums = write_bucketed(customer_sums(night, world.store, world.sales_team), "sums_of_nights",
+                                  str(tmp_path / "sums"), ["customer_id"], 4, mode)
+        who = write_bucketed(world.customer, "customers_of_nights", str(tmp_path / "who"), ["customer_id"], 4)
+        got = customer_monthly_of_sums(sums, who)
+        assert "Exchange" not in plan_of(got)
+        both = nights[0].unionAll(nights[1])
+        assert rows_of(got) == rows_of(marts.customer_monthly_sales(both, *world.dims))
+        assert got.count() == 3
+    finally:
+        drop_bucketed(spark, "sums_of_nights")
+        drop_bucketed(spark, "customers_of_nights")

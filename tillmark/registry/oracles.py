@@ -290,6 +290,7 @@ SELECT 'notes', r_name, 'not a .csv file' FROM region""",
     "run_whole_batch": _WHOLE + "," + _INCENTIVE,
     "batch_customer_mart": _WHOLE + _CUSTOMER_MART,
     "batch_sales_team_mart": _WHOLE + _TEAM_MART,
+    "customer_monthly_sales_bucketed": _WHOLE + _CUSTOMER_MONTHLY,
     "batch_customer_monthly": _WHOLE + _CUSTOMER_MONTHLY,
     "batch_ledger": f"""
 SELECT shape AS folder, 'I' AS status, '1704067200000' AS run_id

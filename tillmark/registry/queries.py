@@ -7,6 +7,7 @@ same way in any engine. Every query reads its tables whole.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,7 +49,7 @@ from tillmark.registry.landing import (
 )
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
-from tillmark.sinks import committed, parquet, quarantine, tables
+from tillmark.sinks import bucketed, committed, parquet, quarantine, tables
 from tillmark.storage import fresh_folder, stored
 from tillmark.sources import any_header, sales_csv
 from tillmark.sources.catalog import (
@@ -532,6 +533,26 @@ def append_committed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed.read_committed(spark, path, result.schema)
 
 
+#: Buckets of the supplied shop's tables; at scale some thousands.
+BUCKETS = 16
+
+
+@query
+def customer_monthly_sales_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two nights' sums, finished lines and open ones, and the customers, in tables bucketed alike."""
+    small = supplied.small_dimensions(spark, sf_dir)
+    lines = supplied.sales(spark, sf_dir, small, keep=("l_linestatus",))
+    s, folder, name = star(spark, sf_dir), fresh_folder(spark, "bucketed"), f"t{uuid.uuid4().hex}"
+    for status, mode in (("F", "overwrite"), ("O", "append")):
+        night = lines.where(F.col("l_linestatus") == status)
+        sums = bucketed.write_bucketed(
+            bucketed.customer_sums(night, s.store, s.sales_team, s.small), f"{name}_sums",
+            f"{folder}/sums", [bucketed.BUCKET_KEY], BUCKETS, mode)
+    who = bucketed.write_bucketed(s.customer, f"{name}_customer", f"{folder}/customer",
+                                  [bucketed.BUCKET_KEY], BUCKETS)
+    return bucketed.customer_monthly_of_sums(sums, who)
+
+
 # ---- ledger ----------------------------------------------------------------------------------
 
 
