@@ -1,8 +1,12 @@
+import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tillmark.llm import langid
+from tillmark.llm.cnn import ByteNetwork
 
 ALPHABETS = {"aa": "abcdef", "bb": "ghijkl", "cc": "éèüöñß"}
 
@@ -57,3 +61,47 @@ def test_held_out_is_the_stated_fold(spark):
 
     df = spark.range(200).select(F.col("id").alias("doc_id"), langid.held_out("id").alias("h"))
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in df.collect())
+
+
+def naive_probabilities(network, window):
+    """Every filter at every place of a window, the largest value kept, and a softmax over classes."""
+    kept = []
+    for width, table, bias in zip(network.widths, network.tables, network.bias, strict=True):
+        for f in range(network.filters):
+            values = [sum(float(table[j][window[at + j]][f]) for j in range(width))
+                      for at in range(len(window) - width + 1)]
+            kept.append(max(max(values) + float(bias[f]), 0.0))
+    z = [sum(k * float(network.out[i][c]) for i, k in enumerate(kept)) + float(network.out_bias[c])
+         for c in range(network.out.shape[1])]
+    e = [math.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+@pytest.mark.parametrize("widths", [(2, 3, 4), (1, 5), (3,)])
+def test_network_as_by_brute_force(widths):
+    rng = np.random.default_rng(3)
+    network = ByteNetwork(3, widths=widths, filters=4, seed=5)
+    network.bias = [rng.normal(0, 0.2, 4).astype(np.float32) for _ in widths]
+    x = rng.integers(0, 256, (6, 24)).astype(np.uint8)
+    x[1, 10:] = 0
+    x[2] = 0
+    got = network.probabilities(x)
+    for row, window in zip(got, x, strict=True):
+        assert row == pytest.approx(naive_probabilities(network, window.tolist()), abs=1e-4)
+
+
+def test_identified_as_by_brute_force(spark, docs_of):
+    """A text's windows one by one, weighted by their bytes."""
+    model = langid.train(labelled(spark))
+    rng = random.Random(9)
+    texts = [made(lang, rng, n) for lang in ALPHABETS for n in (1, 5, 90)]
+    got = {r["row"]["doc_id"]: r for r in langid.identify(docs_of(*enumerate(texts)), model).collect()}
+    for i, text in enumerate(texts):
+        codes = list(text.encode())
+        total = [0.0] * len(model.languages)
+        for at in range(0, len(codes), langid.WINDOW_BYTES):
+            part = codes[at: at + langid.WINDOW_BYTES]
+            p = naive_probabilities(model.network, part + [0] * (langid.WINDOW_BYTES - len(part)))
+            total = [t + q * len(part) / len(codes) for t, q in zip(total, p, strict=True)]
+        assert got[i]["lang_pred"] == model.languages[total.index(max(total))]
+        assert got[i]["score"] == pytest.approx(max(total), abs=1e-3)

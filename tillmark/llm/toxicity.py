@@ -247,7 +247,11 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> T
         return ToxicityModel()
     model = ToxicityModel(_terms(labelled, count[1], count[0]))
     model.exceptions = _phrases(labelled, model, count[1], count[0])
-    rows = _measured(labelled, model).select("row.toxic", "hits", "words").collect()  # the sample
+    # Ids may repeat in the documents: of their rows no more than twice train_rows come to the driver.
+    rows = (
+        _measured(labelled, model).select("row.doc_id", "row.toxic", "hits", "words")
+        .orderBy(F.xxhash64("doc_id", "hits", "words"), "toxic").limit(2 * train_rows).collect()
+    )
     y = np.array([r["toxic"] for r in rows], float)
     model.curve = _curve(np.array([r["hits"] for r in rows]), np.array([r["words"] for r in rows]), y)
     return model
