@@ -61,3 +61,22 @@ def test_runs_name_their_source(docs_of):
     docs = docs_of((1, "\n".join(["first line here", *run, "end of one"])), (2, "\n".join(["start", *run])))
     found = line_dedup.repeated_runs(line_dedup.suffix_names(docs)).collect()
     assert [tuple(r) for r in found] == [(2, 1, 3, 1, 1)]
+
+
+def test_query_and_sql_agree_on_long_copied_runs(spark, tmp_path):
+    import duckdb
+
+    from tillmark.llm.queries import ORACLES, QUERIES
+
+    text = "\n".join(f"line {i} of a long text" for i in range(2100))
+    rows = [(1, text), (2, "own line of the second text\n" + text), (3, None), (4, "short")]
+    made = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' lang", "'s' source", "CAST(length(text) AS bigint) n_chars")
+    made.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    columns = "doc_id, n_lines, n_removed, copied_lines, kept_sha256"
+    got = QUERIES["op1_line_dedup"](spark, str(tmp_path)).selectExpr(*columns.split(", "))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"SELECT {columns} FROM ({ORACLES['op1_line_dedup']})").fetchall()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert {r[3] for r in want if r[0] == 2} == {2048}

@@ -73,7 +73,8 @@ WITH all_lines AS (
 ), doubled AS (
   SELECT k.m, s.doc_id, s.pos, list(s.line) OVER (PARTITION BY k.m, s.doc_id ORDER BY s.pos
          ROWS BETWEEN CURRENT ROW AND k.m - 1 FOLLOWING) AS run
-  FROM summed s, (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024]) AS m) k
+  FROM summed s, (SELECT CAST(pow(2, e) AS BIGINT) AS m FROM range(32) r(e) WHERE pow(2, e) <=
+    (SELECT max(n) FROM (SELECT count(*) AS n FROM summed GROUP BY doc_id))) k
 ), copied AS (
   SELECT doc_id, max(m) AS m FROM (
     SELECT * FROM doubled WHERE len(run) = m
