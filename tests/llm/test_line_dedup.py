@@ -73,10 +73,45 @@ def test_query_and_sql_agree_on_long_copied_runs(spark, tmp_path):
     made = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
         "doc_id", "text", "'en' lang", "'s' source", "CAST(length(text) AS bigint) n_chars")
     made.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
-    columns = "doc_id, n_lines, n_removed, copied_lines, kept_sha256"
+    columns = "doc_id, n_lines, n_removed, n_runs, copied_lines, kept_sha256"
     got = QUERIES["op1_line_dedup"](spark, str(tmp_path)).selectExpr(*columns.split(", "))
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     want = con.execute(f"SELECT {columns} FROM ({ORACLES['op1_line_dedup']})").fetchall()
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
-    assert {r[3] for r in want if r[0] == 2} == {2048}
+    assert {r[4] for r in want if r[0] == 2} == {2048}
+
+
+def test_one_word_lines_in_long_runs(docs_of):
+    """Runs that count only as a whole: no stretch of a power of two of their lines does."""
+    import random
+
+    rng = random.Random(9)
+    pool = ["a", "b", "c", "d e", "f g h i j", "", "k"]
+    texts = {d: "\n".join(rng.choice(pool) for _ in range(rng.randrange(40))) for d in range(30)}
+    texts[30] = texts[7] + "\nz\n" + texts[3]
+    for min_words in (3, 5, 7, 12):
+        want = brute(texts, min_words)
+        rows = line_dedup.dedup_lines(docs_of(*texts.items()), min_words).collect()
+        assert {r["row"]["doc_id"]: r["kept_text"] for r in rows} == want
+        assert sum(r["n_runs"] for r in rows) > 10
+
+
+def test_runs_are_counted(docs_of):
+    a, b = "five words are in here\nand", "five more words stand there"
+    rows = line_dedup.dedup_lines(docs_of((1, f"{a}\n{b}"), (2, f"{a}\nown\n\n{b}"), (3, f"{a}\n\n{b}"))).collect()
+    assert {r["row"]["doc_id"]: (r["n_removed"], r["n_runs"], r["kept_text"]) for r in rows} == {
+        1: (0, 0, f"{a}\n{b}"), 2: (3, 2, "own\n"), 3: (3, 1, "")}
+
+
+def test_a_long_copy_makes_no_more_rows_than_lines(docs_of):
+    text = "\n".join(f"line {i} of a long text" for i in range(5000))
+    docs = docs_of((1, text), (2, "first line of the second text\n" + text))
+    decided = line_dedup._decided(line_dedup.suffix_names(docs), 5).collect()
+    assert [(r["doc"], r["gone"], r["copied"]) for r in decided] == [(2, list(range(1, 5001)), 4096)]
+
+
+def test_plan_is_native(docs_of):
+    plan = line_dedup.dedup_lines(docs_of((1, "a b c d e"), (2, "a b c d e")))._jdf.queryExecution().toString()
+    for python in ("ArrowEval", "BatchEvalPython", "MapInArrow", "MapInPandas", "PythonUDF"):
+        assert python not in plan

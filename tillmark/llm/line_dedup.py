@@ -10,9 +10,13 @@ have no longer repeat and leave; rounds go on until none is left, so their numbe
 of the longest repeated run.
 
 A run of lines counts if it has ``min_words`` words. Every line that lies in a counting run whose
-lines also start at an earlier place is deleted. It is enough to look at shortest counting runs,
-those that no longer count without their last or their first line: any longer one is covered by
-them. A run of m lines, 2^k <= m < 2^(k+1), is named by two names of round k that overlap.
+lines also start at an earlier place is deleted. The deepest class in which a place is not the first
+gives 2^k lines that also start earlier, and those of all places of a maximal repeated run cover that
+run: the first and the last of its stretches of 2^k lines overlap. So the stretches that count decide
+by their reach, for runs of any length. What is left are runs that count though a stretch in them
+does not, as their lines are of a word or two. Those hold a shortest counting run (one that no longer
+counts without its last or its first line) of m lines, m not a power of two and at most
+``min_words``: 2^k < m < 2^(k+1), named by two names of round k that overlap.
 
 Defined results: a null or empty text has no lines. A null ``doc_id`` comes before all others. Rows
 with the same ``doc_id`` and text count as one document and all get its result; with the same
@@ -78,17 +82,18 @@ def _named(suffixes: DataFrame, key: list[str], keep: list[str], level: int) ->
         suffixes.groupBy(*key).agg(F.min("place").alias("name"), F.max("place").alias("last"),
                                    F.count(F.lit(1)).alias("n"))
         .where("name <> last").drop("last", "n"), f"classes{level}")
-    return kept_table(suffixes.join(classes, key).select("place", "name", *keep).distinct(),
-                      f"names{level}")
+    named = suffixes.join(classes, key).select("place", "name", *keep)
+    # Repeated rows are dropped once; places that are single make single pairs.
+    return kept_table(named if level else named.distinct(), f"names{level}")
 
 
 def _two_to(k: str | Column) -> Column:
     return F.pow(F.lit(2), k).cast("int")
 
 
-def _stacked(levels: list[DataFrame]) -> DataFrame:
+def _stacked(levels: list[DataFrame], first: int = 0) -> DataFrame:
     return reduce(DataFrame.unionByName, [
-        df.select("place", "name", F.lit(k).alias("k")) for k, df in enumerate(levels)])
+        df.select("place", "name", F.lit(k).alias("k")) for k, df in enumerate(levels, first)])
 
 
 def _moved(place: str, by: Column | int) -> Column:
@@ -114,16 +119,18 @@ def suffix_names(docs: DataFrame, min_words: int = MIN_WORDS) -> list[DataFrame]
 
 
 def _later_windows(levels: list[DataFrame], min_words: int) -> DataFrame:
-    """``place`` and ``m`` of the shortest counting runs that also start at an earlier place."""
-    windows = levels[0].select("place", F.col("ahead").alias("m")).where("m is not null").unionByName(
+    """``place`` and ``m`` of the shortest counting runs that also start at an earlier place, where m
+    is no power of two: names of a single round tell of all others."""
+    odd = "m & (m - 1) <> 0"
+    windows = levels[0].select("place", F.col("ahead").alias("m")).where(odd).unionByName(
         levels[0].where("back is not null")
-        .select(_moved("place", F.lit(1) - F.col("back")).alias("place"), F.col("back").alias("m")))
+        .select(_moved("place", F.lit(1) - F.col("back")).alias("place"), F.col("back").alias("m"))
+        .where(odd))
     k = F.floor(F.log2(F.col("m"))).cast("int")
     windows = windows.distinct().withColumn("k", k).withColumn(
         "second", _moved("place", F.col("m") - _two_to("k")))
     # A run of min_words lines has min_words words at least: deeper rounds are not asked for.
-    asked = levels[: min_words.bit_length()]
-    names = _stacked(asked)
+    names = _stacked(levels[1: min_words.bit_length()], 1)
     named = (
         windows.join(names.withColumnRenamed("name", "head"), ["place", "k"])
         .join(names.select(F.col("place").alias("second"), "k", F.col("name").alias("tail")),
@@ -137,6 +144,31 @@ def _later_windows(levels: list[DataFrame], min_words: int) -> DataFrame:
     return named.join(first, ["m", "head", "tail"]).where("place <> first").select("place", "m")
 
 
+def _decided(levels: list[DataFrame], min_words: int) -> DataFrame:
+    """Per document with a line that also stands earlier: ``gone``, the numbers of the lines to delete,
+    ascending, and ``copied``, the lines of the deepest class."""
+    later = _stacked(levels).where("place <> name").select("place", "k", F.lit(None).cast("int").alias("ahead"))
+    # What a line's shortest counting run is, round 0 knows.
+    needs = levels[0].where("place <> name").select("place", F.lit(0).alias("k"), "ahead")
+    # Dealt by document once, for the deepest class of a place and for the reach within the document.
+    dealt = later.where("k > 0").unionByName(needs).select("place.*", "k", "ahead").repartition("doc", "txt")
+    deepest = dealt.groupBy("doc", "txt", "pos").agg(F.max("k").alias("k"), F.max("ahead").alias("ahead"))
+    lines = _two_to("k")
+    reach = deepest.select(
+        "doc", "txt", "pos", "k", F.when(F.col("ahead") <= lines, F.col("pos") + lines).alias("end"))
+    if len(levels) > 1 and min_words > 2:
+        thin = _later_windows(levels, min_words)
+        reach = reach.unionByName(thin.select(
+            "place.*", F.lit(None).cast("int").alias("k"), (F.col("place.pos") + F.col("m")).alias("end")))
+    # Rows of a document are at most its lines and their thin runs. A deleted line has a row: it
+    # stands earlier itself.
+    so_far = Window.partitionBy("doc", "txt").orderBy("pos")
+    covered = reach.withColumn("covered", F.max("end").over(so_far) > F.col("pos")).where("k IS NOT NULL")
+    return covered.groupBy("doc", "txt").agg(
+        F.sort_array(F.collect_list(F.when(F.col("covered"), F.col("pos")))).alias("gone"),
+        _two_to(F.max("k")).alias("copied"))
+
+
 def repeated_runs(levels: list[DataFrame]) -> DataFrame:
     """The copied runs: ``doc_id``, ``first_line``, ``n_lines``, ``source_id``, ``source_line``.
 
@@ -166,23 +198,14 @@ def repeated_runs(levels: list[DataFrame]) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Per row of ``docs``: ``row`` (all its columns), ``kept_text`` (null where ``text`` is),
-    ``n_lines``, ``n_removed`` and ``copied_lines``, the largest power of two of lines that also
-    start at an earlier place. Lines are counted without blank ones."""
+    ``n_lines``, ``n_removed``, ``n_runs`` (stretches of neighbouring lines removed) and
+    ``copied_lines``, the largest power of two of lines that also start at an earlier place. Lines are
+    counted without blank ones."""
     levels = suffix_names(docs, min_words)
     keyed = docs.select(F.struct("*").alias("row")).select(
         "row", *_key_columns("row.doc_id", "row.text"))
     if levels:
-        covered = (
-            _later_windows(levels, min_words)
-            .select("place.doc", "place.txt", F.explode(F.sequence(
-                F.col("place.pos"), F.col("place.pos") + F.col("m") - 1)).alias("p"))
-            .groupBy("doc", "txt").agg(F.collect_set("p").alias("gone"))
-        )
-        longest = (
-            _stacked(levels).where("place <> name").groupBy("place.doc", "place.txt")
-            .agg(_two_to(F.max("k")).alias("copied"))
-        )
-        decided = kept_table(longest.join(covered, ["doc", "txt"], "left"), "line-decisions")
+        decided = kept_table(_decided(levels, min_words), "line-decisions")
         keyed = keyed.join(decided, ["doc", "txt"], "left")
     else:
         keyed = keyed.select("*", F.lit(None).cast("array<int>").alias("gone"),
@@ -190,13 +213,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = keyed.withColumn("lines", _all_lines("row.text"))
     has_word = F.transform("lines", lambda x, i: F.when(x.rlike(_WORD), i))
     placed = lines.withColumn("at", F.filter(has_word, lambda i: i.isNotNull()))
+    opens = F.filter("gone", lambda p, i: (i == 0) | (F.get(F.col("gone"), i - 1) < p - 1))
     dropped = F.transform("gone", lambda p: F.get(F.col("at"), p))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), dropped)
     kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("lines"), i)), "\n")
     return placed.select(
         "row",
-        F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept).alias("kept_text"),
+        F.when(F.coalesce(F.size("gone"), F.lit(0)) == 0, F.col("row.text")).otherwise(kept).alias("kept_text"),
         F.size("at").cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(F.size(opens), F.lit(0)).cast("bigint").alias("n_runs"),
         F.coalesce("copied", F.lit(0)).cast("bigint").alias("copied_lines"),
     )

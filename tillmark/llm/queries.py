@@ -39,7 +39,7 @@ def query(fn: Query) -> Query:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines kept and removed, with the digest of what stays, for every document."""
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
-        "row.doc_id", "n_lines", "n_removed", "copied_lines",
+        "row.doc_id", "n_lines", "n_removed", "n_runs", "copied_lines",
         sha256_hex(F.coalesce("kept_text", F.lit(""))).alias("kept_sha256"),
     )
 
@@ -87,6 +87,8 @@ WITH all_lines AS (
 )
 SELECT d.doc_id, coalesce((SELECT count(*) FROM worded w WHERE w.doc_id = d.doc_id), 0) AS n_lines,
        coalesce((SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id), 0) AS n_removed,
+       coalesce((SELECT count(*) FROM gone g ANTI JOIN gone b ON b.doc_id = g.doc_id AND b.pos = g.pos - 1
+                 WHERE g.doc_id = d.doc_id), 0) AS n_runs,
        coalesce(c.m, 0) AS copied_lines, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN copied c USING (doc_id)
 """
