@@ -22,6 +22,10 @@ CUSTOMER, STORE, SALES_TEAM = "customer", "store", "sales_team"
 DIMENSIONS = (CUSTOMER, STORE, SALES_TEAM)
 # In place of names of small dimensions: join all by shuffling, whatever Spark takes their size for.
 ALL_LARGE = frozenset({"all by shuffling"})
+# Among names of small dimensions: of this one only the keys fit, as words of bits (``key_words``).
+CUSTOMER_KEYS = "keys of customer"
+# Keys a word stands for.
+KEYS_A_WORD = 64
 
 # Fixed value: the columns of a sale that go on when its customer is joined.
 KEPT_COLUMNS = ("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
@@ -96,9 +100,24 @@ def _keys(dim: DataFrame, column: str, key: str) -> DataFrame:
     return dim.select(F.col(column).alias(key))
 
 
+def key_words(dim: DataFrame, column: str) -> DataFrame:
+    """``block, bits``: a row for up to ``KEYS_A_WORD`` neighbouring integer keys, a bit for each."""
+    bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63 AS int))")
+    return dim.select(F.shiftright(column, 6).alias("block"), bit.alias("bit")).groupBy("block").agg(
+        F.bit_or("bit").alias("bits"))
+
+
 def known_customer(sales: DataFrame, customer: DataFrame, small: Collection[str] = ()
                    ) -> DataFrame:
-    """Sales of known customers; for results that need none of the customer's columns."""
+    """Sales of known customers; for results that need none of the customer's columns.
+
+    Customers too many to broadcast may be checked by the bits of their keys, without a shuffle.
+    """
+    if CUSTOMER_KEYS in small:
+        words = F.broadcast(key_words(customer, "customer_id"))
+        known = (F.shiftright("customer_id", 6) == F.col("block")) & (
+            F.expr("getbit(bits, cast(customer_id & 63 AS int))") == 1)
+        return sales.join(words, known, "left_semi")
     keys = _keys(customer, "customer_id", "customer_id")
     return sales.join(sized(keys, CUSTOMER, small), "customer_id", "left_semi")
 

@@ -40,12 +40,13 @@ def _widths(name: str, df: DataFrame) -> DataFrame:
 
 
 def small_tables(tables: Mapping[str, DataFrame], max_bytes: int = MAX_BROADCAST_BYTES,
-                 max_rows: int = MAX_BROADCAST_ROWS) -> frozenset[str]:
+                 max_rows: int = MAX_BROADCAST_ROWS, narrowed: int = 1) -> frozenset[str]:
     """Names of the tables that fit the limits, by counting their rows and bytes.
 
-    One job measures all of them. A table whose files alone exceed the limit is not read.
+    One job measures all of them. A table whose files alone exceed ``narrowed`` times the limit is
+    not read: so many rows of its files may become one.
     """
-    likely = {n: df for n, df in tables.items() if estimated_bytes(df) <= max_bytes}
+    likely = {n: df for n, df in tables.items() if estimated_bytes(df) <= narrowed * max_bytes}
     if not likely:
         return frozenset()
     measured = (

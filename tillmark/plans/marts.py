@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tillmark.functions.columns import full_name, sales_month
 from tillmark.operators.enrich import (
     CUSTOMER,
+    CUSTOMER_KEYS,
     SALES_TEAM,
     STORE,
     customer_columns,
@@ -87,7 +88,8 @@ def _monthly_base(sales: DataFrame, checks: Collection[str], small: Collection[s
     hot any more.
     """
     dated = with_month_start(sales).select(*ALL_KEYS, "total_cost")
-    return dated if set(checks) <= set(small) else monthly_totals(dated, ALL_KEYS)
+    cheap = {*small, CUSTOMER} if CUSTOMER_KEYS in small else set(small)
+    return dated if set(checks) <= cheap else monthly_totals(dated, ALL_KEYS)
 
 
 def customer_monthly_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,

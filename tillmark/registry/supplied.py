@@ -11,7 +11,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.operators.enrich import CUSTOMER, SALES_TEAM, STORE
+from tillmark.operators.enrich import (
+    CUSTOMER,
+    CUSTOMER_KEYS,
+    KEYS_A_WORD,
+    SALES_TEAM,
+    STORE,
+    key_words,
+)
 from tillmark.operators.sizing import small_tables
 from tillmark.schema import MONEY
 
@@ -156,7 +163,11 @@ def _measured(spark: SparkSession, sf_dir: str) -> frozenset[str]:
     small = small_tables({**names, **tables})
     if not names.keys() <= small:
         return frozenset()
-    return frozenset({STORE, *(small & tables.keys())})
+    found = {STORE, *(small & tables.keys())}
+    if CUSTOMER not in found:
+        words = {CUSTOMER_KEYS: key_words(tables[CUSTOMER], "c_custkey")}
+        found |= small_tables(words, narrowed=KEYS_A_WORD)
+    return frozenset(found)
 
 
 def star(spark: SparkSession, sf_dir: str, narrowed: bool = False, products: bool = False) -> Star:
