@@ -31,6 +31,18 @@ class ByteNetwork:
     def _parameters(self) -> list[np.ndarray]:
         return [*self.tables, *self.bias, self.out, self.out_bias]
 
+    def flat(self) -> np.ndarray:
+        """All parameters in a row."""
+        return np.concatenate([p.ravel() for p in self._parameters()])
+
+    def set_flat(self, values: np.ndarray) -> None:
+        """Takes parameters as ``flat`` gives them."""
+        at = 0
+        for p in self._parameters():
+            p[...] = values[at: at + p.size].reshape(p.shape)
+            at += p.size
+        self._pairs = None
+
     def _pooled(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """The largest value of each filter, and where it is."""
         top, where = [], []
