@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import gzip
+from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
-from tillmark.storage import fresh_folder, stored, write_bytes
+from tillmark.storage import fresh_folder, stored, together, write_bytes
 
 # The shapes files come in. The three good ones hold the line items by return flag.
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"
@@ -18,6 +20,8 @@ NO_STORE, NOTES = "no_store", "notes"
 # Sales of a file, and how many files have the few notes.
 ROWS_A_FILE = 10_000
 NOTES_FILES = 3
+# The file a sale goes to.
+_FILE = "file_number"
 
 # A folder of odd files, one or more for each nation.
 ODD = "odd"
@@ -42,7 +46,19 @@ class Shop:
         self.count = {r["l_returnflag"]: r["count"] for r in flags}
 
     def _write(self, df: DataFrame, shape: str, files: int) -> None:
-        df.repartition(files).write.option("header", True).csv(f"{self.landing}/{shape}")
+        """As many files, of much the same size.
+
+        Rows say by their place which file they go to, some neighbours to the same: so Spark need not
+        sort them first, as it does to deal rows out alike when a task is repeated. Tasks move their
+        files into place themselves; a repeated one writes the same names.
+        """
+        turn = F.shiftright(F.monotonically_increasing_id(), 4) + F.hash(F.spark_partition_id()).cast("bigint")
+        dealt = df.withColumn(_FILE, F.pmod(turn, F.lit(files)).cast("int")).repartitionById(files, F.col(_FILE))
+        dealt.drop(_FILE).write.option("header", True).option(
+            "mapreduce.fileoutputcommitter.algorithm.version", "2").csv(f"{self.landing}/{shape}")
+
+    def add_all(self, shapes: Sequence[str]) -> None:
+        together(self.spark, *[partial(self.add, shape) for shape in shapes])
 
     def add(self, shape: str) -> None:
         """The sales of a shape, or files that are none; more files the more sales there are."""
@@ -71,8 +87,7 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
     CSV. ``bad_cells`` writes ``n/a`` for the quantity of sales of more than 45 pieces.
     """
     shop = Shop(spark, sf_dir, bad_cells)
-    for shape in (PLAIN, EXTRA, REORDERED, *((NO_STORE, NOTES) if bad_files else ())):
-        shop.add(shape)
+    shop.add_all((PLAIN, EXTRA, REORDERED, *((NO_STORE, NOTES) if bad_files else ())))
     return shop.landing
 
 

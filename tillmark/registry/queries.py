@@ -456,8 +456,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, monthly: str = "runs") -> tuple[
     conf = BatchConfig(landing=shop.landing, root=f"{folder}/out", monthly=monthly, by_month_and_store=False,
                        dimensions=_dimension_files(spark, sf_dir, folder))
     for wave in WAVES:
-        for shape in wave:
-            shop.add(shape)
+        shop.add_all(wave)
         run_arrivals(spark, conf, f"{folder}/archive")
     run_arrivals(spark, conf, f"{folder}/archive")
     return conf, f"{folder}/archive"
