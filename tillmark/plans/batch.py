@@ -19,7 +19,7 @@ from tillmark.operators.enrich import CUSTOMER, DIMENSIONS, SALES_TEAM, STORE, u
 from tillmark.operators.sizing import small_tables
 from tillmark.operators.monthly import CUSTOMER_MONTH, SELLER_MONTH
 from tillmark.plans import marts
-from tillmark.plans.months import merge_run, read_months
+from tillmark.plans.months import Finish, note_run, read_months, rewrite_months, totals_of_run
 from tillmark.plans.ledger import (
     current_state,
     keep_small,
@@ -31,7 +31,7 @@ from tillmark.plans.ledger import (
 from tillmark.schema import INACTIVE
 from tillmark.sinks.parquet import publish_snapshot, write_mart
 from tillmark.sinks.quarantine import quarantine_files, quarantine_rows, quarantined_files
-from tillmark.storage import fresh_folder, remove_folder, stored
+from tillmark.storage import fresh_folder, remove_folder, stored, together
 from tillmark.sinks.tables import append_run, append_table
 from tillmark.sources.catalog import build_manifest, file_catalog, split_manifest
 from tillmark.sources.dimensions import (
@@ -248,16 +248,24 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
     star = (sales, dims[CUSTOMER], dims[STORE], dims[SALES_TEAM], small)
 
     # The marts hold the sales whose keys are known: sums start from them, with no join of sales.
-    customers = publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch)
-    team = publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch)
+    customers, team = together(
+        spark, lambda: publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch),
+        lambda: publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch))
     team_mart = spark.read.parquet(team)
-    if conf.by_month_and_store:
-        publish_snapshot(team_mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)
-    for name, result in (
-        (CUSTOMER_MONTHLY,
-         marts.customer_monthly_of_mart(spark.read.parquet(customers), dims[CUSTOMER], small)),
-        (SELLER_MONTHLY, marts.seller_monthly_of_mart(team_mart, dims[SALES_TEAM], small)),
-    ):
+
+    def by_month_and_store() -> None:
+        if conf.by_month_and_store:
+            publish_snapshot(team_mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)
+
+    def monthly(name: str, mart: DataFrame, of_mart: Finish, finish: Finish) -> None:
+        month, keys = MONTHS[name]
+        root, touched = f"{conf.root}/months/{name}", []
+        if conf.monthly == "months":
+            # Sales are summed once: the run's own table starts from what it has noted.
+            touched = note_run(mart, keys, f"{root}/state", run_id)
+            result = finish(totals_of_run(spark, f"{root}/state", keys, run_id))
+        else:
+            result = of_mart(mart)
         published = publish_snapshot(result, conf.root, name, epoch)
         if name in conf.monthly_tables:
             rows, target = spark.read.parquet(published), conf.monthly_tables[name]
@@ -265,14 +273,16 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
                 append_run(rows, target, run_id, MONTHLY_KEYS[name])
             else:
                 append_table(rows, target)
-    if conf.monthly == "months":
-        for name, mart, finish in (
-            (CUSTOMER_MONTHLY, spark.read.parquet(customers),
-             lambda totals: marts.with_customer(totals, dims[CUSTOMER], small)),
-            (SELLER_MONTHLY, team_mart, lambda totals: marts.seller_months(totals, dims[SALES_TEAM], small)),
-        ):
-            month, keys = MONTHS[name]
-            merge_run(mart, keys, f"{conf.root}/months/{name}", run_id, finish, month)
+        rewrite_months(spark, keys, root, touched, finish, month)
+
+    together(
+        spark, by_month_and_store,
+        lambda: monthly(CUSTOMER_MONTHLY, spark.read.parquet(customers),
+                        lambda mart: marts.customer_monthly_of_mart(mart, dims[CUSTOMER], small),
+                        lambda totals: marts.with_customer(totals, dims[CUSTOMER], small)),
+        lambda: monthly(SELLER_MONTHLY, team_mart,
+                        lambda mart: marts.seller_monthly_of_mart(mart, dims[SALES_TEAM], small),
+                        lambda totals: marts.seller_months(totals, dims[SALES_TEAM], small)))
     if conf.audit_unmatched:
         write_mart(unmatched_sales(*star), f"{conf.root}/unmatched_sales/{epoch}")
     ledger_close(files, conf.ledger, run_id, max(run_ts, dt.datetime.now(dt.timezone.utc)))

@@ -55,6 +55,11 @@ def _replace_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
+def totals_of_run(spark: SparkSession, state: str, keys: Sequence[str], run_id: str) -> DataFrame:
+    """The sums that a run has noted, by ``keys``."""
+    return state_rows(spark, state, keys).where(F.col(RUN) == run_id).select(*keys, "total_cost")
+
+
 def note_run(mart: DataFrame, keys: Sequence[str], state: str, run_id: str) -> list[dt.date | None]:
     """Notes the sums of a run's mart by ``keys`` (ids and month) and returns the months touched.
 
@@ -66,8 +71,7 @@ def note_run(mart: DataFrame, keys: Sequence[str], state: str, run_id: str) -> l
     columns = _state_schema(keys).names
     noted = sums.withColumns({RUN: F.lit(run_id), "total_cost": F.col("total_cost").cast(_SUM)})
     _replace_partitions(noted.select(columns), state, MONTH, RUN)
-    spark = mart.sparkSession
-    own = state_rows(spark, state, keys).where(F.col(RUN) == run_id)
+    own = totals_of_run(mart.sparkSession, state, keys, run_id)
     return sorted((r[0] for r in own.select(MONTH).distinct().collect()), key=lambda m: (m is None, m))
 
 
@@ -85,12 +89,17 @@ def merge_run(mart: DataFrame, keys: Sequence[str], root: str, run_id: str, fini
     ``finish`` makes the published rows of whole months from their totals by ``keys``; ``month`` is the
     column of them that has the month as text.
     """
-    spark = mart.sparkSession
     touched = note_run(mart, keys, f"{root}/state", run_id)
+    rewrite_months(mart.sparkSession, keys, root, touched, finish, month)
+    return touched
+
+
+def rewrite_months(spark: SparkSession, keys: Sequence[str], root: str, touched: Sequence[dt.date | None],
+                   finish: Finish, month: str) -> None:
+    """The monthly table below ``root`` with these months made anew from the noted sums."""
     if touched:
         totals = month_totals(spark, f"{root}/state", keys, touched)
         _replace_partitions(finish(totals), f"{root}/months", month)
-    return touched
 
 
 def read_months(spark: SparkSession, root: str, month: str) -> DataFrame:
