@@ -1,6 +1,7 @@
 """The nightly run over small landing areas."""
 
 import datetime as dt
+import threading
 from decimal import Decimal as D
 
 import pytest
@@ -179,3 +180,27 @@ def test_doubled_dimension_rows_stop_the_run(spark, world, shop, tmp_path):
     with pytest.raises(DuplicateKey):
         run_batch(spark, conf, T1)
     assert set(statuses(spark, conf).values()) == {"A"}
+
+
+def test_files_are_quarantined_beside_the_run_which_stays_open_if_that_fails(spark, shop, monkeypatch):
+    conf, meet = shop(), threading.Barrier(2, timeout=60)
+    stage = batch.stage_files
+
+    def staged(*args):
+        meet.wait()
+        return stage(*args)
+
+    def fails(*_):
+        meet.wait()
+        raise OSError("no room")
+
+    with monkeypatch.context() as m:
+        m.setattr(batch, "stage_files", staged)
+        m.setattr(batch, "quarantine_files", fails)
+        with pytest.raises(OSError, match="no room"):
+            run_batch(spark, conf, T1)
+    assert statuses(spark, conf) == {"a.csv": "A", "b.csv": "A"}
+    assert quarantined_files(spark, conf.quarantine).count() == 0
+    run_batch(spark, shop(on_unfinished="resume"), T2)
+    assert set(statuses(spark, conf).values()) == {"I"}
+    assert quarantined_files(spark, conf.quarantine).count() == 2

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.registry import landing
-from tillmark.storage import child_files, fresh_folder, together
+from tillmark.storage import child_files, child_folders, fresh_folder, together
 
 
 def test_jobs_run_at_the_same_time_and_errors_are_raised_at_the_end(spark):
@@ -38,3 +38,16 @@ def test_as_many_landing_files_as_asked_for(spark, rows, files):
     assert len(names) == files and sorted(r["id"] for r in back.collect()) == list(range(rows))
     sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
     assert not sizes or max(sizes) <= 2 * rows / files
+
+
+def test_files_made_ready_land_when_told(spark):
+    shop = object.__new__(landing.Shop)
+    shop.spark, shop.sf_dir, shop.landing = spark, "/root/testdata/sf0.001", fresh_folder(spark, "landing")
+    land_them = shop.make_ready([landing.NOTES])
+    assert child_folders(spark, shop.landing) == []
+    land_them()
+    assert child_folders(spark, shop.landing) == [landing.NOTES]
+    names = child_files(spark, f"{shop.landing}/{landing.NOTES}")
+    assert sum(n.startswith("part") for n in names) == landing.NOTES_FILES
+    with pytest.raises(FileExistsError):
+        shop.make_ready([landing.NOTES])()

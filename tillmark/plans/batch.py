@@ -9,8 +9,9 @@ doubling anything.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,9 @@ from tillmark.streaming.intake import take_in
 from tillmark.sources.any_header import stage_files, with_faults
 from tillmark.sources.sales_csv import malformed, well_formed
 
+#: Sales, customer, store, sales team, and which of these are small.
+Star = tuple[DataFrame, DataFrame, DataFrame, DataFrame, Collection[str]]
+
 DIMENSION_KEYS = {CUSTOMER: "customer_id", STORE: "id", SALES_TEAM: "id"}
 
 CUSTOMER_MART = "customer_data_mart"
@@ -154,21 +158,22 @@ def _run(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime, work: str)
                       f"{work}/manifest")
     accepted, rejected = split_manifest(manifest)
     n_accepted, n_rejected = _counts(manifest)
-    if n_rejected:
-        quarantine_files(rejected, conf.quarantine, run_id)
+    keep = [lambda: quarantine_files(rejected, conf.quarantine, run_id)] if n_rejected else []
     if not n_accepted:
+        together(spark, *keep)
         raise NoUsableFiles(f"all {n_rejected} new files were rejected")
 
     runs = []
     for old in earlier:
         own = state.filter(F.col("run_id") == old).select(F.col("file_location").alias("path"))
         files = accepted.join(own, "path", "left_semi")
-        _process(spark, conf, files, old, run_ts, f"{work}/{old}")
+        _process(spark, conf, files, old, run_ts, f"{work}/{old}", keep)
+        keep = []
         runs.append(old)
     new = accepted.join(left_over, "path", "left_anti") if earlier else accepted
     if not new.isEmpty():
         ledger_open(new, conf.ledger, run_id, run_ts)
-        _process(spark, conf, new, run_id, run_ts, f"{work}/{run_id}")
+        _process(spark, conf, new, run_id, run_ts, f"{work}/{run_id}", keep)
         runs.append(run_id)
     return BatchReport(tuple(runs), n_accepted, n_rejected)
 
@@ -194,12 +199,13 @@ def run_arrivals(spark: SparkSession, conf: BatchConfig, archive: str, files_a_r
         manifest = stored(build_manifest(waiting, conf.landing, conf.header_method), f"{work}/manifest")
         accepted, rejected = split_manifest(manifest)
         n_accepted, n_rejected = _counts(manifest)
-        if n_rejected:
-            quarantine_files(rejected, conf.quarantine, run_id)
+        keep = [lambda: quarantine_files(rejected, conf.quarantine, run_id)] if n_rejected else []
         if n_accepted:
             ledger_open(accepted, conf.ledger, run_id, now)
-            _process(spark, conf, accepted, run_id, now, f"{work}/{run_id}")
+            _process(spark, conf, accepted, run_id, now, f"{work}/{run_id}", keep)
             runs.append(run_id)
+        elif n_rejected:
+            together(spark, *keep)
         counts["accepted"] += n_accepted
         counts["rejected"] += n_rejected
         remove_folder(spark, work)
@@ -232,58 +238,79 @@ def _counts(manifest: DataFrame) -> tuple[int, int]:
 
 
 def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: str,
-             run_ts: dt.datetime, work: str) -> None:
-    """One run over its accepted files, from reading to closing the ledger."""
+             run_ts: dt.datetime, work: str, beside: Sequence[Callable[[], None]] = ()) -> None:
+    """One run over its accepted files, from reading to closing the ledger.
+
+    What does not wait for one another runs at the same time, also the jobs ``beside``: the ledger is
+    closed only when these have succeeded as well.
+    """
     epoch = int(run_id)
-    staged = stage_files(spark, files, f"{work}/sales")
-    quarantine_rows(with_faults(malformed(staged), files), conf.quarantine, run_id)
-    sales = well_formed(staged)
 
-    dims = {}
-    for name in DIMENSIONS:
+    def dimension(name: str) -> DataFrame:
         # Read once per run: all results see the same rows, and a database is asked only once.
-        dims[name] = stored(read_dimension(spark, conf.dimensions[name]), f"{work}/{name}")
-        assert_unique_key(dims[name], [DIMENSION_KEYS[name]], name)
-    small = small_tables(dims)
-    star = (sales, dims[CUSTOMER], dims[STORE], dims[SALES_TEAM], small)
+        dim = stored(read_dimension(spark, conf.dimensions[name]), f"{work}/{name}")
+        assert_unique_key(dim, [DIMENSION_KEYS[name]], name)
+        return dim
+
+    def dimensions() -> tuple[dict[str, DataFrame], Collection[str]]:
+        dims = dict(zip(DIMENSIONS, together(spark, *[partial(dimension, n) for n in DIMENSIONS]), strict=True))
+        return dims, small_tables(dims)
+
+    def process() -> None:
+        staged, (dims, small) = together(
+            spark, lambda: stage_files(spark, files, f"{work}/sales"), dimensions)
+        star = (well_formed(staged), dims[CUSTOMER], dims[STORE], dims[SALES_TEAM], small)
+        together(
+            spark, lambda: quarantine_rows(with_faults(malformed(staged), files), conf.quarantine, run_id),
+            lambda: _publish(spark, conf, star, run_id, epoch))
+        if conf.audit_unmatched:
+            write_mart(unmatched_sales(*star), f"{conf.root}/unmatched_sales/{epoch}")
+
+    together(spark, process, *beside)
+    ledger_close(files, conf.ledger, run_id, max(run_ts, dt.datetime.now(dt.timezone.utc)))
+    keep_small(spark, conf.ledger)
 
-    # The marts hold the sales whose keys are known: sums start from them, with no join of sales.
-    customers, team = together(
-        spark, lambda: publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch),
-        lambda: publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch))
-    team_mart = spark.read.parquet(team)
 
-    def by_month_and_store() -> None:
-        if conf.by_month_and_store:
-            publish_snapshot(team_mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)
+def _publish(spark: SparkSession, conf: BatchConfig, star: Star, run_id: str, epoch: int) -> None:
+    """The marts, and what is summed from each as soon as it is there."""
+    _, customer, _, sales_team, small = star
 
     def monthly(name: str, mart: DataFrame, of_mart: Finish, finish: Finish) -> None:
         month, keys = MONTHS[name]
-        root, touched = f"{conf.root}/months/{name}", []
+        root = f"{conf.root}/months/{name}"
+
+        def own(result: DataFrame) -> None:
+            published = publish_snapshot(result, conf.root, name, epoch)
+            if name in conf.monthly_tables:
+                rows, target = spark.read.parquet(published), conf.monthly_tables[name]
+                if conf.run_column:
+                    append_run(rows, target, run_id, MONTHLY_KEYS[name])
+                else:
+                    append_table(rows, target)
+
         if conf.monthly == "months":
             # Sales are summed once: the run's own table starts from what it has noted.
             touched = note_run(mart, keys, f"{root}/state", run_id)
-            result = finish(totals_of_run(spark, f"{root}/state", keys, run_id))
+            together(spark, lambda: own(finish(totals_of_run(spark, f"{root}/state", keys, run_id))),
+                     lambda: rewrite_months(spark, keys, root, touched, finish, month))
         else:
-            result = of_mart(mart)
-        published = publish_snapshot(result, conf.root, name, epoch)
-        if name in conf.monthly_tables:
-            rows, target = spark.read.parquet(published), conf.monthly_tables[name]
-            if conf.run_column:
-                append_run(rows, target, run_id, MONTHLY_KEYS[name])
-            else:
-                append_table(rows, target)
-        rewrite_months(spark, keys, root, touched, finish, month)
-
-    together(
-        spark, by_month_and_store,
-        lambda: monthly(CUSTOMER_MONTHLY, spark.read.parquet(customers),
-                        lambda mart: marts.customer_monthly_of_mart(mart, dims[CUSTOMER], small),
-                        lambda totals: marts.with_customer(totals, dims[CUSTOMER], small)),
-        lambda: monthly(SELLER_MONTHLY, team_mart,
-                        lambda mart: marts.seller_monthly_of_mart(mart, dims[SALES_TEAM], small),
-                        lambda totals: marts.seller_months(totals, dims[SALES_TEAM], small)))
-    if conf.audit_unmatched:
-        write_mart(unmatched_sales(*star), f"{conf.root}/unmatched_sales/{epoch}")
-    ledger_close(files, conf.ledger, run_id, max(run_ts, dt.datetime.now(dt.timezone.utc)))
-    keep_small(spark, conf.ledger)
+            own(of_mart(mart))
+
+    # The marts hold the sales whose keys are known: sums start from them, with no join of sales.
+    def of_customers() -> None:
+        path = publish_snapshot(marts.customer_mart(*star), conf.root, CUSTOMER_MART, epoch)
+        monthly(CUSTOMER_MONTHLY, spark.read.parquet(path),
+                lambda mart: marts.customer_monthly_of_mart(mart, customer, small),
+                lambda totals: marts.with_customer(totals, customer, small))
+
+    def of_team() -> None:
+        path = publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch)
+        mart = spark.read.parquet(path)
+        layout = [lambda: publish_snapshot(mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)]
+        together(
+            spark, *(layout if conf.by_month_and_store else []),
+            lambda: monthly(SELLER_MONTHLY, mart,
+                            lambda mart: marts.seller_monthly_of_mart(mart, sales_team, small),
+                            lambda totals: marts.seller_months(totals, sales_team, small)))
+
+    together(spark, of_customers, of_team)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gzip
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from copy import copy
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
-from tillmark.storage import fresh_folder, stored, together, write_bytes
+from tillmark.storage import child_folders, fresh_folder, move_folder, stored, together, write_bytes
 
 # The shapes files come in. The three good ones hold the line items by return flag.
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"
@@ -60,6 +61,18 @@ class Shop:
     def add_all(self, shapes: Sequence[str]) -> None:
         together(self.spark, *[partial(self.add, shape) for shape in shapes])
 
+    def make_ready(self, shapes: Sequence[str]) -> Callable[[], None]:
+        """Writes files of these shapes aside; what is returned lets them land."""
+        aside = copy(self)
+        aside.landing = fresh_folder(self.spark, "aside")
+        aside.add_all(shapes)
+
+        def land_them() -> None:
+            for shape in child_folders(self.spark, aside.landing):
+                move_folder(self.spark, f"{aside.landing}/{shape}", f"{self.landing}/{shape}")
+
+        return land_them
+
     def add(self, shape: str) -> None:
         """The sales of a shape, or files that are none; more files the more sales there are."""
         if shape == NOTES:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ from tillmark.registry.landing import (
 from tillmark.registry.supplied import star
 from tillmark.schema import ACTIVE, CANONICAL, INACTIVE, SALES_SCHEMA
 from tillmark.sinks import bucketed, committed, parquet, quarantine, tables
-from tillmark.storage import fresh_folder, stored
+from tillmark.storage import fresh_folder, stored, together
 from tillmark.sources import any_header, sales_csv
 from tillmark.sources.catalog import (
     build_manifest,
@@ -389,8 +390,7 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _batch(spark: SparkSession, sf_dir: str) -> BatchConfig:
     """The nightly run over landed files, two of them odd, twice."""
     folder = fresh_folder(spark, "batch")
-    dims = _dimension_files(spark, sf_dir, folder)
-    landing = land(spark, sf_dir)
+    dims, landing = together(spark, lambda: _dimension_files(spark, sf_dir, folder), lambda: land(spark, sf_dir))
     land_odd_files(spark, sf_dir, landing)
     conf = BatchConfig(
         landing=landing, root=f"{folder}/out", dimensions=dims,
@@ -450,15 +450,21 @@ def _dimension_files(spark: SparkSession, sf_dir: str, folder: str) -> dict[str,
 
 
 def _arrivals(spark: SparkSession, sf_dir: str, monthly: str = "runs") -> tuple[BatchConfig, str]:
-    """Sales that land in two waves, each taken in by a call, and a third call that finds nothing."""
+    """Sales that land in two waves, each taken in by a call, and a third call that finds nothing.
+
+    While a call takes in a wave, the next one is written aside.
+    """
     folder = fresh_folder(spark, "arrivals")
-    shop = Shop(spark, sf_dir)
+    shop, dims = together(spark, lambda: Shop(spark, sf_dir), lambda: _dimension_files(spark, sf_dir, folder))
     conf = BatchConfig(landing=shop.landing, root=f"{folder}/out", monthly=monthly, by_month_and_store=False,
-                       dimensions=_dimension_files(spark, sf_dir, folder))
-    for wave in WAVES:
-        shop.add_all(wave)
-        run_arrivals(spark, conf, f"{folder}/archive")
-    run_arrivals(spark, conf, f"{folder}/archive")
+                       dimensions=dims)
+    call = partial(run_arrivals, spark, conf, f"{folder}/archive")
+    shop.add_all(WAVES[0])
+    for wave in WAVES[1:]:
+        _, land_them = together(spark, call, partial(shop.make_ready, wave))
+        land_them()
+    call()
+    call()
     return conf, f"{folder}/archive"
 
 

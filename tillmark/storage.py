@@ -42,6 +42,16 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a folder; nothing may be at ``to`` yet."""
+    fs, target = _fs(spark, to)
+    if fs.exists(target):
+        raise FileExistsError(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_fs(spark, path)[1], target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     """A small file written from the driver."""
     fs, p = _fs(spark, path)
