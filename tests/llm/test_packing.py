@@ -136,3 +136,30 @@ def test_ids_stay_right_when_words_are_forgotten(library):
 
 def test_empty_table(docs_of):
     assert packing.pack(docs_of(), PATH).count() == 0
+
+
+def test_new_words_are_given_to_the_tokenizer_at_once(library):
+    class Counted:
+        given = 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.given += len(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    tokenizer = packing.WordTokenizer(open(PATH, encoding="utf-8").read())
+    tokenizer.tokenizer = counted = Counted()
+    letters = "abcdefghij"
+    text = " ".join(f"Qu{a}r{b}t{'.***' if a < b else ''}" for a in letters for b in letters)
+    assert tokenizer.encode(text) == struct.pack("<%dI" % len(i := library.encode(text).ids), *i)
+    assert counted.given <= 3
+
+
+@pytest.mark.parametrize("text", [
+    "İstanbul foo bar", "ΣΑΣ σς test", "Ω K kelvin", "café café ǅ",
+    "a b\tc don't we'll x,'s y'", "中文 가 jamo 가", "</w> a</w>b <s> s>", "Ⱟ Ᲊ new letters",
+    "\U00010d4a \U00016d40 odd", "word_a word_ word-- --word 12 x1.", "", "  x  "])
+def test_odd_words_have_the_ids_of_the_whole_text(library, text):
+    tokenizer = packing.WordTokenizer(open(PATH, encoding="utf-8").read())
+    for _ in range(2):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert tokenizer.encode(text) == struct.pack(f"<{len(ids)}I", *ids)

@@ -18,11 +18,13 @@ for each of the at most 2 * sqrt(capacity) classes an open bin and one that wait
 from __future__ import annotations
 
 import os
+import string
 import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -72,10 +74,13 @@ class WordTokenizer:
     """Ids of texts for a tokenizer that folds case and never joins across a space or line break.
 
     Most words come again and again: their ids are remembered, as they stand in the text and as
-    bare words in lower case, without the stops that follow them.
+    bare words in lower case, without the stops that follow them. Bare words that are new are given to
+    the tokenizer as one text: each is one piece there, and only a piece's last token ends with its
+    suffix.
     """
 
-    _STOPS = ".,;:!?"
+    # All of ASCII's but the apostrophe, which can begin a piece with letters.
+    _STOPS = string.punctuation.replace("'", "")
 
     def __init__(self, definition: str, remembered: tuple[int, int] = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -83,6 +88,18 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.words, self.bare = map(Remembered, remembered)
+        self.last = self._last_tokens()
+
+    def _last_tokens(self) -> np.ndarray | None:
+        """Which ids end a piece; None where the vocabulary does not tell for every piece."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        suffix, vocab = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        if not suffix or any(c + suffix not in vocab for c in ByteLevel.alphabet()):
+            return None
+        last = np.zeros(max(vocab.values()) + 1, bool)
+        last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return last
 
     def _parts(self, word: str) -> tuple[str, str]:
         """The bare word and its stops, where these are separate tokens; else the word as it is."""
@@ -93,24 +110,42 @@ class WordTokenizer:
             return core, low[len(core):]
         return word, ""
 
+    def _one_by_one(self, words: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return {x: struct.pack(f"<{len(ids)}I", *ids.ids) for x, ids in zip(words, found, strict=True)}
+
+    def _at_once(self, bare: list[str]) -> dict[str, bytes]:
+        if self.last is None or len(bare) < 2:
+            return self._one_by_one(bare)
+        found = self.tokenizer.encode_batch_fast([" ".join(bare)], add_special_tokens=False)[0].ids
+        ids = np.array(found, "<u4")
+        ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+        if len(ends) != len(bare):  # a word that is a letter's to Python only
+            return self._one_by_one(bare)
+        data = ids.tobytes()
+        return {x: data[4 * a: 4 * b] for x, a, b in zip(bare, [0, *ends], ends, strict=False)}
+
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
-        known = self.words.known
-        lacking = self.words.lacking(set(words))
-        if not lacking:
-            return b"".join(map(known.__getitem__, words))
-        parts = [self._parts(w) for w in lacking]
-        wanted = {x for p in parts for x in p}
-        new, bare = self.bare.lacking(wanted), self.bare.known
-        made = {}
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            made = {x: struct.pack(f"<{len(ids)}I", *ids.ids) for x, ids in zip(new, found, strict=True)}
-            self.bare.add(made)
-        ids_of = {x: made[x] if x in made else bare[x] for x in wanted}
-        fresh = {w: ids_of[core] + ids_of[stops] for w, (core, stops) in zip(lacking, parts, strict=True)}
-        self.words.add(fresh)
-        return b"".join([fresh[w] if w in fresh else known[w] for w in words])
+        found = list(map(self.words.known.get, words))
+        try:
+            return b"".join(found)
+        except TypeError:  # some are not known
+            places = [i for i, x in enumerate(found) if x is None]
+        lacking = dict.fromkeys([words[i] for i in places])
+        parts = list(map(self._parts, lacking))
+        new, bare = self.bare.lacking({x for p in parts for x in p}), self.bare.known
+        made = self._at_once([x for x in new if x.isalpha()])
+        made |= self._one_by_one([x for x in new if x not in made])
+        self.bare.add(made)
+        for w, (core, stops) in zip(lacking, parts, strict=True):
+            lacking[w] = (made[core] if core in made else bare[core]) + (made[stops] if stops in made else bare[stops])
+        self.words.add(lacking)
+        for i in places:
+            found[i] = lacking[words[i]]
+        return b"".join(found)
 
 
 def cut_lengths(n: int, capacity: int, smallest: int = 1) -> list[int]:
