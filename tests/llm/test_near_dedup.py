@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tillmark.llm import near_dedup as nd
 
@@ -175,3 +176,24 @@ def test_components(spark):
     for r in nd.components(df).collect():
         found[r["root"]["doc"]].add(r["node"]["doc"])
     assert dict(found) == {1: {1, 2, 3, 4}, 10: {10, 11, 12}, 5: {5, 6, 20}, 100: set(range(100, 118))}
+
+
+def test_texts_not_asked_for_are_left_out_before_sets_are_made(spark, monkeypatch):
+    docs = spark.range(2000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("txt"), "id")
+    asked = docs.where("id % 10 = 0").select("txt")
+    left = {r["id"] for r in nd._likely_asked(docs, asked).collect()}
+    assert set(range(0, 2000, 10)) <= left and len(left) < 220
+    monkeypatch.setattr(nd, "ASKED_BITS", 6)  # one word of bits: all of them may stay, none is lost
+    assert set(range(0, 2000, 10)) <= {r["id"] for r in nd._likely_asked(docs, asked).collect()}
+    assert nd._likely_asked(docs, asked.where("false")).count() == 0
+
+
+def test_samples_are_joined_to_the_rows_that_meet(spark):
+    node = "struct(cast(id as bigint) as doc, cast(cast(id as string) as binary) as txt) as node"
+    nodes = spark.range(4).selectExpr(
+        node, "cast('s' as binary) as samples", "array(7L, id) as bands",
+        "case when id = 3 then cast('o' as binary) end as once", "case when id = 3 then array(id, 2L) end as once_bands")
+    met = nd._meeting(nodes)
+    assert "samples" not in met.columns
+    rows = sorted((r["key"], r["band"], r["node"]["doc"], bytes(r["samples"])) for r in nd._with_samples(met, nodes).collect())
+    assert rows == [(2, 1, 2, b"s"), (2, 1, 3, b"o"), *[(7, 0, i, b"s") for i in range(4)]]

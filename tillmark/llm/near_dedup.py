@@ -61,6 +61,8 @@ HUBS_A_STAR = 3
 # Of 30 samples; at similarity 0.8 fewer than 15 agree once in 25,000 times.
 LEAST_AGREEING = SAMPLES // 2
 SURELY_NEAR = SAMPLES * 7 // 10
+# Bits that tell which texts are asked for: 16 MB broadcast at most, when nearly all of them are set.
+ASKED_BITS = 26
 
 _NO_ID = -(2 ** 63)
 
@@ -286,25 +288,34 @@ def _as_batch(a: list, b: list, key: list) -> pa.RecordBatch:
 
 
 def _meeting(nodes: DataFrame) -> DataFrame:
-    """``key``, ``band``, ``node`` and ``samples`` of the texts in each band with others; ``n``, how many
-    rows. A text may be in a band twice, by both of its samples."""
-    posts = nodes.select("node", "samples", F.posexplode("bands").alias("band", "key")).unionByName(
+    """``key``, ``band`` and ``node`` of the texts in each band with others; ``again``, whether by samples
+    of shingles counted once, and ``n``, how many rows. A text may be in a band twice, by both of its
+    samples. The samples are no part of it: they are ten times larger than the rest, and most bands
+    have one text."""
+    posts = nodes.select("node", F.lit(False).alias("again"), F.posexplode("bands").alias("band", "key")).unionByName(
         nodes.where("once IS NOT NULL").select(
-            "node", F.col("once").alias("samples"), F.posexplode("once_bands").alias("band", "key")))
+            "node", F.lit(True).alias("again"), F.posexplode("once_bands").alias("band", "key")))
     node = F.xxhash64("node")
     shared = kept_table(posts.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min(node).alias("least"), F.max(node).alias("most")
     ).where("least < most").select("key", "n"), "near-bands")
-    return kept_table(posts.join(shared, "key").select("key", "band", "node", "samples", "n"), "near-meeting")
+    return kept_table(posts.join(shared, "key").select("key", "band", "node", "again", "n"), "near-meeting")
+
+
+def _with_samples(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` (with ``node`` and ``again``) with the ``samples`` that they meet by, in place of ``again``."""
+    of = nodes.select(F.col("node").alias("of"), F.col("samples").alias("all"), "once")
+    return rows.join(of, F.col("node") == F.col("of")).withColumn(
+        "samples", F.when(F.col("again"), F.col("once")).otherwise(F.col("all"))).drop("of", "all", "once", "again")
 
 
 def _candidates(nodes: DataFrame, posts: DataFrame) -> DataFrame:
     """Pairs of texts, ``a`` before ``b``, that are worth deciding first."""
     parts = F.ceil(F.col("n") / MEET_AT_ONCE).cast("int")
     meeting = posts.select(
-        "key", "node", "samples", parts.alias("parts"),
+        "key", "node", "again", parts.alias("parts"),
         F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
-    found = kept_table(_pairs_of(meeting), "near-found")
+    found = kept_table(_pairs_of(_with_samples(meeting, nodes)), "near-found")
     pairs = found.where("b IS NOT NULL").select("a", "b")
     # Split bands: the hubs of the parts meet, the best of them are put to all texts of the band.
     hubs = found.where("b IS NULL").select("key", F.col("a").alias("node")).distinct()
@@ -358,11 +369,25 @@ def _shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("txt", "text").mapInArrow(run, "txt binary, `set` binary")
 
 
+def _likely_asked(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows whose ``txt`` is asked for, and some others: by a bit of its hash, so that no text is
+    shuffled. The bits are at most ``2 ** (ASKED_BITS - 6)`` rows of 64; the more texts are asked for,
+    the more others stay."""
+    def place(name: str) -> Column:
+        return F.xxhash64(name).bitwiseAND(F.lit((1 << ASKED_BITS) - 1))
+
+    bit = F.expr("shiftleft(1L, cast(place & 63 AS int))")
+    words = asked.select(place("txt").alias("place")).select(
+        F.shiftright("place", 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    known = (F.shiftright("place", 6) == F.col("word")) & (F.expr("getbit(bits, cast(place & 63 AS int))") == 1)
+    return docs.withColumn("place", place("txt")).join(F.broadcast(words), known, "left_semi").drop("place")
+
+
 def _sets_of(posts: DataFrame, docs: DataFrame) -> DataFrame:
     """``txt`` and ``set`` of the texts that meet others: made once for all that is decided of them."""
     asked = posts.select(F.col("node.txt").alias("txt")).distinct()
     # Copies of a text are one before they are shuffled. One plan for any size: merged, not broadcast.
-    one_each = _shingle_sets(docs).groupBy("txt").agg(F.first("set").alias("set"))
+    one_each = _shingle_sets(_likely_asked(docs, asked)).groupBy("txt").agg(F.first("set").alias("set"))
     return kept_table(one_each.join(asked.hint("merge"), "txt", "left_semi"), "near-sets")
 
 
@@ -428,12 +453,13 @@ def _together(members: DataFrame) -> DataFrame:
     return members.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
 
 
-def _links_left(posts: DataFrame, roots: DataFrame, sets: DataFrame, weights: np.ndarray,
+def _links_left(posts: DataFrame, nodes: DataFrame, roots: DataFrame, sets: DataFrame, weights: np.ndarray,
                 similarity: float) -> DataFrame | None:
     """Links among texts that met and are in different components; none if no pair is left."""
     met = kept_table(posts.join(roots, "node", "left").select(
-        "key", "band", "node", "samples", F.xxhash64(F.coalesce("root", "node")).alias("root")), "near-met")
-    members = kept_table(_together(_units(met)).mapInArrow(_with_open_pairs, _MEMBER), "near-left")
+        "key", "band", "node", "again", F.xxhash64(F.coalesce("root", "node")).alias("root")), "near-met")
+    units = _with_samples(_units(met), nodes).select("key", "i", "j", "side", "band", "root", "node", "samples")
+    members = kept_table(_together(units).mapInArrow(_with_open_pairs, _MEMBER), "near-left")
     if members.isEmpty():
         return None
     sent = sets.sparkSession.sparkContext.broadcast(weights)
@@ -481,9 +507,9 @@ def _units(met: DataFrame) -> DataFrame:
         F.pmod(F.xxhash64("node"), others)).cast("int")
     last = F.when(is_main, others).otherwise(others + mains) - 1
     dealt = met.join(bands, "key").select(
-        "key", side.alias("side"), F.explode(F.sequence(F.lit(0), last)).alias("to"), "band", "root", "node", "samples")
+        "key", side.alias("side"), F.explode(F.sequence(F.lit(0), last)).alias("to"), "band", "root", "node", "again")
     return dealt.select("key", F.least("side", "to").alias("i"), F.greatest("side", "to").alias("j"), "side",
-                        "band", "root", "node", "samples")
+                        "band", "root", "node", "again")
 
 
 # ---- classes ---------------------------------------------------------------------------------
@@ -546,7 +572,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     posts = _meeting(nodes)
     sets = _sets_of(posts, keyed)
     roots = components(_links(_candidates(nodes, posts), sets, weights, similarity))
-    more = _links_left(posts, roots, sets, weights, similarity)
+    more = _links_left(posts, nodes, roots, sets, weights, similarity)
     placed = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     if more is not None:
         # The links found last join components: only those are put together again, by their roots.
