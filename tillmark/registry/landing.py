@@ -21,8 +21,11 @@ NO_STORE, NOTES = "no_store", "notes"
 # Sales of a file, and how many files have the few notes.
 ROWS_A_FILE = 10_000
 NOTES_FILES = 3
-# The file a sale goes to.
-_FILE = "file_number"
+# Files that a task writes one after the other, and neighbours that go to the same task.
+FILES_A_WRITER = 16
+NEIGHBOURS = 4
+# The task that writes a sale.
+_WRITER = "writer"
 
 # A folder of odd files, one or more for each nation.
 ODD = "odd"
@@ -46,16 +49,28 @@ class Shop:
         flags = self.rows.groupBy("l_returnflag").count().collect()  # three flags
         self.count = {r["l_returnflag"]: r["count"] for r in flags}
 
-    def _write(self, df: DataFrame, shape: str, files: int) -> None:
-        """As many files, of much the same size.
+    def _write(self, df: DataFrame, shape: str, files: int, rows: int | None = None) -> None:
+        """As many files, of much the same size; ``rows`` is how many there are, if it is known.
 
-        Rows say by their place which file they go to, some neighbours to the same: so Spark need not
-        sort them first, as it does to deal rows out alike when a task is repeated. Tasks move their
-        files into place themselves; a repeated one writes the same names.
+        Rows say by their place which task they go to, some neighbours to the same: so Spark need not
+        sort them first, as it does to deal rows out alike when a task is repeated. A task writes its
+        files one after the other and moves them into place itself; a repeated one writes the same names.
+
+        Files are numbered, every ``writers``-th belongs to the same task, and neighbours go to the files in
+        turn: so a scan's task gives each writer its share but for twice ``NEIGHBOURS`` rows. A file takes a
+        little more than its share, so that a writer's last one is about half full: what all scan tasks
+        give too much or too little then makes no file more or less. Where it could, each file has a task.
         """
-        turn = F.shiftright(F.monotonically_increasing_id(), 4) + F.hash(F.spark_partition_id()).cast("bigint")
-        dealt = df.withColumn(_FILE, F.pmod(turn, F.lit(files)).cast("int")).repartitionById(files, F.col(_FILE))
-        dealt.drop(_FILE).write.option("header", True).option(
+        count = df.count() if rows is None else rows
+        spare = count / files / 2 - 2 * NEIGHBOURS * df.rdd.getNumPartitions()
+        writers = -(-files // FILES_A_WRITER) if spare > 1 else files
+        most = -(-files // writers)
+        turn = F.shiftright(F.monotonically_increasing_id(), NEIGHBOURS.bit_length() - 1) + F.hash(
+            F.spark_partition_id()).cast("bigint")
+        writer = F.pmod(F.pmod(turn, F.lit(files)), F.lit(writers)).cast("int")
+        dealt = df.withColumn(_WRITER, writer).repartitionById(writers, F.col(_WRITER)).drop(_WRITER)
+        cut = round(count / files * (1 + 1 / (2 * most))) if most > 1 else 0
+        dealt.write.option("header", True).option("maxRecordsPerFile", cut).option(
             "mapreduce.fileoutputcommitter.algorithm.version", "2").csv(f"{self.landing}/{shape}")
 
     def add_all(self, shapes: Sequence[str]) -> None:
@@ -81,7 +96,8 @@ class Shop:
             return
         if shape == NO_STORE:
             wanted = [c for c in MANDATORY if c != "store_id"]
-            self._write(self.rows.select(*wanted), shape, sum(self.count.values()) // ROWS_A_FILE + 1)
+            total = sum(self.count.values())
+            self._write(self.rows.select(*wanted), shape, total // ROWS_A_FILE + 1, total)
             return
         flag = RETURN_FLAG[shape]
         if flag not in self.count:
@@ -90,7 +106,7 @@ class Shop:
         coupon = F.concat(F.lit("c"), F.col("customer_id").cast("string")).alias("coupon")
         columns = {PLAIN: [*MANDATORY], EXTRA: [*MANDATORY, payment, coupon], REORDERED: [*reversed(MANDATORY)]}
         own = self.rows.filter(F.col("l_returnflag") == flag).select(*columns[shape])
-        self._write(own, shape, self.count[flag] // ROWS_A_FILE + 1)
+        self._write(own, shape, self.count[flag] // ROWS_A_FILE + 1, self.count[flag])
 
 
 def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bool = False) -> str:

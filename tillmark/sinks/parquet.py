@@ -46,12 +46,14 @@ def write_partitioned_mart(df: DataFrame, path: str, replace: str = "all") -> No
     """Overwrites the mart at ``path``, laid out by month and store.
 
     ``replace="all"`` replaces the whole mart, ``"touched"`` only the partitions that occur in
-    ``df``.
+    ``df``. The whole mart counts once it has its ``_SUCCESS``: so tasks move their files into place
+    themselves, instead of leaving all of them to the driver.
     """
-    mode = {"all": "static", "touched": "dynamic"}[replace]
+    mode, version = {"all": ("static", "2"), "touched": ("dynamic", "1")}[replace]
     (
         brought_together(df, PARTITION_COLUMNS).write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", version)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )

@@ -20,7 +20,7 @@ from tillmark.functions.columns import extra_columns, plain_path
 from tillmark.operators.sizing import small_tables
 from tillmark.schema import ADDITIONAL, MANDATORY, MANDATORY_TYPES
 from tillmark.sources.sales_csv import RAW_LINE, SOURCE_FILE, STAGED_SCHEMA, stage_sales
-from tillmark.storage import literal_path
+from tillmark.storage import few_listers, literal_path
 
 FAULTS = "faults"
 #: The fault of a line that has not as many cells as its file's header.
@@ -47,11 +47,12 @@ def file_layouts(accepted: DataFrame) -> DataFrame:
 def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``source_file, line`` of all lines but blank ones and each file's header."""
     schema = f"line string, {RAW_LINE} string"
-    rows = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-        .option("sep", _NEVER).option("quote", "").option("columnNameOfCorruptRecord", RAW_LINE)
-        .csv([literal_path(p) for p in paths])
-    )
+    with few_listers(spark, len(paths)):
+        rows = (
+            spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+            .option("sep", _NEVER).option("quote", "").option("columnNameOfCorruptRecord", RAW_LINE)
+            .csv([literal_path(p) for p in paths])
+        )
     return rows.select(F.col("_metadata.file_path").alias(SOURCE_FILE),
                        F.coalesce(RAW_LINE, "line").alias("line"))
 

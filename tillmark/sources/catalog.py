@@ -24,7 +24,7 @@ from tillmark.functions.columns import (
     missing_columns,
     plain_path,
 )
-from tillmark.storage import hidden_files, literal_path, scheme_of
+from tillmark.storage import few_listers, hidden_files, literal_path, scheme_of
 
 # Tasks get this module's functions with their code, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -161,8 +161,10 @@ def _scan_headers(files: DataFrame) -> DataFrame:
     paths = [literal_path(r["path"]) for r in files.where("length > 0 AND NOT hidden").select("path").collect()]
     if not paths:
         return files.withColumns({"header": F.array().cast(_NAMES), "problem": F.lit(None).cast("string")})
+    with few_listers(spark, len(paths)):
+        text = spark.read.text(paths)
     lines = (
-        spark.read.text(paths)
+        text
         .select("value", F.col("_metadata.file_path").alias("encoded"),
                 F.col("_metadata.file_block_start").alias("block"))
         .filter((F.col("block") == 0) & F.col("value").rlike(r"\S"))

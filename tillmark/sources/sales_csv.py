@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tillmark.functions.columns import pack_extras
 from tillmark.schema import ADDITIONAL, MANDATORY, MANDATORY_TYPES, SALES_SCHEMA
-from tillmark.storage import literal_path
+from tillmark.storage import few_listers, literal_path
 
 SOURCE_FILE = "source_file"
 RAW_LINE = "malformed_line"
@@ -52,15 +52,16 @@ def read_layout(spark: SparkSession, header: Sequence[str], paths: Sequence[str]
         [T.StructField(n, MANDATORY_TYPES.get(n, T.StringType()), True) for n in header]
         + [T.StructField(raw, T.StringType(), True)]
     )
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", raw)
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv([literal_path(p) for p in paths])
-    )
+    with few_listers(spark, len(paths)):
+        rows = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", raw)
+            .option("dateFormat", "yyyy-MM-dd")
+            .csv([literal_path(p) for p in paths])
+        )
     extras = [n for n in header if n not in MANDATORY_TYPES]
     return conform(
         rows, extras,

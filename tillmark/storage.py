@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,24 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+#: Paths that a task of Spark's asks the store about, when it is given them to read.
+PATHS_A_LISTER = 64
+_LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_listing = Lock()
+
+
+@contextmanager
+def few_listers(spark: SparkSession, paths: int) -> Iterator[None]:
+    """So many paths are given to a reader within: Spark then asks about many in a task, instead of one."""
+    with _listing:
+        before = spark.conf.get(_LISTERS)
+        spark.conf.set(_LISTERS, str(min(int(before), max(1, -(-paths // PATHS_A_LISTER)))))
+        try:
+            yield
+        finally:
+            spark.conf.set(_LISTERS, before)
+
+
 def scheme_of(spark: SparkSession, path: str) -> str:
     """``file``, ``hdfs``, ``s3a`` ...; also for a path that leaves it to the cluster's default."""
     return _fs(spark, path)[0].getUri().getScheme()
