@@ -8,6 +8,7 @@ from tillmark.schema import MANDATORY
 from tillmark.sources.any_header import raw_lines
 from tillmark.sources.sales_csv import read_layout
 from tillmark.storage import child_files, few_listers, fresh_folder
+from tillmark.streaming.intake import take_in
 
 
 def written(spark, df, files, rows=None):
@@ -63,6 +64,25 @@ def test_many_files_are_listed_by_few_tasks(spark, tmp_path, read):
     assert spark.conf.get(setting) == before
 
 
+def test_a_stream_lists_arriving_files_by_no_more_tasks_than_cores(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(40):
+        (tmp_path / "in" / f"f{i}.csv").write_text("x\n")
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, seen, tasks = spark.conf.get(setting), [], []
+
+    def handle(files, number):
+        seen.extend(r["file_name"] for r in files.select("file_name").collect())
+        # The stream's jobs so far have its run as their group, as this one's thread has.
+        tracker, group = spark.sparkContext.statusTracker(), spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+        tasks.extend(tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(group)
+                     for s in tracker.getJobInfo(j).stageIds)
+
+    take_in(spark, f"{tmp_path}/in", f"{tmp_path}/archive", f"{tmp_path}/checkpoint", handle)
+    assert 0 < max(tasks) <= spark.sparkContext.defaultParallelism and spark.conf.get(setting) == before
+    assert sorted(seen) == sorted(f"f{i}.csv" for i in range(40))
+
+
 def test_the_setting_comes_back_after_an_error(spark):
     setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(setting)

@@ -36,7 +36,7 @@ def literal_path(path: str) -> str:
 
 #: Paths that a task of Spark's asks the store about, when it is given them to read.
 PATHS_A_LISTER = 64
-_LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 _listing = Lock()
 
 
@@ -44,12 +44,12 @@ _listing = Lock()
 def few_listers(spark: SparkSession, paths: int) -> Iterator[None]:
     """So many paths are given to a reader within: Spark then asks about many in a task, instead of one."""
     with _listing:
-        before = spark.conf.get(_LISTERS)
-        spark.conf.set(_LISTERS, str(min(int(before), max(1, -(-paths // PATHS_A_LISTER)))))
+        before = spark.conf.get(LISTERS)
+        spark.conf.set(LISTERS, str(min(int(before), max(1, -(-paths // PATHS_A_LISTER)))))
         try:
             yield
         finally:
-            spark.conf.set(_LISTERS, before)
+            spark.conf.set(LISTERS, before)
 
 
 def scheme_of(spark: SparkSession, path: str) -> str:

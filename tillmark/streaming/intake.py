@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.columns import base_name
-from tillmark.storage import fresh_folder, remove_folder
+from tillmark.storage import LISTERS, fresh_folder, remove_folder
 
 #: What Spark's binary source has; the contents are never selected, so they are not read.
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -63,9 +63,13 @@ def take_in(spark: SparkSession, landing: str, archive: str, checkpoint: str, ha
         remove_folder(spark, path)
         done.append(number)
 
-    movers = "spark.sql.streaming.fileSource.cleaner.numThreads"
-    before = spark.conf.get(movers, None)
-    spark.conf.set(movers, str(MOVERS))
+    # The source gives its reader each batch's paths one by one, and those of the last batch again when a
+    # call begins: it asks about them in the caller's session, by no more tasks than there are cores.
+    settings = {"spark.sql.streaming.fileSource.cleaner.numThreads": str(MOVERS),
+                LISTERS: str(spark.sparkContext.defaultParallelism)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         stream = (
             arriving_files(spark, landing, archive, files_a_batch)
@@ -74,8 +78,9 @@ def take_in(spark: SparkSession, landing: str, archive: str, checkpoint: str, ha
         )
         stream.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(movers)
-        else:
-            spark.conf.set(movers, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     return done
