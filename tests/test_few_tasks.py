@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tillmark.registry import landing
 from tillmark.schema import MANDATORY
 from tillmark.sources.any_header import raw_lines
+from tillmark.sources.catalog import file_catalog
 from tillmark.sources.sales_csv import read_layout
 from tillmark.storage import child_files, few_listers, fresh_folder
 from tillmark.streaming.intake import take_in
@@ -83,6 +84,18 @@ def test_a_stream_lists_arriving_files_by_no_more_tasks_than_cores(spark, tmp_pa
     assert sorted(seen) == sorted(f"f{i}.csv" for i in range(40))
 
 
+def test_files_are_listed_by_one_scan_beside_empty_ones(spark, tmp_path):
+    for name, text in {"a.csv": "x\n", "odd name+%41.csv": "yy\n", "empty.csv": "", "_hidden.csv": "z\n"}.items():
+        (tmp_path / name).write_text(text)
+    catalog = file_catalog(spark, str(tmp_path))
+    assert catalog._jdf.queryExecution().optimizedPlan().toString().count("binaryFile") == 1
+    found = {r["file_name"]: r for r in catalog.collect()}
+    assert len(found) == catalog.count() == 4
+    assert {n: (r["length"], r["hidden"], r["modificationTime"].year > 1970) for n, r in found.items()} == {
+        "a.csv": (2, False, True), "odd name+%41.csv": (3, False, True), "empty.csv": (0, False, False),
+        "_hidden.csv": (2, True, True)}
+
+
 def test_the_setting_comes_back_after_an_error(spark):
     setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(setting)

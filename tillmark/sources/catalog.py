@@ -63,7 +63,7 @@ def file_catalog(spark: SparkSession, landing: str) -> DataFrame:
     if not len(names) and not hidden:
         raise NoInputFiles(f"no files below {landing}")
     if len(names) > listing.count():
-        listing = listing.unionByName(_empty_files(listing, names))
+        listing = _with_empty_files(listing, names)
     listing = listing.withColumn("hidden", F.lit(False))
     if hidden:
         unlisted = spark.createDataFrame(hidden, "path string, changed bigint, length bigint").select(
@@ -73,16 +73,19 @@ def file_catalog(spark: SparkSession, landing: str) -> DataFrame:
     return listing.withColumn("file_name", base_name("path"))
 
 
-def _empty_files(listing: DataFrame, names) -> DataFrame:
-    """Files of length 0, which a scan leaves out, from the names in Spark's file index."""
+def _with_empty_files(listing: DataFrame, names) -> DataFrame:
+    """The listing with files of length 0, which a scan leaves out, from the names in Spark's file index.
+
+    Joined so that the files, which the scan asks the store about one by one, are scanned once.
+    """
     spark = listing.sparkSession
     # One call for all names; they are percent-encoded and hold no line break.
     text = spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join("\n", names)
     encoded = spark.createDataFrame([(n,) for n in text.split("\n")], "value string")
     path = F.regexp_replace(plain_path("value"), "^file:/+", "file:/")
-    return encoded.select(path.alias("path")).join(listing, "path", "left_anti").select(
-        "path", F.timestamp_seconds(F.lit(0)).alias("modificationTime"),
-        F.lit(0).cast("bigint").alias("length"),
+    return listing.join(encoded.select(path.alias("path")), "path", "full").select(
+        "path", F.coalesce("modificationTime", F.timestamp_seconds(F.lit(0))).alias("modificationTime"),
+        F.coalesce("length", F.lit(0).cast("bigint")).alias("length"),
     )
 
 
