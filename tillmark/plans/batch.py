@@ -32,7 +32,7 @@ from tillmark.plans.ledger import (
 from tillmark.schema import INACTIVE
 from tillmark.sinks.parquet import publish_snapshot, write_mart
 from tillmark.sinks.quarantine import quarantine_files, quarantine_rows, quarantined_files
-from tillmark.storage import fresh_folder, remove_folder, stored, together
+from tillmark.storage import fresh_folder, remove_folder, shuffles_removed, stored, together
 from tillmark.sinks.tables import append_run, append_table
 from tillmark.sources.catalog import build_manifest, file_catalog, split_manifest
 from tillmark.sources.dimensions import (
@@ -133,7 +133,8 @@ def run_batch(spark: SparkSession, conf: BatchConfig, run_ts: dt.datetime) -> Ba
     leaves the run open in the ledger.
     """
     work = fresh_folder(spark, "run")
-    report = _run(spark, conf, run_ts.astimezone(dt.timezone.utc), work)
+    with shuffles_removed(spark):
+        report = _run(spark, conf, run_ts.astimezone(dt.timezone.utc), work)
     remove_folder(spark, work)
     return report
 
@@ -210,7 +211,8 @@ def run_arrivals(spark: SparkSession, conf: BatchConfig, archive: str, files_a_r
         counts["rejected"] += n_rejected
         remove_folder(spark, work)
 
-    take_in(spark, conf.landing, archive, f"{conf.root}/intake", one, files_a_run)
+    with shuffles_removed(spark):
+        take_in(spark, conf.landing, archive, f"{conf.root}/intake", one, files_a_run)
     return BatchReport(tuple(runs), counts["accepted"], counts["rejected"])
 
 

@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
-from tillmark.storage import child_folders, fresh_folder, move_folder, stored, together, write_bytes
+from tillmark.storage import (
+    child_folders,
+    fresh_folder,
+    move_folder,
+    remove_folder,
+    shuffles_removed,
+    stored,
+    together,
+    write_bytes,
+)
 
 # The shapes files come in. The three good ones hold the line items by return flag.
 PLAIN, EXTRA, REORDERED = "plain", "extra", "reordered"
@@ -38,14 +47,19 @@ class Shop:
     def __init__(self, spark: SparkSession, sf_dir: str, bad_cells: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
         self.landing = fresh_folder(spark, "landing")
-        small = supplied.small_dimensions(spark, sf_dir)
-        derived = supplied.sales(spark, sf_dir, small, products=True,
+        self.stored = fresh_folder(spark, "sales")
+        with shuffles_removed(spark):
+            self._store(bad_cells)
+
+    def _store(self, bad_cells: bool) -> None:
+        small = supplied.small_dimensions(self.spark, self.sf_dir)
+        derived = supplied.sales(self.spark, self.sf_dir, small, products=True,
                                  keep=("l_returnflag", "l_linestatus"))
         if bad_cells:
             text = F.when(F.col("quantity") > 45, F.lit("n/a")).otherwise(
                 F.col("quantity").cast("string"))
             derived = derived.withColumn("quantity", text)
-        self.rows = stored(derived, fresh_folder(spark, "sales"))
+        self.rows = stored(derived, self.stored)
         flags = self.rows.groupBy("l_returnflag").count().collect()  # three flags
         self.count = {r["l_returnflag"]: r["count"] for r in flags}
 
@@ -74,7 +88,12 @@ class Shop:
             "mapreduce.fileoutputcommitter.algorithm.version", "2").csv(f"{self.landing}/{shape}")
 
     def add_all(self, shapes: Sequence[str]) -> None:
-        together(self.spark, *[partial(self.add, shape) for shape in shapes])
+        with shuffles_removed(self.spark):
+            together(self.spark, *[partial(self.add, shape) for shape in shapes])
+
+    def close(self) -> None:
+        """All that was to land has landed: the stored sales go."""
+        remove_folder(self.spark, self.stored)
 
     def make_ready(self, shapes: Sequence[str]) -> Callable[[], None]:
         """Writes files of these shapes aside; what is returned lets them land."""
@@ -117,6 +136,7 @@ def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bo
     """
     shop = Shop(spark, sf_dir, bad_cells)
     shop.add_all((PLAIN, EXTRA, REORDERED, *((NO_STORE, NOTES) if bad_files else ())))
+    shop.close()
     return shop.landing
 
 

@@ -463,6 +463,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, monthly: str = "runs") -> tuple[
     for wave in WAVES[1:]:
         _, land_them = together(spark, call, partial(shop.make_ready, wave))
         land_them()
+    shop.close()
     call()
     call()
     return conf, f"{folder}/archive"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
@@ -52,6 +53,36 @@ def few_listers(spark: SparkSession, paths: int) -> Iterator[None]:
             spark.conf.set(LISTERS, before)
 
 
+#: Whether Spark removes a query's shuffle files when the query ends.
+FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_within: Counter[str] = Counter()
+_before: dict[str, str] = {}
+_going = Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is run within leaves no shuffle files: each query's are removed when it ends.
+
+    Else they stay until the driver happens to collect its garbage, so that a run of many steps holds
+    all of its shuffles on disk. For steps that each plan anew what they run, as those that end in files
+    do; a frame that is run twice would be shuffled again. May be nested, also side by side.
+    """
+    app = spark.sparkContext.applicationId
+    with _going:
+        _within[app] += 1
+        if _within[app] == 1:
+            _before[app] = spark.conf.get(FILES_GO, "false")
+            spark.conf.set(FILES_GO, "true")
+    try:
+        yield
+    finally:
+        with _going:
+            _within[app] -= 1
+            if not _within[app]:
+                spark.conf.set(FILES_GO, _before.pop(app))
+
+
 def scheme_of(spark: SparkSession, path: str) -> str:
     """``file``, ``hdfs``, ``s3a`` ...; also for a path that leaves it to the cluster's default."""
     return _fs(spark, path)[0].getUri().getScheme()
