@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gzip
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Collection, Sequence
 from copy import copy
 from functools import partial
 
@@ -13,8 +14,12 @@ from pyspark.sql import functions as F
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
 from tillmark.storage import (
+    child_files,
     child_folders,
+    count_files,
+    few_listers,
     fresh_folder,
+    literal_path,
     move_folder,
     remove_folder,
     shuffles_removed,
@@ -33,6 +38,8 @@ NOTES_FILES = 3
 # Files that a task writes one after the other, and neighbours that go to the same task.
 FILES_A_WRITER = 16
 NEIGHBOURS = 4
+# One of so many of the files that the sales are stored in has those that are dealt out to landing files.
+STORED_A_DEALT = 16
 # The task that writes a sale.
 _WRITER = "writer"
 
@@ -60,15 +67,50 @@ class Shop:
                 F.col("quantity").cast("string"))
             derived = derived.withColumn("quantity", text)
         self.rows = stored(derived, self.stored)
-        flags = self.rows.groupBy("l_returnflag").count().collect()  # three flags
-        self.count = {r["l_returnflag"]: r["count"] for r in flags}
+        names = sorted(n for n in child_files(self.spark, self.stored) if n.startswith("part-"))
+        cut = -(-len(names) // STORED_A_DEALT)
+        self.rest, self.most = self._of_files(names[:cut]), self._of_files(names[cut:])
+        self.of_rest, self.of_most = together(self.spark, *[partial(self._by_flag, d) for d in (self.rest, self.most)])
+
+    def _of_files(self, names: list[str]) -> DataFrame:
+        with few_listers(self.spark, len(names)):
+            return self.spark.read.schema(self.rows.schema).parquet(
+                *[literal_path(f"{self.stored}/{n}") for n in names]) if names else self.rows.limit(0)
+
+    @staticmethod
+    def _by_flag(rows: DataFrame) -> dict[str, int]:
+        return {r["l_returnflag"]: r["count"] for r in rows.groupBy("l_returnflag").count().collect()}  # three flags
+
+    def _land(self, make: Callable[[DataFrame], DataFrame], shape: str, flags: Collection[str]) -> None:
+        """What ``make`` makes of the sales with these flags, in a file for each full ``ROWS_A_FILE`` and one more.
+
+        Most are written by the tasks that scan them, without a shuffle, each task's last file being less
+        than full. The rest is dealt out to as many files as are lacking then, so that the number is right
+        whatever tasks Spark made; a file takes so many sales that these are of much the same size. Where
+        the tasks' last files would be too many for that, or there are no sales of a part, all are dealt out.
+        """
+        most, rest = (sum(part.get(f, 0) for f in flags) for part in (self.of_most, self.of_rest))
+        files, tasks = (most + rest) // ROWS_A_FILE + 1, self.most.rdd.getNumPartitions()
+        cut = math.ceil((most + rest) / (files - tasks / 2)) if files > tasks else 0
+        if most and cut and rest >= cut * tasks:
+            self._csv(make(self.most), shape, cut)
+            lacking = files - count_files(self.spark, f"{self.landing}/{shape}", "part-*")
+            if lacking > 0:
+                return self._write(make(self.rest), shape, lacking, rest)
+            remove_folder(self.spark, f"{self.landing}/{shape}")
+        return self._write(make(self.rows), shape, files, most + rest)
+
+    def _csv(self, df: DataFrame, shape: str, cut: int) -> None:
+        """Tasks write files one after the other, of ``cut`` rows if that is not 0, and move them into place
+        themselves; a repeated one writes the same names."""
+        df.write.mode("append").option("header", True).option("maxRecordsPerFile", cut).option(
+            "mapreduce.fileoutputcommitter.algorithm.version", "2").csv(f"{self.landing}/{shape}")
 
     def _write(self, df: DataFrame, shape: str, files: int, rows: int | None = None) -> None:
         """As many files, of much the same size; ``rows`` is how many there are, if it is known.
 
         Rows say by their place which task they go to, some neighbours to the same: so Spark need not
-        sort them first, as it does to deal rows out alike when a task is repeated. A task writes its
-        files one after the other and moves them into place itself; a repeated one writes the same names.
+        sort them first, as it does to deal rows out alike when a task is repeated.
 
         Files are numbered, every ``writers``-th belongs to the same task, and neighbours go to the files in
         turn: so a scan's task gives each writer its share but for twice ``NEIGHBOURS`` rows. A file takes a
@@ -84,8 +126,7 @@ class Shop:
         writer = F.pmod(F.pmod(turn, F.lit(files)), F.lit(writers)).cast("int")
         dealt = df.withColumn(_WRITER, writer).repartitionById(writers, F.col(_WRITER)).drop(_WRITER)
         cut = round(count / files * (1 + 1 / (2 * most))) if most > 1 else 0
-        dealt.write.option("header", True).option("maxRecordsPerFile", cut).option(
-            "mapreduce.fileoutputcommitter.algorithm.version", "2").csv(f"{self.landing}/{shape}")
+        self._csv(dealt, shape, cut)
 
     def add_all(self, shapes: Sequence[str]) -> None:
         with shuffles_removed(self.spark):
@@ -115,17 +156,15 @@ class Shop:
             return
         if shape == NO_STORE:
             wanted = [c for c in MANDATORY if c != "store_id"]
-            total = sum(self.count.values())
-            self._write(self.rows.select(*wanted), shape, total // ROWS_A_FILE + 1, total)
+            self._land(lambda rows: rows.select(*wanted), shape, self.of_most.keys() | self.of_rest.keys())
             return
         flag = RETURN_FLAG[shape]
-        if flag not in self.count:
+        if flag not in self.of_most and flag not in self.of_rest:
             return
         payment = F.when(F.col("l_linestatus") == "O", F.lit("cash")).alias("payment_mode")
         coupon = F.concat(F.lit("c"), F.col("customer_id").cast("string")).alias("coupon")
         columns = {PLAIN: [*MANDATORY], EXTRA: [*MANDATORY, payment, coupon], REORDERED: [*reversed(MANDATORY)]}
-        own = self.rows.filter(F.col("l_returnflag") == flag).select(*columns[shape])
-        self._write(own, shape, self.count[flag] // ROWS_A_FILE + 1, self.count[flag])
+        self._land(lambda rows: rows.filter(F.col("l_returnflag") == flag).select(*columns[shape]), shape, [flag])
 
 
 def land(spark: SparkSession, sf_dir: str, bad_files: bool = True, bad_cells: bool = False) -> str:

@@ -127,6 +127,12 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
 
 
+def count_files(spark: SparkSession, path: str, pattern: str) -> int:
+    """How many names directly below ``path`` are of a pattern; the names stay with Spark's client."""
+    fs, p = _fs(spark, f"{literal_path(path)}/{pattern}")
+    return len(fs.globStatus(p) or [])
+
+
 def hidden_files(spark: SparkSession, root: str) -> list[tuple[str, int, int]]:
     """Path, milliseconds of change and length of files that Spark's readers do not list.
 
