@@ -6,8 +6,18 @@ from pathlib import Path
 
 import pytest
 
-from tillmark.plans.batch import BatchConfig, run_arrivals, run_batch
+from tillmark.operators.enrich import CUSTOMER, DIMENSIONS, STORE
+from tillmark.plans import batch, marts
+from tillmark.plans.batch import (
+    SALES_TEAM_MART,
+    SALES_TEAM_MART_PARTITIONED,
+    SELLER_MONTHLY,
+    BatchConfig,
+    run_arrivals,
+    run_batch,
+)
 from tillmark.registry import landing
+from tillmark.sinks import parquet
 from tillmark.sources.dimensions import FileTable
 from tillmark.storage import FILES_GO, child_folders, path_exists, shared_folder, shuffles_removed
 
@@ -41,8 +51,11 @@ def conf(world, tmp_path):
                        dimensions={n: FileTable(f"{tmp_path}/{n}") for n in ("customer", "store", "sales_team")})
 
 
+NIGHT = dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)
+
+
 @pytest.mark.parametrize("call", [
-    lambda spark, conf: run_batch(spark, conf, dt.datetime(2024, 5, 1, tzinfo=dt.timezone.utc)),
+    lambda spark, conf: run_batch(spark, conf, NIGHT),
     lambda spark, conf: run_arrivals(spark, conf, f"{conf.root}-archive")])
 def test_a_run_leaves_no_shuffle_files(spark, conf, call):
     before, setting = shuffle_files(spark), spark.conf.get(FILES_GO)
@@ -68,3 +81,20 @@ def test_landing_leaves_neither_shuffle_files_nor_the_stored_sales(spark):
     assert path_exists(spark, f"{landing.land(spark, SF)}/plain")
     assert not left_behind(spark, before)
     assert {n for n in child_folders(spark, shared_folder(spark)) if n.startswith("sales-")} == sales
+
+
+@pytest.mark.parametrize("small, narrow", [(DIMENSIONS, True), ((CUSTOMER, STORE), False), ((), False)])
+def test_names_of_a_small_team_are_not_shuffled_to_month_and_store(spark, conf, rows_of, monkeypatch, small, narrow):
+    shuffled, summed = [], []
+    together, sums = parquet.brought_together, marts.seller_monthly_of_mart
+    monkeypatch.setattr(batch, "small_tables", lambda _: frozenset(small))
+    monkeypatch.setattr(parquet, "brought_together", lambda *a: shuffled.append(together(*a)) or shuffled[-1])
+    monkeypatch.setattr(marts, "seller_monthly_of_mart", lambda mart, *a: summed.extend(mart.inputFiles()) or sums(mart, *a))
+    run_batch(spark, conf, NIGHT)
+    mart = parquet.latest_snapshot(spark, conf.root, SALES_TEAM_MART)
+    laid_out = parquet.latest_snapshot(spark, conf.root, SALES_TEAM_MART_PARTITIONED, partitioned=True)
+    assert rows_of(laid_out, *mart.columns) == rows_of(mart) and mart.count() == 1
+    assert dict(laid_out.dtypes) == dict(mart.dtypes)
+    assert [sorted(f.columns) for f in shuffled] == [sorted(marts.TEAM_SALE if narrow else mart.columns)]
+    assert summed and all(SALES_TEAM_MART_PARTITIONED in name for name in summed)
+    assert parquet.latest_snapshot(spark, conf.root, SELLER_MONTHLY).count() == 1

@@ -30,7 +30,7 @@ from tillmark.plans.ledger import (
     without_finished,
 )
 from tillmark.schema import INACTIVE
-from tillmark.sinks.parquet import publish_snapshot, write_mart
+from tillmark.sinks.parquet import publish_snapshot, read_partitioned_mart, write_mart
 from tillmark.sinks.quarantine import quarantine_files, quarantine_rows, quarantined_files
 from tillmark.storage import fresh_folder, remove_folder, shuffles_removed, stored, together
 from tillmark.sinks.tables import append_run, append_table
@@ -275,7 +275,7 @@ def _process(spark: SparkSession, conf: BatchConfig, files: DataFrame, run_id: s
 
 def _publish(spark: SparkSession, conf: BatchConfig, star: Star, run_id: str, epoch: int) -> None:
     """The marts, and what is summed from each as soon as it is there."""
-    _, customer, _, sales_team, small = star
+    _, customer, store, sales_team, small = star
 
     def monthly(name: str, mart: DataFrame, of_mart: Finish, finish: Finish) -> None:
         month, keys = MONTHS[name]
@@ -308,11 +308,15 @@ def _publish(spark: SparkSession, conf: BatchConfig, star: Star, run_id: str, ep
     def of_team() -> None:
         path = publish_snapshot(marts.sales_team_mart(*star), conf.root, SALES_TEAM_MART, epoch)
         mart = spark.read.parquet(path)
-        layout = [lambda: publish_snapshot(mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True)]
-        together(
-            spark, *(layout if conf.by_month_and_store else []),
-            lambda: monthly(SELLER_MONTHLY, mart,
-                            lambda mart: marts.seller_monthly_of_mart(mart, sales_team, small),
-                            lambda totals: marts.seller_months(totals, sales_team, small)))
+        if conf.by_month_and_store:
+            # Sellers and stores that fit in every task need not be shuffled with each of their sales.
+            narrow = (marts.TEAM_SALE, lambda rows: marts.with_team(rows, store, sales_team, small)) if (
+                {STORE, SALES_TEAM} <= set(small)) else None
+            laid_out = publish_snapshot(mart, conf.root, SALES_TEAM_MART_PARTITIONED, epoch, partitioned=True, narrow=narrow)
+            # A seller's sales of a month lie together there: a task's sums of them are few.
+            mart = read_partitioned_mart(spark, laid_out)
+        monthly(SELLER_MONTHLY, mart,
+                lambda mart: marts.seller_monthly_of_mart(mart, sales_team, small),
+                lambda totals: marts.seller_months(totals, sales_team, small))
 
     together(spark, of_customers, of_team)

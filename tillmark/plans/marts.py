@@ -64,9 +64,17 @@ def sales_team_mart(sales: DataFrame, customer: DataFrame, store: DataFrame,
     Name, address and pincode are the seller's; ``phone_number`` is the customer's, as only
     customers have one.
     """
-    rows = enrich_seller(
-        enrich_store(enrich_customer(sales, customer, small), store, small), sales_team, small
-    )
+    return with_team(enrich_customer(sales, customer, small), store, sales_team, small)
+
+
+#: What a row of the sales-team mart has that is not the store's or the seller's, and its month.
+TEAM_SALE = ("store_id", "sales_person_id", "phone_number", "sales_date", "total_cost", "sales_month")
+
+
+def with_team(sales: DataFrame, store: DataFrame, sales_team: DataFrame, small: Collection[str] = ()
+              ) -> DataFrame:
+    """The sales-team mart from sales with their customer's ``phone_number``, or from its ``TEAM_SALE``."""
+    rows = enrich_seller(enrich_store(sales, store, small), sales_team, small)
     return rows.select(
         "store_id", "sales_person_id",
         F.col("seller_first_name").alias("first_name"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +27,11 @@ def _advised_bytes(spark: SparkSession) -> int:
     return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def brought_together(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def brought_together(df: DataFrame, columns: Sequence[str], wanted: Sequence[str] | None = None) -> DataFrame:
     """The rows arranged by the columns they are to be laid out by, so that each task writes few files.
 
+    ``wanted`` says which columns of them are shuffled, if not all.
+
     For rows of more than the advised size for every core, the rebalance hint has Spark split a
     partition that is much larger than the others over several tasks (and files) and join small
     ones. Fewer rows would all be joined into a task or two that write file after file: their
@@ -37,21 +39,30 @@ def brought_together(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     by = [F.col(c) for c in columns]
     spark = df.sparkSession
+    rows = df if wanted is None else df.select(*wanted)
     if planned_bytes(df) > spark.sparkContext.defaultParallelism * _advised_bytes(spark):
-        return df.hint("rebalance", *by)
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+        return rows.hint("rebalance", *by)
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+
 
+#: Columns that are shuffled, and what makes the mart's rows of these again.
+Narrow = tuple[Sequence[str], Callable[[DataFrame], DataFrame]]
 
-def write_partitioned_mart(df: DataFrame, path: str, replace: str = "all") -> None:
+
+def write_partitioned_mart(df: DataFrame, path: str, replace: str = "all", narrow: Narrow | None = None) -> None:
     """Overwrites the mart at ``path``, laid out by month and store.
 
+    Where columns can be had again without a shuffle, such as a small dimension's, ``narrow`` says so: then
+    these are not shuffled to their month and store, but added there.
+
     ``replace="all"`` replaces the whole mart, ``"touched"`` only the partitions that occur in
     ``df``. The whole mart counts once it has its ``_SUCCESS``: so tasks move their files into place
     themselves, instead of leaving all of them to the driver.
     """
     mode, version = {"all": ("static", "2"), "touched": ("dynamic", "1")}[replace]
+    wanted, complete = narrow or (None, lambda rows: rows)
     (
-        brought_together(df, PARTITION_COLUMNS).write.mode("overwrite")
+        complete(brought_together(df, PARTITION_COLUMNS, wanted)).write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .option("mapreduce.fileoutputcommitter.algorithm.version", version)
         .partitionBy(*PARTITION_COLUMNS)
@@ -76,14 +87,17 @@ def snapshot_path(root: str, mart: str, epoch_ms: int) -> str:
 
 
 def publish_snapshot(df: DataFrame, root: str, mart: str, epoch_ms: int,
-                     partitioned: bool = False) -> str:
+                     partitioned: bool = False, narrow: Narrow | None = None) -> str:
     """Writes a mart straight to ``<root>/<mart>/<epoch_ms>/`` and returns that path.
 
     Earlier snapshots stay. Writing the same epoch again replaces that snapshot, so a run can be
     repeated.
     """
     path = snapshot_path(root, mart, epoch_ms)
-    (write_partitioned_mart if partitioned else write_mart)(df, path)
+    if partitioned:
+        write_partitioned_mart(df, path, narrow=narrow)
+    else:
+        write_mart(df, path)
     return path
 
 
