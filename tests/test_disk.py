@@ -4,6 +4,7 @@ import datetime as dt
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from tillmark.operators.enrich import CUSTOMER, DIMENSIONS, STORE
@@ -16,7 +17,7 @@ from tillmark.plans.batch import (
     run_arrivals,
     run_batch,
 )
-from tillmark.registry import landing
+from tillmark.registry import landing, supplied
 from tillmark.sinks import parquet
 from tillmark.sources.dimensions import FileTable
 from tillmark.storage import FILES_GO, child_folders, path_exists, shared_folder, shuffles_removed
@@ -83,6 +84,26 @@ def test_landing_leaves_neither_shuffle_files_nor_the_stored_sales(spark):
     assert {n for n in child_folders(spark, shared_folder(spark)) if n.startswith("sales-")} == sales
 
 
+def codecs(folder):
+    names = [p for p in Path(folder.removeprefix("file:")).rglob("*.parquet")]
+    return {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in names if pq.ParquetFile(p).num_row_groups}
+
+
+def test_quarantined_bytes_and_staged_sales_take_less_room(spark, conf, monkeypatch):
+    staged, stage = [], batch.stage_files
+    monkeypatch.setattr(batch, "stage_files", lambda *a: (stage(*a), staged.append(codecs(a[2])))[0])
+    run_batch(spark, conf, NIGHT)
+    assert codecs(f"{conf.quarantine}/contents") == codecs(f"{conf.quarantine}/rows") == {"ZSTD"} and staged == [{"ZSTD"}]
+    assert codecs(f"{conf.root}/{SALES_TEAM_MART}") == {spark.conf.get("spark.sql.parquet.compression.codec").upper()}
+
+
+def test_stores_are_found_after_sales_are_shuffled(spark):
+    """Dates are cut from times before the joins, and the seller's store is added after them."""
+    plan = supplied.sales(spark, SF, frozenset(DIMENSIONS), products=True)._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert text.index("s_suppkey") < text.index("p_partkey") and "cast(o_orderdate" in text[text.index("o_orderkey"):]
+
+
 @pytest.mark.parametrize("small, narrow", [(DIMENSIONS, True), ((CUSTOMER, STORE), False), ((), False)])
 def test_names_of_a_small_team_are_not_shuffled_to_month_and_store(spark, conf, rows_of, monkeypatch, small, narrow):
     shuffled, summed = [], []

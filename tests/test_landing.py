@@ -22,7 +22,7 @@ def test_few_sales_are_dealt_out_to_files_of_the_right_number(spark, monkeypatch
     """Also where all are, as files are fewer than the tasks' last ones or sales lie in one file."""
     seen, write = [], landing.Shop._write
     monkeypatch.setattr(landing, "ROWS_A_FILE", rows_a_file)
-    monkeypatch.setattr(landing, "stored", lambda df, path: stored(df.repartition(parts), path))
+    monkeypatch.setattr(landing, "stored", lambda df, path, **options: stored(df.repartition(parts), path, **options))
     monkeypatch.setattr(landing.Shop, "_write", lambda self, df, *a: (seen.append(df.count()), write(self, df, *a)))
     shop = landing.Shop(spark, SF)
     rows, flags = shop.rows.count(), {r[0]: r[1] for r in shop.rows.groupBy("l_returnflag").count().collect()}
@@ -36,7 +36,7 @@ def test_few_sales_are_dealt_out_to_files_of_the_right_number(spark, monkeypatch
 
 def test_all_sales_land_as_they_are(spark, monkeypatch):
     monkeypatch.setattr(landing, "ROWS_A_FILE", 100)
-    monkeypatch.setattr(landing, "stored", lambda df, path: stored(df.repartition(8), path))
+    monkeypatch.setattr(landing, "stored", lambda df, path, **options: stored(df.repartition(8), path, **options))
     shop = landing.Shop(spark, SF)
     shop.add(landing.NO_STORE)
     columns = [c for c in landing.MANDATORY if c != "store_id"]
@@ -46,7 +46,7 @@ def test_all_sales_land_as_they_are(spark, monkeypatch):
 
 def test_all_are_dealt_out_where_tasks_made_too_many_files(spark, monkeypatch):
     monkeypatch.setattr(landing, "ROWS_A_FILE", 100)
-    monkeypatch.setattr(landing, "stored", lambda df, path: stored(df.repartition(8), path))
+    monkeypatch.setattr(landing, "stored", lambda df, path, **options: stored(df.repartition(8), path, **options))
     monkeypatch.setattr(landing, "count_files", lambda *_: 10_000)
     shop = landing.Shop(spark, SF)
     shop.add(landing.NO_STORE)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillmark.registry import supplied
 from tillmark.schema import MANDATORY
 from tillmark.storage import (
+    CODEC,
     child_files,
     child_folders,
     count_files,
@@ -66,7 +67,7 @@ class Shop:
             text = F.when(F.col("quantity") > 45, F.lit("n/a")).otherwise(
                 F.col("quantity").cast("string"))
             derived = derived.withColumn("quantity", text)
-        self.rows = stored(derived, self.stored)
+        self.rows = stored(derived, self.stored, compression=CODEC)
         names = sorted(n for n in child_files(self.spark, self.stored) if n.startswith("part-"))
         cut = -(-len(names) // STORED_A_DEALT)
         self.rest, self.most = self._of_files(names[:cut]), self._of_files(names[cut:])

@@ -109,23 +109,24 @@ def sales(spark: SparkSession, sf_dir: str, small: frozenset[str] = frozenset(),
     Product name and price are filled only if asked for (they cost a join).
     """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # A date takes fewer bytes of a shuffle than its time of day.
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("sales_date"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     if SALES_TEAM in small:
         supplier = F.broadcast(supplier)
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
-        supplier, lines.l_suppkey == supplier.s_suppkey
-    )
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     product, price = F.lit(None).cast("string"), F.lit(None).cast(MONEY)
     if products:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
         rows = rows.join(part, lines.l_partkey == part.p_partkey)
         product, price = F.col("p_name"), F.col("p_retailprice").cast(MONEY)
-    return rows.select(
+    # The seller's store comes last: where sellers are broadcast, it is in no shuffle.
+    return rows.join(supplier, lines.l_suppkey == supplier.s_suppkey).select(
         F.col("o_custkey").alias("customer_id"),
         F.col("s_nationkey").cast("bigint").alias("store_id"),
         product.alias("product_name"),
-        F.col("o_orderdate").cast("date").alias("sales_date"),
+        "sales_date",
         F.col("l_suppkey").alias("sales_person_id"),
         price.alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),

@@ -19,7 +19,7 @@ from tillmark.functions.columns import base_name, plain_path
 from tillmark.sources.any_header import FAULTS
 from tillmark.sources.catalog import FILES_A_TASK, PEEK_SCHEMES, open_stream
 from tillmark.sources.sales_csv import RAW_LINE, SOURCE_FILE
-from tillmark.storage import literal_path, path_exists, scheme_of
+from tillmark.storage import CODEC, literal_path, path_exists, scheme_of
 
 # Tasks get this module's functions with their code, so executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -92,7 +92,7 @@ def quarantine_files(rejected: DataFrame, root: str, run_id: str) -> None:
     if files.isEmpty():
         return
     files.write.mode("overwrite").parquet(f"{root}/files/run_id={run_id}")
-    _copied(files).write.mode("overwrite").parquet(f"{root}/contents/run_id={run_id}")
+    _copied(files).write.mode("overwrite").option("compression", CODEC).parquet(f"{root}/contents/run_id={run_id}")
 
 
 def quarantine_rows(malformed: DataFrame, root: str, run_id: str) -> None:
@@ -106,7 +106,7 @@ def quarantine_rows(malformed: DataFrame, root: str, run_id: str) -> None:
             F.col(RAW_LINE).alias("line"),
             known.alias(FAULTS),
         )
-        .write.mode("overwrite").parquet(f"{root}/rows/run_id={run_id}")
+        .write.mode("overwrite").option("compression", CODEC).parquet(f"{root}/rows/run_id={run_id}")
     )
 
 

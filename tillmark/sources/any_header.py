@@ -20,7 +20,7 @@ from tillmark.functions.columns import extra_columns, plain_path
 from tillmark.operators.sizing import small_tables
 from tillmark.schema import ADDITIONAL, MANDATORY, MANDATORY_TYPES
 from tillmark.sources.sales_csv import RAW_LINE, SOURCE_FILE, STAGED_SCHEMA, stage_sales
-from tillmark.storage import few_listers, literal_path
+from tillmark.storage import CODEC, few_listers, literal_path
 
 FAULTS = "faults"
 #: The fault of a line that has not as many cells as its file's header.
@@ -130,7 +130,7 @@ def stage_any_header(spark: SparkSession, accepted: DataFrame, path: str) -> Dat
     schema = T.StructType([*STAGED_SCHEMA.fields, T.StructField(FAULTS, T.ArrayType(T.StringType()))])
     rows = parse_lines(raw_lines(spark, paths), file_layouts(accepted)) if paths else (
         spark.createDataFrame([], schema))
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tillmark.functions.columns import pack_extras
 from tillmark.schema import ADDITIONAL, MANDATORY, MANDATORY_TYPES, SALES_SCHEMA
-from tillmark.storage import few_listers, literal_path
+from tillmark.storage import CODEC, few_listers, literal_path
 
 SOURCE_FILE = "source_file"
 RAW_LINE = "malformed_line"
@@ -104,7 +104,7 @@ def stage_sales(spark: SparkSession, accepted: DataFrame, path: str, pack=pack_e
     for start in range(0, len(files), headers_per_job):
         layouts = files[start:start + headers_per_job]
         union_files(read_layout(spark, h, paths, pack) for h, paths in layouts).write.mode(
-            "append").parquet(path)
+            "append").option("compression", CODEC).parquet(path)
     return spark.read.schema(STAGED_SCHEMA).parquet(path)
 
 

@@ -191,9 +191,14 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+#: How sales are compressed that only a run itself, or a look into its quarantine, reads: they take a fourth to
+#: a third less room than by Spark's default. Not for dimensions: Spark takes a table for small by its file's size.
+CODEC = "zstd"
+
+
+def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     """The frame as written to and read back from Parquet: computed once, and cut from its past."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
